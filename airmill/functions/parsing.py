@@ -18,6 +18,16 @@ def _child(variant: Column, key: str, as_type: str = "variant") -> Column:
     return F.try_variant_get(variant, f"$.{key}", as_type)
 
 
+def _hold(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once.
+
+    Each parsing step refers to the previous one several times. As plain projections the optimizer would substitute them
+    into filters, where the expression grows with every step; a generator of exactly one row keeps the steps apart.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def as_number(variant: Column, key: str) -> Column:
     """Double from a number, numeric string or boolean; null when it cannot be read (also for ``1.5d`` spellings)."""
     text = _child(variant, key, "string")
@@ -31,10 +41,9 @@ def unwrap_envelope(df: DataFrame, body: str = "body") -> DataFrame:
     A notification must hold readable JSON text, or nothing at all; any other object with a text ``Message`` is opened
     when the text is JSON and kept when it is not; a JSON text is decoded again.
     """
-    read = df.withColumn("_v", F.try_parse_json(F.col(body)))
     v, inner = F.col("_v"), F.col("_inner")
-    read = read.withColumn("_kind", _kind(v)).withColumn("_inner", _child(v, "Message"))
-    read = read.withColumn("_inner_kind", _kind(inner))
+    read = _hold(df, _v=F.try_parse_json(F.col(body)))
+    read = _hold(read, _kind=_kind(v), _inner=_child(v, "Message"), _inner_kind=_kind(_child(v, "Message")))
     is_object = F.col("_kind") == "object"
     notification = is_object & (_kind(_child(v, "Type")) == "string") & (_child(v, "Type", "string") == "Notification")
     inner_text = F.col("_inner_kind") == "string"
@@ -46,14 +55,14 @@ def unwrap_envelope(df: DataFrame, body: str = "body") -> DataFrame:
         .when(F.col("_kind") == "string", "text")
         .otherwise("plain")
     )
-    read = read.withColumn("envelope", envelope)
+    read = _hold(read, envelope=envelope)
     doc = (
         F.when(F.col("envelope") == "plain", v)
         .when((F.col("envelope") == "notification") & inner_text, opened)
         .when(F.col("envelope") == "message", opened)
         .when(F.col("envelope") == "text", F.try_parse_json(F.try_variant_get(v, "$", "string")))
     )
-    return read.withColumn("doc", doc).drop("_v", "_kind", "_inner", "_inner_kind")
+    return _hold(read, doc=doc).drop("_v", "_kind", "_inner", "_inner_kind")
 
 
 def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
@@ -61,27 +70,23 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     read = unwrap_envelope(df, body)
     doc = F.col("doc")
     nested = _child(doc, "sensors")
-    read = read.withColumn("_kind", _kind(doc)).withColumn("payload", F.when(nested.isNotNull(), nested).otherwise(doc))
+    read = _hold(read, _kind=_kind(doc), payload=F.coalesce(nested, doc), layout=F.when(nested.isNotNull(), "nested").otherwise("flat"))
     payload = F.col("payload")
-    read = read.withColumn("_payload_kind", _kind(payload))
-    values = [as_number(payload, c).alias(c) for c in K.SENSOR_COLUMNS]
+    values = {c: as_number(payload, c) for c in K.SENSOR_COLUMNS}
 
     def absent(column: str) -> Column:
         value = _child(payload, column)
         return value.isNull() | F.is_variant_null(value)
 
     missing = F.array_compact(F.array(*[F.when(absent(c), F.lit(c)) for c in K.SENSOR_COLUMNS]))
-    read = read.select(
-        *df.columns,
-        "envelope",
-        "_kind",
-        "_payload_kind",
-        F.when(nested.isNotNull(), "nested").otherwise("flat").alias("layout"),
-        _child(doc, "timestamp", "string").alias("timestamp"),
-        _child(doc, "device_id", "string").alias("device_id"),
-        _child(doc, "version", "string").alias("version"),
-        missing.alias("missing"),
-        *values,
+    read = _hold(
+        read,
+        _payload_kind=_kind(payload),
+        timestamp=_child(doc, "timestamp", "string"),
+        device_id=_child(doc, "device_id", "string"),
+        version=_child(doc, "version", "string"),
+        missing=missing,
+        **values,
     )
     unread = F.lit(False)
     for c in K.SENSOR_COLUMNS:
@@ -93,9 +98,11 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         .when(F.size("missing") > 0, "missing_fields")
         .when(unread, "bad_number")
     )
-    read = read.withColumn("invalid_reason", reason).drop("_kind", "_payload_kind")
     # a literal NaN is a valid number on the wire and a null afterwards
-    return read.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in K.SENSOR_COLUMNS})
+    numbers = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in K.SENSOR_COLUMNS]
+    return read.select(
+        *df.columns, "envelope", "layout", "timestamp", "device_id", "version", "missing", *numbers, reason.alias("invalid_reason")
+    )
 
 
 def parse_aliases(df: DataFrame, body: str = "body") -> DataFrame:
@@ -104,23 +111,23 @@ def parse_aliases(df: DataFrame, body: str = "body") -> DataFrame:
     ``status`` is 200, 400 (field missing, or a text that is no number, or a body that is no JSON) or 500 (a value that
     has no numeric reading at all: null, array, object; or a body that is a bare number, boolean or null).
     """
-    v = F.try_parse_json(F.col(body))
-    read = df.withColumn("_event", v)
-    event = F.col("_event")
-    raw = F.when(_child(event, "body").isNotNull(), _child(event, "body")).otherwise(event)
-    read = read.withColumn("_raw", raw)
-    text = F.try_parse_json(F.try_variant_get(F.col("_raw"), "$", "string"))
-    read = read.withColumn("_doc", F.when(_kind(F.col("_raw")) == "string", text).otherwise(F.col("_raw")))
-    doc = F.col("_doc")
-    columns = []
-    # fields are read in order, so the first bad one decides; the order only matters between 400 and 500
-    doc_kind = _kind(doc)
-    status = F.when(doc_kind.isNull() | doc_kind.isin("string") | doc_kind.startswith("array"), 400)
-    status = status.when(doc_kind != "object", 500)
+    event, raw, doc = F.col("_event"), F.col("_raw"), F.col("_doc")
+    read = _hold(df, _event=F.try_parse_json(F.col(body)))
+    read = _hold(read, _raw=F.coalesce(_child(event, "body"), event))
+    text = F.try_parse_json(F.try_variant_get(raw, "$", "string"))
+    read = _hold(read, _doc=F.when(_kind(raw) == "string", text).otherwise(raw))
+    steps = {"_doc_kind": _kind(doc)}
     for name, letter in K.FIELD_ALIASES.items():
         full, short = _child(doc, name), _child(doc, letter)
-        kind = _kind(F.coalesce(full, short))
-        value = F.when(full.isNotNull(), as_number(doc, name)).otherwise(as_number(doc, letter))
-        columns.append(value.alias(name))
-        status = status.when(kind.isNull(), 400).when(value.isNull(), F.when(kind == "string", 400).otherwise(500))
-    return read.select(*df.columns, status.otherwise(200).alias("status"), *columns)
+        steps[name] = F.when(full.isNotNull(), as_number(doc, name)).otherwise(as_number(doc, letter))
+        steps[f"_{name}_kind"] = _kind(F.coalesce(full, short))
+    read = _hold(read, **steps)
+    doc_kind = F.col("_doc_kind")
+    status = F.when(doc_kind.isNull() | (doc_kind == "string") | doc_kind.startswith("array"), 400)
+    status = status.when(doc_kind != "object", 500)
+    # fields are read in order, so the first bad one decides between 400 and 500
+    for name in K.FIELD_ALIASES:
+        kind = F.col(f"_{name}_kind")
+        bad_value = F.when(kind == "string", 400).otherwise(500)
+        status = status.when(kind.isNull(), 400).when(F.col(name).isNull(), bad_value)
+    return read.select(*df.columns, status.otherwise(200).alias("status"), *K.FIELD_ALIASES)
