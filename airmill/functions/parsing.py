@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill import constants as K
 
+# One cast per object reads all keys that matter. VARIANT members keep "absent" (null) and "JSON null" apart, and the cast
+# of anything but an object is null.
+_MESSAGE = "struct<Type variant, Message variant, sensors variant, timestamp string, device_id string, version string>"
+_SCORER_KEYS = [*K.FIELD_ALIASES, *K.FIELD_ALIASES.values()]
+
 
-def _kind(variant: Column) -> Column:
-    """'object', 'array', 'string', ... of a variant; null for SQL null."""
-    name = F.schema_of_variant(variant)
-    return F.when(name.startswith("OBJECT"), "object").otherwise(F.lower(name))
+def _as(variant: Column, as_type: str) -> Column:
+    return F.try_variant_get(variant, "$", as_type)
 
 
-def _child(variant: Column, key: str, as_type: str = "variant") -> Column:
-    return F.try_variant_get(variant, f"$.{key}", as_type)
+def _is_text(variant: Column) -> Column:
+    """The variant is a JSON string."""
+    return F.coalesce(F.schema_of_variant(variant) == "STRING", F.lit(False))
 
 
 def _hold(df: DataFrame, **columns: Column) -> DataFrame:
@@ -28,80 +34,100 @@ def _hold(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def as_number(variant: Column, key: str) -> Column:
-    """Double from a number, numeric string or boolean; null when it cannot be read (also for ``1.5d`` spellings)."""
-    text = _child(variant, key, "string")
-    suffixed = text.rlike(r"(?i)^\s*[-+]?[0-9.].*[df]\s*$")
-    return F.when(~suffixed, _child(variant, key, "double"))
+def _members(names: Sequence[str], as_type: str) -> str:
+    return "struct<" + ", ".join(f"{name} {as_type}" for name in names) + ">"
 
 
-def unwrap_envelope(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``doc`` (variant) and ``envelope``: one level of wrapping is removed, in a fixed order of forms.
+def _number(numbers: Column, texts: Column, name: str) -> Column:
+    """Double from a number, numeric string or boolean; null when it cannot be read.
 
-    A notification must hold readable JSON text, or nothing at all; any other object with a text ``Message`` is opened
-    when the text is JSON and kept when it is not; a JSON text is decoded again.
+    The cast also reads the spellings ``1.5d`` and ``1.5f``, which are no numbers here; ``texts`` is null when the
+    message holds nothing of that kind.
     """
-    v, inner = F.col("_v"), F.col("_inner")
+    ending = F.lower(F.right(F.rtrim(texts[name]), F.lit(3)))
+    suffixed = (ending.endswith("d") | ending.endswith("f")) & (ending != "inf")
+    return F.when(~F.coalesce(suffixed, F.lit(False)), numbers[name])
+
+
+def _suspect_texts(variant: Column, names: Sequence[str], body: Column) -> Column:
+    """The members as texts, only where the message has a digit, a letter d or f, and a quote in a row."""
+    return F.when(body.rlike(r'(?i)[0-9.][df]\s*\\?"'), _as(variant, _members(names, "string")))
+
+
+def _open_envelope(df: DataFrame, body: str) -> DataFrame:
+    """Adds envelope, _doc (variant) and _d (the keys of the document, null when it is no object)."""
+    v, top = F.col("_v"), F.col("_top")
     read = _hold(df, _v=F.try_parse_json(F.col(body)))
-    read = _hold(read, _kind=_kind(v), _inner=_child(v, "Message"), _inner_kind=_kind(_child(v, "Message")))
-    is_object = F.col("_kind") == "object"
-    notification = is_object & (_kind(_child(v, "Type")) == "string") & (_child(v, "Type", "string") == "Notification")
-    inner_text = F.col("_inner_kind") == "string"
-    opened = F.try_parse_json(_child(v, "Message", "string"))
+    read = _hold(read, _top=_as(v, _MESSAGE))
+    inner = top["Message"]
+    notification = F.coalesce(_as(top["Type"], "string") == "Notification", F.lit(False)) & _is_text(top["Type"])
+    opened = F.try_parse_json(F.when(inner.isNotNull() & _is_text(inner), _as(inner, "string")))
+    text = F.ltrim(F.col(body)).startswith('"')
+    read = _hold(
+        read,
+        _notification=notification,
+        _opened=F.when(top.isNotNull(), opened).when(v.isNotNull() & text, F.try_parse_json(_as(v, "string"))),
+    )
+    opened = F.col("_opened")
     envelope = (
         F.when(v.isNull(), "unreadable")
-        .when(F.coalesce(notification, F.lit(False)), F.when(inner.isNull(), "plain").otherwise("notification"))
-        .when(is_object & inner_text & opened.isNotNull(), "message")
-        .when(F.col("_kind") == "string", "text")
+        .when(F.col("_notification"), F.when(inner.isNull(), "plain").otherwise("notification"))
+        .when(top.isNotNull(), F.when(opened.isNotNull(), "message").otherwise("plain"))
+        .when(text, "text")
         .otherwise("plain")
     )
     read = _hold(read, envelope=envelope)
-    doc = (
-        F.when(F.col("envelope") == "plain", v)
-        .when((F.col("envelope") == "notification") & inner_text, opened)
-        .when(F.col("envelope") == "message", opened)
-        .when(F.col("envelope") == "text", F.try_parse_json(F.try_variant_get(v, "$", "string")))
+    plain = F.col("envelope") == "plain"
+    read = _hold(
+        read,
+        _doc=F.when(plain, v).otherwise(opened),
+        _d=F.when(plain, top).otherwise(_as(opened, _MESSAGE)),
     )
-    return _hold(read, doc=doc).drop("_v", "_kind", "_inner", "_inner_kind")
+    return read.drop("_v", "_top", "_notification", "_opened")
+
+
+def unwrap_envelope(df: DataFrame, body: str = "body") -> DataFrame:
+    """Add ``doc`` (variant) and ``envelope``: one level of wrapping is removed, in a fixed order of forms.
+
+    A notification must hold readable JSON text, or nothing at all; any other object with a text ``Message`` is opened
+    when the text is JSON and kept when it is not; a JSON text is decoded again.
+    """
+    return _open_envelope(df, body).withColumnRenamed("_doc", "doc").drop("_d")
 
 
 def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     """One row per message with sensor doubles, metadata, ``missing`` (array) and ``invalid_reason`` (null = valid)."""
-    read = unwrap_envelope(df, body)
-    doc = F.col("doc")
-    nested = _child(doc, "sensors")
-    read = _hold(read, _kind=_kind(doc), payload=F.coalesce(nested, doc), layout=F.when(nested.isNotNull(), "nested").otherwise("flat"))
-    payload = F.col("payload")
-    values = {c: as_number(payload, c) for c in K.SENSOR_COLUMNS}
-
-    def absent(column: str) -> Column:
-        value = _child(payload, column)
-        return value.isNull() | F.is_variant_null(value)
-
-    missing = F.array_compact(F.array(*[F.when(absent(c), F.lit(c)) for c in K.SENSOR_COLUMNS]))
+    doc, nested = F.col("_d"), F.col("_d.sensors")
+    read = _hold(_open_envelope(df, body), _reading=F.coalesce(nested, F.col("_doc")))
+    reading = F.col("_reading")
     read = _hold(
         read,
-        _payload_kind=_kind(payload),
-        timestamp=_child(doc, "timestamp", "string"),
-        device_id=_child(doc, "device_id", "string"),
-        version=_child(doc, "version", "string"),
-        missing=missing,
-        **values,
+        _payload=_as(reading, _members(K.SENSOR_COLUMNS, "variant")),
+        _numbers=_as(reading, _members(K.SENSOR_COLUMNS, "double")),
+        _texts=_suspect_texts(reading, K.SENSOR_COLUMNS, F.col(body)),
     )
+    payload = F.col("_payload")
+    read = _hold(read, **{c: _number(F.col("_numbers"), F.col("_texts"), c) for c in K.SENSOR_COLUMNS})
+    layout = F.when(nested.isNotNull(), "nested").otherwise("flat").alias("layout")
+    absent = [F.when(payload[c].isNull() | F.is_variant_null(payload[c]), F.lit(c)) for c in K.SENSOR_COLUMNS]
     unread = F.lit(False)
     for c in K.SENSOR_COLUMNS:
         unread = unread | F.col(c).isNull()
+    names = F.concat_ws(",", *absent)
+    missing = F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))
+    read = _hold(read, missing=missing, _unread=unread)
     reason = (
-        F.when(F.col("_kind").isNull(), "bad_json")
-        .when(F.col("_kind") != "object", "not_object")
-        .when(F.col("_payload_kind") != "object", "bad_sensors")
+        F.when(F.col("_doc").isNull(), "bad_json")
+        .when(doc.isNull(), "not_object")
+        .when(payload.isNull(), "bad_sensors")
         .when(F.size("missing") > 0, "missing_fields")
-        .when(unread, "bad_number")
+        .when(F.col("_unread"), "bad_number")
     )
     # a literal NaN is a valid number on the wire and a null afterwards
     numbers = [F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) for c in K.SENSOR_COLUMNS]
+    about = [doc[c].alias(c) for c in ("timestamp", "device_id", "version")]
     return read.select(
-        *df.columns, "envelope", "layout", "timestamp", "device_id", "version", "missing", *numbers, reason.alias("invalid_reason")
+        *df.columns, "envelope", layout, *about, "missing", *numbers, reason.alias("invalid_reason")
     )
 
 
@@ -113,21 +139,26 @@ def parse_aliases(df: DataFrame, body: str = "body") -> DataFrame:
     """
     event, raw, doc = F.col("_event"), F.col("_raw"), F.col("_doc")
     read = _hold(df, _event=F.try_parse_json(F.col(body)))
-    read = _hold(read, _raw=F.coalesce(_child(event, "body"), event))
-    text = F.try_parse_json(F.try_variant_get(raw, "$", "string"))
-    read = _hold(read, _doc=F.when(_kind(raw) == "string", text).otherwise(raw))
-    steps = {"_doc_kind": _kind(doc)}
+    read = _hold(read, _raw=F.coalesce(F.try_variant_get(event, "$.body", "variant"), event))
+    read = _hold(read, _doc=F.when(_is_text(raw), F.try_parse_json(_as(raw, "string"))).otherwise(raw))
+    read = _hold(
+        read,
+        _d=_as(doc, _members(_SCORER_KEYS, "variant")),
+        _numbers=_as(doc, _members(_SCORER_KEYS, "double")),
+        _texts=_suspect_texts(doc, _SCORER_KEYS, F.col(body)),
+    )
+    steps = {}
     for name, letter in K.FIELD_ALIASES.items():
-        full, short = _child(doc, name), _child(doc, letter)
-        steps[name] = F.when(full.isNotNull(), as_number(doc, name)).otherwise(as_number(doc, letter))
-        steps[f"_{name}_kind"] = _kind(F.coalesce(full, short))
+        full, numbers, texts = F.col("_d")[name], F.col("_numbers"), F.col("_texts")
+        steps[f"_{name}"] = F.coalesce(full, F.col("_d")[letter])
+        steps[name] = F.when(full.isNotNull(), _number(numbers, texts, name)).otherwise(_number(numbers, texts, letter))
     read = _hold(read, **steps)
-    doc_kind = F.col("_doc_kind")
-    status = F.when(doc_kind.isNull() | (doc_kind == "string") | doc_kind.startswith("array"), 400)
-    status = status.when(doc_kind != "object", 500)
+    # a text or a list contains no key, any other non-object cannot be searched at all
+    searchable = _is_text(doc) | _as(doc, "array<variant>").isNotNull()
+    status = F.when(doc.isNull(), 400).when(F.col("_d").isNull(), F.when(searchable, 400).otherwise(500))
     # fields are read in order, so the first bad one decides between 400 and 500
     for name in K.FIELD_ALIASES:
-        kind = F.col(f"_{name}_kind")
-        bad_value = F.when(kind == "string", 400).otherwise(500)
-        status = status.when(kind.isNull(), 400).when(F.col(name).isNull(), bad_value)
+        variant = F.col(f"_{name}")
+        bad_value = F.when(_is_text(variant), 400).otherwise(500)
+        status = status.when(variant.isNull(), 400).when(F.col(name).isNull(), bad_value)
     return read.select(*df.columns, status.otherwise(200).alias("status"), *K.FIELD_ALIASES)

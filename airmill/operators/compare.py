@@ -38,14 +38,17 @@ def _weighted(side: str) -> Column:
 
 
 def weighted_scores(deltas: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """champion_score, challenger_score and score_delta (4 decimals) plus the metric deltas, one row per group."""
+    """champion_score, challenger_score and score_delta (4 decimals) plus the metric deltas, one row per group.
+
+    The metrics have 4 decimals and the weights 2, so sums are cleaned to 10 decimals before exact halves are rounded up.
+    """
     out = deltas.groupBy(*by).agg(
         _weighted("champion").alias("champion_score"),
         _weighted("challenger").alias("challenger_score"),
         *[_delta(m) for m in ("recall", "roc_auc", "precision")],
     )
-    difference = F.round(F.col("challenger_score") - F.col("champion_score"), 4)
-    rounded = {s: F.round(s, 4) for s in ("champion_score", "challenger_score")}
+    difference = F.round(F.round(F.col("challenger_score") - F.col("champion_score"), 10), 4)
+    rounded = {s: F.round(F.round(s, 10), 4) for s in ("champion_score", "challenger_score")}
     return out.withColumn("score_delta", difference).withColumns(rounded)
 
 

@@ -105,7 +105,7 @@ def sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def day_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows by (day, matchup, side): the pair in both directions and the champion against itself."""
-    rows = model_rows(spark, folder).withColumn("day", F.to_date("ts"))
+    rows = model_rows(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     by_day = metrics.evaluate(rows, ["day", "model"], one_task=_small(spark, folder))
     roles = {"forward": ("champion", "challenger"), "reverse": ("challenger", "champion"), "self": ("champion", "champion")}
     seats = []
@@ -483,7 +483,7 @@ def retrain_decision(spark, folder):
 
 
 def fit_scaler(spark, folder):
-    return _rounded(forest.fit_scaler(fixtures.readings(spark, folder)))
+    return _rounded(forest.fit_scaler(fixtures.readings(spark, folder)), 8)
 
 
 def _split(spark, folder):
@@ -612,6 +612,11 @@ def permutation_importance(spark, folder):
 # --- registry ------------------------------------------------------------------------------------------------------
 
 
+def _text_versions(df: DataFrame) -> DataFrame:
+    """Optional version numbers as text: a missing number has no common client-side type."""
+    return df.withColumns({c: F.col(c).cast("string") for c in df.columns if c.endswith("version")})
+
+
 def latest_by_stage(spark, folder):
     return registry.latest_by_stage(fixtures.versions(spark, folder))
 
@@ -621,11 +626,11 @@ def champion_fallback(spark, folder):
 
 
 def champion_challenger(spark, folder):
-    return registry.champion_challenger(fixtures.versions(spark, folder))
+    return _text_versions(registry.champion_challenger(fixtures.versions(spark, folder)))
 
 
 def usable_model(spark, folder):
-    return registry.usable_model(fixtures.versions(spark, folder), fixtures.artifacts(spark, folder))
+    return _text_versions(registry.usable_model(fixtures.versions(spark, folder), fixtures.artifacts(spark, folder)))
 
 
 def registration_gate(spark, folder):
@@ -688,7 +693,7 @@ def importance_compare(spark, folder):
 
 def latest_drift_context(spark, folder):
     """Daily summaries as stored reports; the newest one joins the comparison row."""
-    daily = fixtures.readings(spark, folder).groupBy(F.to_date("ts").alias("run_ts")).agg(
+    daily = fixtures.readings(spark, folder).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run_ts")).agg(
         F.count(F.lit(1)).alias("production_count"), (F.avg("temperature") > 31.4).alias("overall_drift")
     )
     out = compare.latest_drift_context(model_metrics(spark, folder).select("side", "recall"), daily)

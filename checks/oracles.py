@@ -29,6 +29,11 @@ def _any_rule(iaq: str, limits: tuple) -> str:
 
 _LIMITS = ("150e0", "33e0", "28e0", "70e0", "60e0")
 
+def _half_up(x: str) -> str:
+    """4 decimals, exact halves away from zero."""
+    return f"CAST(round(CAST({x} AS DECIMAL(18,10)), 4) AS DOUBLE)"
+
+
 _CTES = {
     "readings": f"""SELECT event_id, ts, 'dev-' || CAST(user_id % 8 AS VARCHAR) AS device_id,
       31.0e0 + ((event_id*7919) % 401 - 200)/200.0e0 + CASE WHEN event_id % 41 = 0 THEN 4.0e0 ELSE 0e0 END
@@ -211,7 +216,7 @@ _CTES = {
     "deltas": """SELECT metric, max(v) FILTER (side='champion') AS champion, max(v) FILTER (side='challenger') AS challenger
       FROM (UNPIVOT (SELECT side, roc_auc, precision, recall, f1, accuracy FROM evaluated)
         ON roc_auc, precision, recall, f1, accuracy INTO NAME metric VALUE v) GROUP BY metric""",
-    "day_rows": "SELECT *, CAST(ts AS DATE) AS day FROM model_rows",
+    "day_rows": "SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM model_rows",
     "day_auc": """SELECT day, model, CASE WHEN max(p)=0 OR max(p)=count(*) THEN 0e0 ELSE
       (sum(r) FILTER (is_anomaly=1) - max(p)*(max(p)+1)/2)/(max(p)*(count(*)-max(p))) END AS roc_auc FROM (
       SELECT day, model, is_anomaly, rank() OVER (PARTITION BY day, model ORDER BY outlierness)
@@ -231,7 +236,7 @@ _CTES = {
       y.recall*0.40e0 + y.roc_auc*0.35e0 + y.precision*0.15e0 + y.f1*0.10e0 AS sb,
       round(y.recall-x.recall,4) AS dr, round(y.roc_auc-x.roc_auc,4) AS da, round(y.precision-x.precision,4) AS dp
       FROM seats JOIN day_metrics x ON x.model=a JOIN day_metrics y USING (day) WHERE y.model=b""",
-    "points": """SELECT *, round(sb-sa,4) AS ds,
+    "points": f"""SELECT *, {_half_up('sb-sa')} AS ds,
       concat_ws(',', CASE WHEN dr>0.02e0 THEN 'recall_up' WHEN dr>=-0.02e0 THEN 'recall_stable' END,
         CASE WHEN da>0.01e0 THEN 'roc_auc_up' END, CASE WHEN dp>0.02e0 THEN 'precision_up' END) AS analysis_points,
       concat_ws(',', CASE WHEN dr<-0.02e0 THEN 'recall_down' END, CASE WHEN da<-0.01e0 THEN 'roc_auc_down' END,
@@ -460,7 +465,7 @@ _BODIES = {
     "drift_report_json": """SELECT overall_drift, (SELECT psi FROM report WHERE feature='temperature') AS temperature_psi,
       0.2e0 AS psi_limit FROM summary""",
     "fit_scaler": " UNION ALL ".join(
-        f"""SELECT {i} AS position, '{c}' AS feature, round(avg({c}),6) AS mean, round(stddev_pop({c}),6) AS scale,
+        f"""SELECT {i} AS position, '{c}' AS feature, round(avg({c}),8) AS mean, round(stddev_pop({c}),8) AS scale,
         count(*) AS rows FROM readings""" for i, c in enumerate(_S)),
     "stratified_split": "SELECT event_id, is_anomaly, split FROM splits",
     "split_balance": """SELECT split, count(*) AS rows, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
@@ -506,13 +511,13 @@ _BODIES = {
     "latest_by_stage": "SELECT model_name, stage, version, run_id FROM ranked_versions WHERE rn = 1",
     "champion_fallback": """SELECT f.model_name, f.stag AS challenger_version, f.version AS champion_version,
       v.stage AS champion_stage, v.run_id AS champion_run_id FROM fallback f JOIN versions v USING (model_name, version)""",
-    "champion_challenger": """SELECT i.model_name, coalesce(i.prod, f.version) AS champion_version, i.stag AS challenger_version,
-      i.prod IS NULL AND f.version IS NOT NULL AS used_fallback,
+    "champion_challenger": """SELECT i.model_name, CAST(coalesce(i.prod, f.version) AS VARCHAR) AS champion_version,
+      CAST(i.stag AS VARCHAR) AS challenger_version, i.prod IS NULL AND f.version IS NOT NULL AS used_fallback,
       CASE WHEN i.stag IS NULL THEN 'no_staging' WHEN coalesce(i.prod, f.version) IS NULL THEN 'single_version'
         WHEN coalesce(i.prod, f.version) = i.stag THEN 'same_version'
         WHEN i.stag < coalesce(i.prod, f.version) THEN 'challenger_not_newer' ELSE 'ok' END AS status
       FROM in_stage i LEFT JOIN fallback f USING (model_name)""",
-    "usable_model": """SELECT model_name, version, stage, CASE WHEN status='ok' THEN 'r' || CAST(version AS VARCHAR)
+    "usable_model": """SELECT model_name, CAST(version AS VARCHAR) AS version, stage, CASE WHEN status='ok' THEN 'r' || CAST(version AS VARCHAR)
         WHEN status='artifact_mismatch' THEN 'r' || CAST(artifact_version AS VARCHAR) END AS run_id, status FROM (
       SELECT i.model_name, coalesce(prod, stag) AS version, artifact_version,
         CASE WHEN prod IS NOT NULL THEN 'Production' WHEN stag IS NOT NULL THEN 'Staging' END AS stage,
@@ -533,18 +538,18 @@ _BODIES = {
     "metric_deltas": """SELECT metric, champion, challenger, round(challenger-champion,4) AS delta,
       CASE WHEN round(challenger-champion,4)>0 THEN 'challenger' WHEN round(challenger-champion,4)=0 THEN 'equal'
         ELSE 'champion' END AS better FROM deltas""",
-    "weighted_score": """SELECT day, matchup, round(sa,4) AS champion_score, round(sb,4) AS challenger_score,
+    "weighted_score": f"""SELECT day, matchup, {_half_up('sa')} AS champion_score, {_half_up('sb')} AS challenger_score,
       ds AS score_delta FROM points""",
     "risk_points": "SELECT day, matchup, analysis_points, risk_points FROM points",
     "verdict": "SELECT day, matchup, verdict, confidence, reason FROM verdicts",
-    "recommendation": """SELECT day, matchup, round(sa,4) AS champion_score, round(sb,4) AS challenger_score,
+    "recommendation": f"""SELECT day, matchup, {_half_up('sa')} AS champion_score, {_half_up('sb')} AS challenger_score,
       ds AS score_delta, analysis_points, risk_points, verdict, confidence, reason,
       'recall=0.40,roc_auc=0.35,precision=0.15,f1=0.10' AS weights_used FROM verdicts""",
     "importance_compare": """SELECT feature, round(max(importance) FILTER (side='champion'),6) AS champion,
       round(coalesce(max(importance) FILTER (side='challenger' AND feature IN ('temperature','humidity')),0e0),6) AS challenger
       FROM importance GROUP BY feature""",
     "latest_drift_context": """SELECT side, recall, run_ts, production_count, overall_drift FROM evaluated, (
-      SELECT CAST(ts AS DATE) AS run_ts, count(*) AS production_count, avg(temperature) > 31.4e0 AS overall_drift
+      SELECT strftime(ts, '%Y-%m-%d') AS run_ts, count(*) AS production_count, avg(temperature) > 31.4e0 AS overall_drift
       FROM readings GROUP BY 1 ORDER BY 1 DESC LIMIT 1)""",
     "comparison_summary": """SELECT '2024-01-31 00:00 UTC' AS generated_at, champion AS champion_recall,
       challenger AS challenger_recall, round(challenger-champion,4) AS recall_delta,
