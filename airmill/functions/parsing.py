@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill import constants as K
+from airmill.functions.lists import code_list
 
 # One cast per object reads all keys that matter. VARIANT members keep "absent" (null) and "JSON null" apart, and the cast
 # of anything but an object is null.
@@ -113,9 +114,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     unread = F.lit(False)
     for c in K.SENSOR_COLUMNS:
         unread = unread | F.col(c).isNull()
-    names = F.concat_ws(",", *absent)
-    missing = F.when(names == "", F.array().cast("array<string>")).otherwise(F.split(names, ","))
-    read = _hold(read, missing=missing, _unread=unread)
+    read = _hold(read, missing=code_list(*absent), _unread=unread)
     reason = (
         F.when(F.col("_doc").isNull(), "bad_json")
         .when(doc.isNull(), "not_object")

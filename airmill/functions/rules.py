@@ -6,21 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from airmill import constants as K
+from airmill.functions.lists import code_list
 
 
 def contributing_factors(t: Column, h: Column, g: Column) -> Column:
     """Ordered array of factor codes; the stronger grade of a factor hides the weaker one."""
     temperature = F.when(t >= K.TEMP_CRITICAL, "temperature_critical").when(t >= K.TEMP_HIGH, "temperature_high")
     gas = F.when(g <= K.GAS_VERY_LOW, "gas_very_low").when(g <= K.GAS_LOW, "gas_low")
-    return F.array_compact(
-        F.array(
-            temperature,
-            F.when(t <= K.TEMP_LOW, "temperature_low"),
-            F.when(h >= K.HUMIDITY_HIGH, "humidity_high"),
-            F.when(h <= K.HUMIDITY_LOW, "humidity_low"),
-            gas,
-            F.when(g >= K.GAS_HIGH, "gas_clean"),
-        )
+    return code_list(
+        temperature,
+        F.when(t <= K.TEMP_LOW, "temperature_low"),
+        F.when(h >= K.HUMIDITY_HIGH, "humidity_high"),
+        F.when(h <= K.HUMIDITY_LOW, "humidity_low"),
+        gas,
+        F.when(g >= K.GAS_HIGH, "gas_clean"),
     )
 
 

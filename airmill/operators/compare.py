@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill import constants as K
+from airmill.functions.lists import code_list
 from airmill.operators.metrics import STAT_COLUMNS
 
 SIDES = ("champion", "challenger")
@@ -55,17 +56,17 @@ def weighted_scores(deltas: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def with_points(scores: DataFrame) -> DataFrame:
     """Adds the code lists ``analysis_points`` and ``risk_points``."""
     recall, auc, precision = F.col("d_recall"), F.col("d_roc_auc"), F.col("d_precision")
-    analysis = F.array(
+    analysis = code_list(
         F.when(recall > 0.02, "recall_up").when(recall >= -0.02, "recall_stable"),
         F.when(auc > 0.01, "roc_auc_up"),
         F.when(precision > 0.02, "precision_up"),
     )
-    risks = F.array(
+    risks = code_list(
         F.when(recall < -0.02, "recall_down"),
         F.when(auc < -0.01, "roc_auc_down"),
         F.when(precision < -0.05, "precision_down"),
     )
-    return scores.withColumns({"analysis_points": F.array_compact(analysis), "risk_points": F.array_compact(risks)})
+    return scores.withColumns({"analysis_points": analysis, "risk_points": risks})
 
 
 def with_verdict(points: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,11 @@ NODE_SCHEMA = (
 # Largest model that is sent to the executors.
 MAX_NODES = 1_000_000
 # Candidate rows per tree slot: the pool holds about POOL_FACTOR rows for every row a tree finally uses.
-POOL_FACTOR = 4
+POOL_FACTOR = 2
+# Rows walked together; rows x trees intermediate values stay in the processor cache.
+_WALK_ROWS = 512
+# Rows per random bucket of a permutation.
+PERMUTE_ROWS = 10_000
 _SLOTS = 1 << 40
 
 
@@ -78,30 +82,28 @@ class ForestModel:
     features: list[str]
     mean: np.ndarray
     scale: np.ndarray
-    feature: np.ndarray  # (trees, nodes), -1 = leaf
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
+    feature: np.ndarray  # per node, all trees one after the other; 0 for leaves
+    threshold: np.ndarray  # +inf for leaves, so that a walk stays there
+    child: np.ndarray  # left child, the right child follows it; a leaf points to itself
     path: np.ndarray
+    roots: np.ndarray
     subsample: int
+    depth: int
     offset: float = -0.5
-    depth: int = field(default=0)
 
     def score_array(self, x: np.ndarray) -> np.ndarray:
         """-2^(-mean path / normaliser) per row of raw features; walks all trees level by level in small blocks."""
-        trees = np.arange(self.feature.shape[0])
         normaliser = average_path_length(self.subsample)
         out = np.empty(len(x))
-        for start in range(0, len(x), 2048):
-            part = (x[start : start + 2048] - self.mean) / self.scale
-            rows = np.arange(len(part))[:, None]
-            at = np.zeros((len(part), len(trees)), dtype=np.int32)
+        for start in range(0, len(x), _WALK_ROWS):
+            part = (x[start : start + _WALK_ROWS] - self.mean) / self.scale
+            base = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
+            flat = np.ascontiguousarray(part).ravel()
+            at = np.repeat(self.roots[None, :], len(part), axis=0)
             for _ in range(self.depth):
-                split = self.feature[trees, at]
-                go_left = part[rows, np.maximum(split, 0)] <= self.threshold[trees, at]
-                step = np.where(go_left, self.left[trees, at], self.right[trees, at])
-                at = np.where(split < 0, at, step)
-            out[start : start + 2048] = -np.exp2(-self.path[trees, at].mean(axis=1) / normaliser)
+                value = flat.take(base + self.feature.take(at, mode="clip"), mode="clip")
+                at = self.child.take(at, mode="clip") + (value > self.threshold.take(at, mode="clip"))
+            out[start : start + _WALK_ROWS] = -np.exp2(-self.path.take(at).mean(axis=1) / normaliser)
         return out
 
 
@@ -196,30 +198,39 @@ def load_model(nodes: DataFrame, scaler: DataFrame, offset: float = -0.5) -> For
     if len(table) > MAX_NODES:
         raise ValueError("node table is too large for a model")
     params = scaler.orderBy("position").limit(10_000).toPandas()
-    trees = np.sort(table["tree"].unique())
-    width = int(table["node"].max()) + 1
-    shape = (len(trees), width)
-    row = np.searchsorted(trees, table["tree"].to_numpy())
-    col = table["node"].to_numpy()
-
-    def grid(name: str, dtype, fill) -> np.ndarray:
-        out = np.full(shape, fill, dtype=dtype)
-        out[row, col] = table[name].to_numpy()
-        return out
-
+    table = table.sort_values(["tree", "node"], ignore_index=True)
+    # nodes of a tree are numbered from 0, so a row number minus its node number is the row of the root
+    root_row = table.index.to_numpy() - table["node"].to_numpy()
+    split = (table["feature"] >= 0).to_numpy()
+    left, right = root_row + table["left"].to_numpy(), root_row + table["right"].to_numpy()
+    # siblings side by side: a walk then needs one pointer per node
+    order, roots = [], []
+    for row in np.unique(root_row):
+        roots.append(len(order))
+        order.append(row)
+        open_rows = [row]
+        while open_rows:
+            row = open_rows.pop()
+            if split[row]:
+                order.extend((left[row], right[row]))
+                open_rows.extend((left[row], right[row]))
+    position = np.empty(len(table), dtype=np.int32)
+    position[order] = np.arange(len(order), dtype=np.int32)
+    placed, inner = table.iloc[order], split[order]
+    child = np.where(inner, position[np.where(split, left, 0)][order], np.arange(len(order)))
     subsample = int(table["sample_size"].max())
     return ForestModel(
         features=params["feature"].tolist(),
         mean=params["mean"].to_numpy(dtype=float),
         scale=params["scale"].to_numpy(dtype=float),
-        feature=grid("feature", np.int32, -1),
-        threshold=grid("threshold", float, 0.0),
-        left=grid("left", np.int32, -1),
-        right=grid("right", np.int32, -1),
-        path=grid("path", float, 0.0),
+        feature=np.where(inner, placed["feature"].to_numpy(), 0).astype(np.int32),
+        threshold=np.where(inner, placed["threshold"].to_numpy(dtype=float), np.inf),
+        child=child.astype(np.int32),
+        path=placed["path"].to_numpy(dtype=float),
+        roots=np.array(roots, dtype=np.int32),
         subsample=subsample,
-        offset=offset,
         depth=math.ceil(math.log2(max(subsample, 2))),
+        offset=offset,
     )
 
 
@@ -276,10 +287,10 @@ def train(
 ) -> ForestModel:
     """Scaler, forest and cut-off from a labelled training set.
 
-    Node table and training scores are checkpointed: both are read more than once and the second is expensive.
+    Training rows, node table and training scores are checkpointed: all are read more than once.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    usable = drop_nulls(df, features)
+    usable = drop_nulls(df.select(key, label, *features), features).checkpoint()
     scaler = fit_scaler(usable, features).checkpoint()
     nodes = fit_forest(usable, scaler, key, features, n_trees, subsample, seed).checkpoint()
     model = load_model(nodes, scaler)
@@ -319,7 +330,7 @@ def permuted_features(df: DataFrame, features: Sequence[str], key: str, rows: in
     Rows are thrown into equally likely random buckets by hash and rotated by one place in random order inside the
     bucket: a permutation of the whole column that needs one balanced shuffle and no row numbers.
     """
-    buckets = max(1, rows // 100_000)
+    buckets = max(1, rows // PERMUTE_ROWS)
     draw = F.xxhash64(F.col(key), F.lit(seed))
     placed = df.withColumn("_draw", draw).withColumn("_bucket", F.pmod(F.col("_draw"), F.lit(buckets)))
     w = Window.partitionBy("_bucket").orderBy("_draw", key)

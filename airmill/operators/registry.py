@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill import constants as K
+from airmill.functions.lists import code_list
 
 PRODUCTION, STAGING = "Production", "Staging"
 
@@ -99,7 +100,7 @@ def usable_model(versions: DataFrame, artifacts: DataFrame, by: Sequence[str] =
 
 def registration_gate(metrics: DataFrame, limits: dict[str, float] = K.GATE_LIMITS) -> DataFrame:
     """Add ``failed`` (names of missed limits), ``registered`` and the branch taken."""
-    failed = F.array_compact(F.array(*[F.when(~(F.col(m) >= limit), F.lit(m)) for m, limit in limits.items()]))
+    failed = code_list(*[F.when(~(F.col(m) >= limit), F.lit(m)) for m, limit in limits.items()])
     out = metrics.withColumn("failed", failed).withColumn("registered", F.size("failed") == 0)
     return out.withColumn("branch", F.when(F.col("registered"), "register_model").otherwise("skip_registration"))
 

@@ -15,6 +15,7 @@ from airmill import constants as K
 from airmill.functions import air_quality, parsing, rules
 from airmill.operators import compare, drift, features, forest, labels, metrics, ordered, quality, quantiles, registry
 from airmill.plans import medallion
+from airmill.session import ensure_checkpoint_dir
 from airmill.sources import fixtures, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,8 +376,7 @@ def silver_anomaly_rate(spark, folder):
 
 
 def silver_features(spark, folder):
-    rows = medallion.silver_features(cleaned(spark, folder), "ts", ORDER)
-    return _rounded(rows)
+    return _rounded(medallion.silver_features(cleaned(spark, folder), "ts", ORDER))
 
 
 # --- rolling -------------------------------------------------------------------------------------------------------
@@ -487,8 +487,11 @@ def fit_scaler(spark, folder):
 
 
 def _split(spark, folder):
+    """The split reads its input three times, so the labelled rows are stored once."""
+    ensure_checkpoint_dir(spark)
     hashed = (F.col("event_id") * 7919 + 42) % 100003
-    return labels.stratified_split(labelled(spark, folder), "event_id", hashed=hashed, modulus=100003)
+    rows = labelled(spark, folder).select("event_id", "is_anomaly").checkpoint()
+    return labels.stratified_split(rows, "event_id", hashed=hashed, modulus=100003)
 
 
 def stratified_split(spark, folder):

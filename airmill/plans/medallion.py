@@ -11,6 +11,8 @@ from airmill import constants as K
 from airmill.functions import air_quality, rules
 from airmill.functions.parsing import parse_messages
 from airmill.operators import features, forest, quality
+from airmill.operators.ordered import TASK_ROWS
+from airmill.session import ensure_checkpoint_dir
 from airmill.sources import lake
 
 BRONZE_COLUMNS = ["timestamp", "device_id", "version", *K.SENSOR_COLUMNS, "processed_at"]
@@ -59,13 +61,18 @@ def silver_features(
     one_task: bool | None = None,
     in_blocks: bool | None = None,
 ) -> DataFrame:
-    """Baseline, score, time parts, ratios and rolling statistics over cleaned rows."""
+    """Baseline, score, time parts, ratios and rolling statistics over cleaned rows.
+
+    Sizes, baseline and features each read the cleaned rows, so these are checkpointed instead of being cleaned again.
+    """
+    ensure_checkpoint_dir(cleaned.sparkSession)
+    cleaned = cleaned.checkpoint()
     if one_task is None or in_blocks is None:
         # one count per device answers both questions: does everything, and does the largest device, fit one task
         sizes = cleaned.groupBy(*groups).count().agg(F.sum("count"), F.max("count")).first()
         total, biggest = sizes[0] or 0, sizes[1] or 0
-        one_task = total <= features.ordered.TASK_ROWS if one_task is None else one_task
-        in_blocks = biggest > features.ordered.TASK_ROWS if in_blocks is None else in_blocks
+        one_task = total <= TASK_ROWS if one_task is None else one_task
+        in_blocks = biggest > TASK_ROWS if in_blocks is None else in_blocks
     rows = features.with_iaq(cleaned, features.gas_baseline(cleaned, one_task=one_task))
     rows = features.ratios(features.time_parts(rows, ts))
     return features.rolling(rows, order, groups=groups, in_blocks=in_blocks)
