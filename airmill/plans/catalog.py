@@ -38,25 +38,29 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.clean(fixtures.bronze(spark, folder), KEYS, NEWEST)
 
 
-def scored_silver(spark: SparkSession, folder: str) -> DataFrame:
+def _small(spark: SparkSession, folder: str) -> bool:
+    """All row sets of the queries have at most eight rows per event, and counting events needs no shuffle."""
+    return ordered.fits_one_task(fixtures.events(spark, folder), ordered.TASK_ROWS // 8)
+
+
+def scored_silver(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
     """Cleaned rows with baseline and score (no windows)."""
     rows = cleaned(spark, folder)
-    # the cleaned rows are a subset of the events, so counting those is an upper bound and needs no shuffle
-    small = ordered.fits_one_task(fixtures.events(spark, folder), ordered.TASK_ROWS // 2)
+    small = _small(spark, folder) if small is None else small
     return features.with_iaq(rows, features.gas_baseline(rows, one_task=small))
 
 
-def labelled(spark: SparkSession, folder: str) -> DataFrame:
-    return labels.with_label(scored_silver(spark, folder))
+def labelled(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
+    return labels.with_label(scored_silver(spark, folder, small))
 
 
-def model_rows(spark: SparkSession, folder: str) -> DataFrame:
+def model_rows(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
     """Evaluation rows scored by both literal forests, long by ``model``.
 
     Each model's cut-off is a quantile of its own scores at its contamination, held in a scalar subquery.
     """
-    rows = labelled(spark, folder).select("event_id", "ts", "is_anomaly", *K.SENSOR_COLUMNS)
-    small = ordered.fits_one_task(fixtures.events(spark, folder), ordered.TASK_ROWS // 2)
+    small = _small(spark, folder) if small is None else small
+    rows = labelled(spark, folder, small).select("event_id", "ts", "is_anomaly", *K.SENSOR_COLUMNS)
     scored = rows.select(
         "event_id",
         "ts",
@@ -81,15 +85,11 @@ def model_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def model_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    out = metrics.evaluate(model_rows(spark, folder), ["model"], one_task=_small(spark, folder))
+    small = _small(spark, folder)
+    out = metrics.evaluate(model_rows(spark, folder, small), ["model"], one_task=small)
     return out.withColumnRenamed("model", "side")
 
 
-def _small(spark: SparkSession, folder: str) -> bool:
-    """All row sets of the queries are at most four rows per event."""
-    return ordered.fits_one_task(fixtures.events(spark, folder), ordered.TASK_ROWS // 4)
-
-
 def gold(spark: SparkSession, folder: str) -> DataFrame:
     """Scored rows with the champion forest, columns of the gold layer."""
     rows = scored_silver(spark, folder)
@@ -106,8 +106,9 @@ def sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def day_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows by (day, matchup, side): the pair in both directions and the champion against itself."""
-    rows = model_rows(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    by_day = metrics.evaluate(rows, ["day", "model"], one_task=_small(spark, folder))
+    small = _small(spark, folder)
+    rows = model_rows(spark, folder, small).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    by_day = metrics.evaluate(rows, ["day", "model"], one_task=small)
     roles = {"forward": ("champion", "challenger"), "reverse": ("challenger", "champion"), "self": ("champion", "champion")}
     seats = []
     for matchup, (champion, challenger) in roles.items():
@@ -356,7 +357,8 @@ def gas_summary(spark, folder):
 
 
 def sensor_profile(spark, folder):
-    return _rounded(features.sensor_profile(scored_silver(spark, folder), one_task=_small(spark, folder)))
+    small = _small(spark, folder)
+    return _rounded(features.sensor_profile(scored_silver(spark, folder, small), one_task=small))
 
 
 def anomaly_rate(spark, folder):
