@@ -32,6 +32,12 @@ def with_partitions(df: DataFrame, when: Column) -> DataFrame:
     return df.withColumns({name: F.date_format(when, pattern) for name, pattern in formats.items()})
 
 
+def padded(df: DataFrame) -> DataFrame:
+    """Partition columns as zero-padded text again: reading a layer turns them into numbers."""
+    widths = {"year": 4, "month": 2, "day": 2, "hour": 2}
+    return df.withColumns({name: F.lpad(F.col(name).cast("string"), width, "0") for name, width in widths.items()})
+
+
 def partition_key(when: Column) -> Column:
     """The folder path of a time."""
     return F.date_format(when, "'year='yyyy'/month='MM'/day='dd'/hour='HH")
@@ -99,7 +105,7 @@ def in_days(now: datetime, days: tuple[int, int], at: Column | None = None) -> C
 
 
 def read_layer(spark: SparkSession, path: str, tolerant: bool = False, schema: str | None = None) -> DataFrame:
-    """A whole layer with its partition columns as text; ``tolerant`` skips unreadable and vanished files."""
+    """A whole layer with its partition columns as numbers; ``tolerant`` skips unreadable and vanished files."""
     reader = spark.read.option("mergeSchema", str(schema is None).lower())
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
@@ -152,7 +158,6 @@ def write_layer(
     mode: str = "overwrite",
     extra: Sequence[str] = (),
     rows_per_file: int = 5_000_000,
-    salt: Column | None = None,
 ) -> None:
     """Write by year/month/day/hour (and ``extra``), a few files per folder.
 
@@ -161,8 +166,7 @@ def write_layer(
     and merges small ones at run time, and ``maxRecordsPerFile`` bounds the file size.
     """
     columns = [*K.PARTITION_COLUMNS, *extra]
-    spread = df.hint("rebalance", *columns) if salt is None else df.repartition(*columns, salt)
-    writer = spread.write.mode(mode).option("maxRecordsPerFile", rows_per_file)
+    writer = padded(df).hint("rebalance", *columns).write.mode(mode).option("maxRecordsPerFile", rows_per_file)
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 

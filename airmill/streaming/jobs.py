@@ -113,7 +113,7 @@ def start_gold(
     silver: DataFrame, model: forest.ForestModel, gold_path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Score silver rows as they arrive; stateless, written by the exactly-once file sink in silver's folders."""
-    gold = medallion.to_gold(silver, model)
+    gold = lake.padded(medallion.to_gold(silver, model))
     writer = gold.writeStream.format("parquet").option("path", gold_path).partitionBy(*K.PARTITION_COLUMNS)
     return _start(writer.outputMode("append"), checkpoint, every)
 
