@@ -141,6 +141,16 @@ def report_tables(metrics: DataFrame, importance: DataFrame | None = None, drift
     return out
 
 
+def metadata_table(pairs: DataFrame, versions: DataFrame) -> DataFrame:
+    """(model_name, side, version, ...) of every valid champion/challenger pair, run metrics with 6 decimals."""
+    valid = pairs.where(F.col("status") == "ok")
+    long = valid.unpivot(["model_name"], ["champion_version", "challenger_version"], "side", "version")
+    named = long.withColumn("side", F.regexp_replace("side", "_version$", ""))
+    out = named.join(versions, ["model_name", "version"])
+    doubles = [f.name for f in out.schema.fields if f.dataType.typeName() == "double"]
+    return out.withColumns({c: F.round(c, 6) for c in doubles})
+
+
 def comparison_summary(metrics: DataFrame, generated_at: Column) -> DataFrame:
     """One JSON document: versions with metrics, deltas and recommendation."""
     deltas = metric_deltas(metrics)

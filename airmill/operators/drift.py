@@ -17,7 +17,7 @@ from airmill.functions.stats import kolmogorov_sf, ratio
 from airmill.operators.ordered import fits_one_task, running_totals
 from airmill.operators.quality import drop_nulls, shared_columns
 from airmill.operators.quantiles import melt, ranked_quantiles
-from airmill.session import ensure_checkpoint_dir
+from airmill.session import stored
 
 SUMMARY_NAMES = ["p05", "p25", "median", "p75", "p95"]
 
@@ -165,13 +165,12 @@ def drift_features(
     """One row per feature with all measures, flags and both summaries; a side with too few rows drops the feature.
 
     Every join is between tables of one row per feature. The cumulative counts feed six aggregates, so they are
-    checkpointed once.
+    stored once.
     """
-    ensure_checkpoint_dir(reference.sparkSession)
     long = both_sides(reference, production, features)
     if one_task is None:
         one_task = fits_one_task(long)
-    run = running_counts(value_counts(long), one_task, chunks).checkpoint()
+    run = stored(running_counts(value_counts(long), one_task, chunks))
     ks = ks_test(run).where((F.col("n_e") >= K.MIN_FEATURE_ROWS) & (F.col("n_a") >= K.MIN_FEATURE_ROWS))
     diverged = divergences(histogram(run.select("feature", "x", "e", "a")))
     stats = describe(run, one_task)

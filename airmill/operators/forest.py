@@ -14,14 +14,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airmill import constants as K
 from airmill.operators.quality import drop_nulls, require_columns
 from airmill.operators.quantiles import quantile
-from airmill.session import ensure_checkpoint_dir
+from airmill.session import stored
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double, sample_size int"
@@ -192,8 +192,8 @@ def fit_forest(
     return sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
-def load_model(nodes: DataFrame, scaler: DataFrame, offset: float = -0.5) -> ForestModel:
-    """Collect a node table into arrays; refuses anything that is not model-sized."""
+def load_model(nodes: DataFrame, scaler: DataFrame) -> ForestModel:
+    """Collect a node table into arrays; refuses anything that is not model-sized. The offset comes with the scaler."""
     table = nodes.limit(MAX_NODES + 1).toPandas()
     if len(table) > MAX_NODES:
         raise ValueError("node table is too large for a model")
@@ -230,7 +230,7 @@ def load_model(nodes: DataFrame, scaler: DataFrame, offset: float = -0.5) -> For
         roots=np.array(roots, dtype=np.int32),
         subsample=subsample,
         depth=math.ceil(math.log2(max(subsample, 2))),
-        offset=offset,
+        offset=float(params["offset"].iloc[0]) if "offset" in params else -0.5,
     )
 
 
@@ -276,7 +276,7 @@ def cutoff(scored: DataFrame, share: float, one_task: bool | None = None) -> Dat
     return quantile(scored, "anomaly_score", share, one_task)
 
 
-def train(
+def train_tables(
     df: DataFrame,
     key: str,
     label: str = "is_anomaly",
@@ -284,20 +284,34 @@ def train(
     n_trees: int = K.N_TREES,
     subsample: int = K.SUBSAMPLE,
     seed: int = K.SEED,
-) -> ForestModel:
-    """Scaler, forest and cut-off from a labelled training set.
+) -> tuple[DataFrame, DataFrame]:
+    """Node table and parameter table (scaler rows with contamination and offset) from a labelled training set.
 
-    Training rows, node table and training scores are checkpointed: all are read more than once.
+    Training rows, nodes and training scores are stored: all are read more than once.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    usable = drop_nulls(df.select(key, label, *features), features).checkpoint()
-    scaler = fit_scaler(usable, features).checkpoint()
-    nodes = fit_forest(usable, scaler, key, features, n_trees, subsample, seed).checkpoint()
+    usable = stored(drop_nulls(df.select(key, label, *features), features))
+    scaler = stored(fit_scaler(usable, features))
+    nodes = stored(fit_forest(usable, scaler, key, features, n_trees, subsample, seed))
     model = load_model(nodes, scaler)
     share = usable.select(contamination(F.avg(label)).alias("c")).first()[0]
-    scores = score(usable.select(*features), model).select("anomaly_score").checkpoint()
-    model.offset = cutoff(scores, share).first()[0]
-    return model
+    scores = stored(score(usable.select(*features), model).select("anomaly_score"))
+    offset = cutoff(scores, share).first()[0]
+    return nodes, scaler.withColumns({"contamination": F.lit(share), "offset": F.lit(offset)})
+
+
+def train(df: DataFrame, key: str, **options) -> ForestModel:
+    """``train_tables`` as a loaded model."""
+    return load_model(*train_tables(df, key, **options))
+
+
+def write_model(nodes: DataFrame, params: DataFrame, path: str) -> None:
+    """Store a model; the parameters come last, so a folder with parameters is complete."""
+    nodes.coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+    params.coalesce(1).write.mode("overwrite").parquet(f"{path}/params")
+
+
+def read_model(spark: SparkSession, path: str) -> ForestModel:
+    return load_model(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/params"))
 
 
 # --- literal forests ------------------------------------------------------------------------------------------------

@@ -2,8 +2,8 @@
 
 Row numbers and running totals over a whole table, or over one hot group, cannot be a plain window: the window would put
 all of it in one task. Here the rows are range-partitioned by the full ordering key (Spark samples the key, so a hot
-group is simply spread over many ranges), the position inside each range is stored with a checkpoint, and a table with
-one row per range supplies the offsets.
+group is simply spread over many ranges), the position inside each range is stored with the rows, and a table with one
+row per range supplies the offsets.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airmill.session import ensure_checkpoint_dir
+from airmill.session import stored
 
 # Largest number of rows that a single window task or a single exact-percentile group is asked to hold.
 TASK_ROWS = 2_000_000
@@ -36,15 +36,13 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 def ordered_chunks(df: DataFrame, keys: Sequence[str], chunks: int | None = None) -> DataFrame:
     """Range-partition by ``keys`` and add ``chunk`` (range number) and ``pos`` (0-based position in the range).
 
-    Range bounds come from sampling and would differ between two evaluations of the same plan. The checkpoint fixes
-    them, so several consumers (and retried tasks) see the same ranges.
+    Range bounds come from sampling and would differ between two evaluations of the same plan. The result is a stored
+    table, so all consumers see the same ranges.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS))
-    return ranged.select("*", F.spark_partition_id().alias("chunk"), position.alias("pos")).checkpoint()
+    return stored(ranged.select("*", F.spark_partition_id().alias("chunk"), position.alias("pos")))
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], chunks: int | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from airmill import constants as K
 from airmill.functions import air_quality, parsing, rules
 from airmill.operators import compare, drift, features, forest, labels, metrics, ordered, quality, quantiles, registry
 from airmill.plans import medallion
-from airmill.session import ensure_checkpoint_dir
+from airmill.session import stored
 from airmill.sources import fixtures, lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -490,9 +490,8 @@ def fit_scaler(spark, folder):
 
 def _split(spark, folder):
     """The split reads its input three times, so the labelled rows are stored once."""
-    ensure_checkpoint_dir(spark)
     hashed = (F.col("event_id") * 7919 + 42) % 100003
-    rows = labelled(spark, folder).select("event_id", "is_anomaly").checkpoint()
+    rows = stored(labelled(spark, folder).select("event_id", "is_anomaly"))
     return labels.stratified_split(rows, "event_id", hashed=hashed, modulus=100003)
 
 
@@ -555,7 +554,8 @@ def evaluate_models(spark, folder):
 def train_test_metrics(spark, folder):
     parts = _split(spark, folder).select("event_id", "split")
     rows = model_rows(spark, folder).where(F.col("model") == "champion").join(parts, "event_id")
-    return _rounded(metrics.classification_metrics(rows, ["split"]).drop("few_anomalies"))
+    rates = metrics.classification_metrics(rows, ["split"]).drop("few_anomalies")
+    return _rounded(rates.join(metrics.roc_auc(rows, ["split"], _small(spark, folder)), "split"))
 
 
 def eval_set(spark, folder):
@@ -602,7 +602,7 @@ def _trained(spark, folder):
 
 def fit_forest(spark, folder):
     rows = fixtures.readings(spark, folder)
-    return forest.fit_forest(rows, forest.fit_scaler(rows).checkpoint(), "event_id")
+    return forest.fit_forest(rows, stored(forest.fit_scaler(rows)), "event_id")
 
 
 def forest_score(spark, folder):
@@ -638,6 +638,12 @@ def usable_model(spark, folder):
     return _text_versions(registry.usable_model(fixtures.versions(spark, folder), fixtures.artifacts(spark, folder)))
 
 
+def report_metadata(spark, folder):
+    versions, runs = fixtures.versions(spark, folder), fixtures.runs(spark, folder)
+    pairs = registry.champion_challenger(versions)
+    return compare.metadata_table(pairs, registry.version_metrics(versions, runs)).drop("run_id")
+
+
 def registration_gate(spark, folder):
     gated = registry.registration_gate(fixtures.runs(spark, folder))
     return gated.select("run_id", F.concat_ws(",", "failed").alias("failed"), "registered", "branch")
@@ -761,7 +767,7 @@ NAMES = [
     "latest_by_stage", "champion_fallback", "champion_challenger", "usable_model", "registration_gate",
     "stage_assignment", "version_metrics",
     "metric_deltas", "weighted_score", "risk_points", "verdict", "recommendation", "importance_compare",
-    "latest_drift_context", "comparison_summary", "report_tables",
+    "latest_drift_context", "comparison_summary", "report_tables", "report_metadata",
 ]
 
 

@@ -12,7 +12,7 @@ from airmill.functions import air_quality, rules
 from airmill.functions.parsing import parse_messages
 from airmill.operators import features, forest, quality
 from airmill.operators.ordered import TASK_ROWS
-from airmill.session import ensure_checkpoint_dir
+from airmill.session import stored
 from airmill.sources import lake
 
 BRONZE_COLUMNS = ["timestamp", "device_id", "version", *K.SENSOR_COLUMNS, "processed_at"]
@@ -33,18 +33,24 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.where(F.col("invalid_reason").isNull()), parsed.where(F.col("invalid_reason").isNotNull())
 
 
-def to_bronze(
-    messages: DataFrame, processed_at: Column, by_message_time: bool = True, one_task: bool | None = None
+def bronze_rows(
+    parsed: DataFrame, processed_at: Column, by_message_time: bool = True, one_task: bool | None = None
 ) -> DataFrame:
-    """Valid messages with baseline, score and partition columns."""
-    valid, _ = split_valid(parse_messages(messages))
-    rows = valid.withColumn("processed_at", processed_at).select(*BRONZE_COLUMNS)
+    """Accepted rows of parsed messages with baseline, score and partition columns; reads ``parsed`` twice."""
+    rows = split_valid(parsed.withColumn("processed_at", processed_at))[0].select(*BRONZE_COLUMNS)
     base = features.gas_baseline(rows, min_rows=K.GAS_BASELINE_MIN_ROWS, one_task=one_task)
     rows = features.with_iaq(rows.withColumn("gas_resistance_raw", F.col("gas_resistance")), base)
     when = lake.partition_time(F.col("timestamp"), F.col("processed_at"), by_message_time)
     return lake.with_partitions(rows, when)
 
 
+def to_bronze(
+    messages: DataFrame, processed_at: Column, by_message_time: bool = True, one_task: bool | None = None
+) -> DataFrame:
+    """Messages to bronze rows. The parsed rows are stored, because parsing costs more than reading them back."""
+    return bronze_rows(stored(parse_messages(messages)), processed_at, by_message_time, one_task)
+
+
 # --- silver --------------------------------------------------------------------------------------------------------
 
 
@@ -63,10 +69,9 @@ def silver_features(
 ) -> DataFrame:
     """Baseline, score, time parts, ratios and rolling statistics over cleaned rows.
 
-    Sizes, baseline and features each read the cleaned rows, so these are checkpointed instead of being cleaned again.
+    Sizes, baseline and features each read the cleaned rows, so these are stored instead of being cleaned again.
     """
-    ensure_checkpoint_dir(cleaned.sparkSession)
-    cleaned = cleaned.checkpoint()
+    cleaned = stored(cleaned)
     if one_task is None or in_blocks is None:
         # one count per device answers both questions: does everything, and does the largest device, fit one task
         sizes = cleaned.groupBy(*groups).count().agg(F.sum("count"), F.max("count")).first()
@@ -81,18 +86,21 @@ def silver_features(
 def to_silver(bronze: DataFrame, groups: Sequence[str] = ("device_id",), at: Column | None = None) -> DataFrame:
     """Silver rows of a bronze window, with partition columns.
 
-    The default partition is the event hour, so re-running overlapping windows replaces rows instead of repeating them;
-    pass a processing time in ``at`` for the append-only layout. A time that cannot be read falls back to the processing
-    time, as it does for the bronze folder.
+    A row stays in the folder hour it has in bronze. A window reads whole bronze folders, so re-running overlapping
+    windows replaces whole silver folders instead of repeating rows. Pass a processing time in ``at`` for the append-only
+    layout. A time that cannot be read falls back to the processing time, as it does for the bronze folder.
     """
-    rows = bronze.select(*BRONZE_COLUMNS)
+    folder = {c: F.col(c) for c in K.PARTITION_COLUMNS}
+    rows = bronze.select(*BRONZE_COLUMNS, F.struct(*folder.values()).alias("_folder"))
     cleaned = clean(rows, SILVER_KEYS, ["processed_at", "gas_resistance", "temperature", "humidity", "pressure"])
     event_time = lake.partition_time(F.col("timestamp"), F.col("processed_at"))
     cleaned = cleaned.withColumn("event_ts", event_time)
     silver = silver_features(cleaned, "event_ts", ["event_ts", "timestamp"], groups)
     # the hour feature and the hour folder share a name; the feature keeps its own column in the files
     silver = silver.withColumnRenamed("hour", "hour_of_day")
-    return lake.with_partitions(silver, at if at is not None else F.col("event_ts"))
+    if at is not None:
+        return lake.with_partitions(silver, at).drop("_folder")
+    return silver.withColumns({c: F.col(f"_folder.{c}") for c in folder}).drop("_folder")
 
 
 # --- gold ----------------------------------------------------------------------------------------------------------

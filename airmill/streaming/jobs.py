@@ -19,6 +19,7 @@ from airmill import constants as K
 from airmill.functions.parsing import parse_messages
 from airmill.operators import forest
 from airmill.plans import medallion
+from airmill.session import stored
 from airmill.sources import lake
 
 ROLLING_SCHEMA = (
@@ -51,9 +52,10 @@ def start_bronze(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         number = F.lit(batch_id)
-        rows = medallion.to_bronze(batch, F.col("received_at"), by_message_time).withColumn("batch_id", number)
+        parsed = stored(parse_messages(batch))
+        rows = medallion.bronze_rows(parsed, F.col("received_at"), by_message_time).withColumn("batch_id", number)
         lake.write_layer(rows, bronze_path, extra=["batch_id"])
-        _, rejected = medallion.split_valid(parse_messages(batch))
+        _, rejected = medallion.split_valid(parsed)
         out = rejected.select("body", "invalid_reason", "missing", "received_at", number.alias("batch_id"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
 

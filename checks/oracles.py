@@ -490,10 +490,14 @@ _BODIES = {
       round(CASE WHEN tp+fp=0 THEN 0e0 ELSE tp/(tp+fp) END,6) AS precision,
       round(CASE WHEN tp+fn=0 THEN 0e0 ELSE tp/(tp+fn) END,6) AS recall,
       round(CASE WHEN 2*tp+fp+fn=0 THEN 0e0 ELSE 2*tp/(2*tp+fp+fn) END,6) AS f1,
-      round((tp+fp)/(tp+tn+fp+fn),6) AS anomaly_rate_predicted, round((tp+fn)/(tp+tn+fp+fn),6) AS anomaly_rate_true FROM (
-      SELECT split, count(*) FILTER (m.is_anomaly=0 AND predicted=0) AS tn, count(*) FILTER (m.is_anomaly=0 AND predicted=1) AS fp,
-        count(*) FILTER (m.is_anomaly=1 AND predicted=0) AS fn, count(*) FILTER (m.is_anomaly=1 AND predicted=1) AS tp
-      FROM model_rows m JOIN splits s USING (event_id) WHERE model='champion' GROUP BY split)""",
+      round((tp+fp)/(tp+tn+fp+fn),6) AS anomaly_rate_predicted, round((tp+fn)/(tp+tn+fp+fn),6) AS anomaly_rate_true,
+      round((pos_rank - p*(p+1)/2)/(p*(n-p)),6) AS roc_auc FROM (
+      SELECT split, count(*) FILTER (is_anomaly=0 AND predicted=0) AS tn, count(*) FILTER (is_anomaly=0 AND predicted=1) AS fp,
+        count(*) FILTER (is_anomaly=1 AND predicted=0) AS fn, count(*) FILTER (is_anomaly=1 AND predicted=1) AS tp,
+        CAST(sum(is_anomaly) AS DOUBLE) AS p, count(*) AS n, sum(r) FILTER (is_anomaly=1) AS pos_rank FROM (
+      SELECT split, m.is_anomaly, predicted, rank() OVER (PARTITION BY split ORDER BY outlierness)
+        + (count(*) OVER (PARTITION BY split, outlierness) - 1)/2e0 AS r
+      FROM model_rows m JOIN splits s USING (event_id) WHERE model='champion') GROUP BY split)""",
     "eval_set": f"""SELECT event_id, {_ROUND_SILVER}, is_anomaly FROM labelled WHERE {_days('2024-01-23', '2024-01-29')}""",
     "forest_score_boxes": "SELECT event_id, round(score,6) AS anomaly_score FROM challenger_scores",
     "anomaly_cutoff": 'SELECT round(quantile_cont(score,0.06),6) AS "offset" FROM challenger_scores',
@@ -555,6 +559,13 @@ _BODIES = {
       challenger AS challenger_recall, round(challenger-champion,4) AS recall_delta,
       CASE WHEN challenger-champion < -0.03e0 THEN 'KEEP' ELSE 'PROMOTE' END AS verdict, 'HIGH' AS confidence
       FROM deltas WHERE metric='recall'""",
+    "report_metadata": """SELECT i.model_name, x.side, x.version, v.stage,
+      coalesce(CAST(r.training_date AS VARCHAR),'unknown') AS training_date, round(r.roc_auc,6) AS roc_auc,
+      round(r.precision,6) AS precision, round(r.recall,6) AS recall, round(r.f1,6) AS f1 FROM (
+      SELECT model_name, prod AS c, stag FROM in_stage WHERE prod IS NOT NULL AND stag > prod
+      UNION ALL SELECT model_name, version, stag FROM fallback WHERE stag > version) i,
+      LATERAL (VALUES ('champion', i.c), ('challenger', i.stag)) AS x(side, version)
+      JOIN versions v ON v.version = x.version LEFT JOIN runs r ON r.run_id = v.run_id""",
     "report_tables": """SELECT 'metrics' AS section, item, champion, challenger, round(challenger-champion,4) AS delta FROM (
         SELECT item, max(v) FILTER (side='champion') AS champion, max(v) FILTER (side='challenger') AS challenger FROM (
         UNPIVOT (SELECT side, roc_auc, precision, recall, f1, accuracy, anomaly_rate_predicted FROM evaluated)
