@@ -29,6 +29,7 @@ def test_layout_and_roundtrip(spark, folder, layer):
 
 
 def test_windows_prune_folders(spark, folder, layer):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     df = lake.read_layer(spark, layer)
     for window, lo, hi in (
         (lake.in_hours(lake.lookback(NOW, 6)), "2024-01-03 00:00", "2024-01-03 06:00"),
