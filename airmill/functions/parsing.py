@@ -20,6 +20,15 @@ def _as(variant: Column, as_type: str) -> Column:
     return F.try_variant_get(variant, "$", as_type)
 
 
+def _read_json(text: Column) -> Column:
+    """Variant of a JSON text, null when unreadable. The bare numbers NaN and Infinity are read as well.
+
+    Only a text that fails as plain JSON is looked at a second time.
+    """
+    quoted = F.regexp_replace(text, r"([:\[,]\s*)(-?Infinity|NaN)(?=\s*[,}\]])", '$1"$2"')
+    return F.coalesce(F.try_parse_json(text), F.when(text.rlike("NaN|Infinity"), F.try_parse_json(quoted)))
+
+
 def _is_text(variant: Column) -> Column:
     """The variant is a JSON string."""
     return F.coalesce(F.schema_of_variant(variant) == "STRING", F.lit(False))
@@ -58,16 +67,16 @@ def _suspect_texts(variant: Column, names: Sequence[str], body: Column) -> Colum
 def _open_envelope(df: DataFrame, body: str) -> DataFrame:
     """Adds envelope, _doc (variant) and _d (the keys of the document, null when it is no object)."""
     v, top = F.col("_v"), F.col("_top")
-    read = _hold(df, _v=F.try_parse_json(F.col(body)))
+    read = _hold(df, _v=_read_json(F.col(body)))
     read = _hold(read, _top=_as(v, _MESSAGE))
     inner = top["Message"]
     notification = F.coalesce(_as(top["Type"], "string") == "Notification", F.lit(False)) & _is_text(top["Type"])
-    opened = F.try_parse_json(F.when(inner.isNotNull() & _is_text(inner), _as(inner, "string")))
+    opened = _read_json(F.when(inner.isNotNull() & _is_text(inner), _as(inner, "string")))
     text = F.ltrim(F.col(body)).startswith('"')
     read = _hold(
         read,
         _notification=notification,
-        _opened=F.when(top.isNotNull(), opened).when(v.isNotNull() & text, F.try_parse_json(_as(v, "string"))),
+        _opened=F.when(top.isNotNull(), opened).when(v.isNotNull() & text, _read_json(_as(v, "string"))),
     )
     opened = F.col("_opened")
     envelope = (
@@ -137,9 +146,9 @@ def parse_aliases(df: DataFrame, body: str = "body") -> DataFrame:
     has no numeric reading at all: null, array, object; or a body that is a bare number, boolean or null).
     """
     event, raw, doc = F.col("_event"), F.col("_raw"), F.col("_doc")
-    read = _hold(df, _event=F.try_parse_json(F.col(body)))
+    read = _hold(df, _event=_read_json(F.col(body)))
     read = _hold(read, _raw=F.coalesce(F.try_variant_get(event, "$.body", "variant"), event))
-    read = _hold(read, _doc=F.when(_is_text(raw), F.try_parse_json(_as(raw, "string"))).otherwise(raw))
+    read = _hold(read, _doc=F.when(_is_text(raw), _read_json(_as(raw, "string"))).otherwise(raw))
     read = _hold(
         read,
         _d=_as(doc, _members(_SCORER_KEYS, "variant")),

@@ -161,6 +161,8 @@ def tree_samples(
         pick = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_SLOTS))
         pooled = df.where(pick < int(_SLOTS * (pool_target / rows)))
     pool_rows = min(rows, pool_target)
+    # the pool is small by construction; spreading it lets all cores draw
+    pooled = pooled.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     spread = pooled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
     spread = spread.withColumn("_draw", F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed + 1)), F.lit(_SLOTS)))
     if pool_rows > 2 * POOL_FACTOR * subsample:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from airmill import constants as K
 from airmill.functions.stats import ratio
+from airmill.session import stored
 
 # Hash slots of the split; the slot table has at most SPLIT_SLOTS rows per class.
 SPLIT_SLOTS = 65_536
@@ -96,7 +97,7 @@ def stratified_split(
 
     Rows are ranked by (hash, key) inside their class, but no class is ever sorted: counts per hash slot say which slots
     are wholly test or wholly train, and only the one slot per class where the quota ends is ranked. Everything else is
-    a map-side decision against a slot table of at most ``slots`` rows per class. ``hashed`` with ``modulus`` replaces
+    a map-side decision against a stored slot table of at most ``slots`` rows per class. ``hashed`` with ``modulus`` replaces
     the built-in hash.
     """
     if hashed is None:
@@ -109,7 +110,7 @@ def stratified_split(
     quotas = split_quotas(counts.groupBy(label).agg(F.sum("_n").alias("rows")), label, share)
     slot_table = counts.withColumn("_upto", F.sum("_n").over(upto)).join(quotas, label)
     left = F.col("quota") - (F.col("_upto") - F.col("_n"))
-    slot_table = slot_table.select(label, "_slot", "_n", F.greatest(left, F.lit(0)).alias("_left"))
+    slot_table = stored(slot_table.select(label, "_slot", "_n", F.greatest(left, F.lit(0)).alias("_left")))
     known = placed.join(F.broadcast(slot_table), [label, "_slot"])
     whole = F.when(F.col("_left") >= F.col("_n"), "test").when(F.col("_left") <= 0, "train")
     known = known.withColumn("split", whole)

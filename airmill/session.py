@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a repeated key in a message is no error, its last value counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -44,6 +44,9 @@ def parse(spark, *bodies):
         ({**FLAT, "humidity": True}, "plain", None),
         ({**FLAT, "humidity": "inf"}, "plain", None),
         ({**FLAT, "humidity": "nan"}, "plain", None),
+        ({**FLAT, "humidity": float("nan")}, "plain", None),
+        ({"Message": json.dumps({**FLAT, "humidity": float("-inf")})}, "message", None),
+        ('{"a": NaN', "unreadable", "bad_json"),
     ],
 )
 def test_forms(spark, body, envelope, reason):
@@ -61,6 +64,12 @@ def test_values(spark):
     assert (text.humidity, flag.humidity, nan.humidity) == (65.5, 1.0, None)
 
 
+def test_lenient_numbers(spark):
+    twice = '{"temperature":1,"temperature":2,"humidity":NaN,"pressure":-Infinity,"gas_resistance":4}'
+    row = parse(spark, twice)[0]
+    assert (row.invalid_reason, row.temperature, row.humidity, row.pressure) == (None, 2.0, None, float("-inf"))
+
+
 def test_missing_names(spark):
     row = parse(spark, {"temperature": 1, "pressure": None})[0]
     assert row.missing == ["humidity", "pressure", "gas_resistance"]
