@@ -9,6 +9,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F
+
 from airmill.plans import catalog
 from airmill.session import get_session
 
@@ -31,6 +33,8 @@ def main() -> None:
     # start the JVM paths and the Python workers outside the measurement
     queries["gas_summary"](spark, folder).collect()
     queries["forest_score_boxes"](spark, folder).write.format("noop").mode("overwrite").save()
+    start_python = F.pandas_udf(lambda x: x + 1, "bigint")
+    spark.range(0, 1000, 1, int(partitions)).select(start_python("id")).write.format("noop").mode("overwrite").save()
     times = {}
     for name in names:
         start = time.perf_counter()
