@@ -4,6 +4,12 @@
 SENSOR_COLUMNS = ["temperature", "humidity", "pressure", "gas_resistance"]
 PROFILE_COLUMNS = ["temperature", "humidity", "pressure", "gas_resistance", "iaq_score"]
 ROLLING_COLUMNS = ["temperature", "humidity", "iaq_score"]
+SILVER_FEATURES = [
+    "temperature", "humidity", "pressure", "gas_resistance", "iaq_score",
+    "hour_of_day", "day_of_week", "is_weekend", "temp_humidity_ratio", "gas_pressure_ratio",
+    "temperature_rolling_mean", "temperature_rolling_std", "humidity_rolling_mean", "humidity_rolling_std",
+    "iaq_score_rolling_mean", "iaq_score_rolling_std",
+]
 PARTITION_COLUMNS = ["year", "month", "day", "hour"]
 ALERT_COLUMNS = ["timestamp", "device_id", "temperature", "humidity", "iaq_score", "anomaly_score"]
 

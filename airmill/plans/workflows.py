@@ -43,13 +43,14 @@ def _labelled_window(spark: SparkSession, silver: str, now: datetime, days: tupl
     return keyed.withColumn("row_key", F.xxhash64("timestamp", "device_id"))
 
 
-def _side(rows: DataFrame, model: forest.ForestModel, name: str) -> DataFrame:
-    """(by..., is_anomaly, predicted, outlierness) of labelled rows under one model."""
-    score = forest.score_column(rows, model).alias("_score")
-    kept = rows.select("is_anomaly", *[c for c in ("split",) if c in rows.columns], score)
-    return kept.select(
-        "*", (F.col("_score") < model.offset).cast("int").alias("predicted"), (-F.col("_score")).alias("outlierness"), F.lit(name).alias("side")
-    ).drop("_score")
+def _scored(rows: DataFrame, models: dict[str, forest.ForestModel]) -> DataFrame:
+    """(..., side, is_anomaly, predicted, outlierness) of labelled rows; all models score a row in the same pass."""
+    kept = [c for c in ("is_anomaly", "split") if c in rows.columns]
+    wide = rows.select(*kept, *[forest.score_column(rows, model).alias(side) for side, model in models.items()])
+    offset = F.create_map(*[F.lit(v) for side, model in models.items() for v in (side, model.offset)])
+    long = wide.unpivot(kept, list(models), "side", "_score")
+    flagged = (F.col("_score") < offset[F.col("side")]).cast("int").alias("predicted")
+    return long.select(*kept, "side", flagged, (-F.col("_score")).alias("outlierness"))
 
 
 def train_model(
@@ -62,7 +63,7 @@ def train_model(
     nodes, params = forest.train_tables(parts.where(F.col("split") == "train"), "row_key")
     forest.write_model(nodes, params, f"{models}/{run_id}")
     model = forest.read_model(spark, f"{models}/{run_id}")
-    scored = _side(quality.drop_nulls(parts, K.SENSOR_COLUMNS), model, "candidate")
+    scored = _scored(quality.drop_nulls(parts, K.SENSOR_COLUMNS), {"candidate": model})
     report = stored(registry.registration_gate(metrics.evaluate(scored, ["split"], digits=12)))
     test = report.where(F.col("split") == "test")
     newest = F.coalesce(versions.where(F.col("model_name") == model_name).agg(F.max("version")).scalar(), F.lit(0)) + 1
@@ -74,7 +75,7 @@ def train_model(
 
 def run_inference(spark: SparkSession, silver: str, gold: str, model: forest.ForestModel, now: datetime) -> DataFrame | None:
     """Newest silver hour, last files, to gold; returns the anomaly extract, or None without input."""
-    recent = lake.latest_hour(lake.read_layer(spark, silver), now)
+    recent = lake.latest_hour(quality.require_columns(lake.read_layer(spark, silver), K.SILVER_FEATURES), now)
     if recent.isEmpty():
         return None
     scored = stored(medallion.to_gold(lake.last_files(recent), model))
@@ -102,8 +103,7 @@ def compare_models(
     window = _labelled_window(spark, silver, now, K.EVALUATION_DAYS, tolerant=True)
     rows = stored(quality.drop_nulls(window.select("row_key", "is_anomaly", *K.SENSOR_COLUMNS), K.SENSOR_COLUMNS))
     models = {"champion": champion, "challenger": challenger}
-    scored = lake.union_layers([_side(rows, model, side) for side, model in models.items()])
-    result = stored(metrics.evaluate(stored(scored), ["side"]))
+    result = stored(metrics.evaluate(stored(_scored(rows, models)), ["side"]))
     importance = lake.union_layers(
         [forest.permutation_importance(rows, model, "row_key").withColumn("side", F.lit(side)) for side, model in models.items()]
     )
