@@ -96,7 +96,8 @@ _CTES = {
       SELECT v.feature, s.n_e, s.n_a, sum(v.e) OVER w AS e_run, sum(v.a) OVER w AS a_run
       FROM value_counts v JOIN sizes s USING (feature) WINDOW w AS (PARTITION BY v.feature ORDER BY v.x))
       GROUP BY feature, n_e, n_a""",
-    "ksp": """SELECT feature, d, least(1e0, greatest(0e0, list_sum(list_transform(range(1,101), lambda k:
+    # the alternating series needs about 4 / lambda terms
+    "ksp": """SELECT feature, d, least(1e0, greatest(0e0, list_sum(list_transform(range(1,5001), lambda k:
       2e0*(CASE WHEN k%2=1 THEN 1e0 ELSE -1e0 END)*exp(-2e0*k*k*d*d*(CAST(n_e AS DOUBLE)*n_a/(n_e+n_a))))))) AS p FROM ks""",
     "describe_": """SELECT side, feature, count(*) AS count, avg(x) AS mean, stddev_pop(x) AS std, min(x) AS min,
       quantile_cont(x,0.05) AS p05, quantile_cont(x,0.25) AS p25, quantile_cont(x,0.5) AS median,
