@@ -238,11 +238,11 @@ def load_model(nodes: DataFrame, scaler: DataFrame) -> ForestModel:
 
 def score_column(df: DataFrame, model: ForestModel) -> Column:
     """Score of the model's feature columns (lower = more anomalous)."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf(T.DoubleType())
     def score(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        local = shared.value
+        local = ForestModel(**shared.value)
         for columns in parts:
             yield pd.Series(local.score_array(np.column_stack([c.to_numpy(dtype=float) for c in columns])))
 
@@ -367,11 +367,11 @@ def permutation_importance(
     features = model.features
     ready = drop_nulls(df, features).select(key, *features)
     mixed = permuted_features(ready, features, key, rows if rows is not None else ready.count(), seed)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def changes(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        local, n = shared.value, len(features)
+        local, n = ForestModel(**shared.value), len(features)
         for columns in parts:
             table = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             plain, other = table[:, :n], table[:, n:]
