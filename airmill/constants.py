@@ -118,7 +118,6 @@ SCORE_PROBS = [0.5, 0.95, 0.99]
 # --- look-back ---------------------------------------------------------------------------------------------------
 DEFAULT_LOOKBACK_HOURS = 2
 MAX_LOOKBACK_HOURS = 720
-RECENT_FILES = 3
 ALERT_LIMIT = 5
 
 # --- comparison --------------------------------------------------------------------------------------------------

@@ -27,10 +27,3 @@ def kolmogorov_sf(lam: Column) -> Column:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division with 0 for a zero denominator."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
-
-
-def average_path(n: Column) -> Column:
-    """Expected path length of an unsuccessful search among n points (isolation-forest normaliser)."""
-    m = n.cast("double")
-    general = F.lit(2.0) * (F.log(m - 1) + F.lit(0.5772156649015329)) - F.lit(2.0) * (m - 1) / m
-    return F.when(n <= 1, 0.0).when(n == 2, 1.0).otherwise(general)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from airmill import constants as K
 from airmill.functions.stats import kolmogorov_sf, ratio
-from airmill.operators.ordered import fits_one_task, running_totals
+from airmill.operators.ordered import running_totals
 from airmill.operators.quality import drop_nulls, shared_columns
 from airmill.operators.quantiles import melt, ranked_quantiles
 from airmill.session import stored
@@ -46,9 +46,9 @@ def value_counts(long: DataFrame) -> DataFrame:
     return long.groupBy("feature", "x").agg(e.alias("e"), a.alias("a"))
 
 
-def running_counts(counts: DataFrame, one_task: bool, chunks: int | None = None) -> DataFrame:
+def running_counts(counts: DataFrame, chunks: int | None = None) -> DataFrame:
     """Adds e_run and a_run, the two cumulative counts in value order."""
-    return running_totals(counts, ["x"], ["e", "a"], ["feature"], one_task, chunks)
+    return running_totals(counts, ["x"], ["e", "a"], ["feature"], chunks)
 
 
 def _bounds(counts: DataFrame) -> DataFrame:
@@ -124,25 +124,18 @@ def _side_counts(run: DataFrame, side: str) -> DataFrame:
     return run.select(*columns).where(F.col("n") > 0).withColumn("side", F.lit(side))
 
 
-def describe(run: DataFrame, one_task: bool) -> DataFrame:
-    """(side, feature, count, mean, std, min, p05, p25, median, p75, p95, max); std is the population value."""
+def describe(run: DataFrame, long: DataFrame) -> DataFrame:
+    """(side, feature, count, mean, std, min, p05, p25, median, p75, p95, max); std is the population value.
+
+    Counts and quantiles come from the cumulative counts, mean and deviation from the rows: their aggregate is combined
+    map-side and, unlike sums of squares, exact for a small spread on a high level.
+    """
     both = _side_counts(run, "reference").unionByName(_side_counts(run, "production"))
     by = ["side", "feature"]
     x, n = F.col("x"), F.col("n")
-    mean = F.sum(x * n) / F.sum(n)
-    spread = F.greatest(F.lit(0.0), F.sum(x * x * n) / F.sum(n) - mean * mean)
-    aggs = [
-        F.sum(n).alias("count"),
-        mean.alias("mean"),
-        F.sqrt(spread).alias("std"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-    ]
-    if one_task:
-        probs = F.array(*[F.lit(p) for p in K.SUMMARY_PROBS])
-        out = both.groupBy(*by).agg(*aggs, F.percentile("x", probs, n).alias("q"))
-    else:
-        out = both.groupBy(*by).agg(*aggs).join(ranked_quantiles(both, K.SUMMARY_PROBS, by), by)
+    aggs = [F.sum(n).alias("count"), F.min(x).alias("min"), F.max(x).alias("max")]
+    moments = long.groupBy(*by).agg(F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    out = both.groupBy(*by).agg(*aggs).join(moments, by).join(ranked_quantiles(both, K.SUMMARY_PROBS, by), by)
     quantiles = [F.col("q")[i].alias(name) for i, name in enumerate(SUMMARY_NAMES)]
     return out.select(*by, "count", "mean", "std", "min", *quantiles, "max")
 
@@ -159,7 +152,6 @@ def drift_features(
     reference: DataFrame,
     production: DataFrame,
     features: Sequence[str] = K.SENSOR_COLUMNS,
-    one_task: bool | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """One row per feature with all measures, flags and both summaries; a side with too few rows drops the feature.
@@ -168,12 +160,10 @@ def drift_features(
     stored once.
     """
     long = both_sides(reference, production, features)
-    if one_task is None:
-        one_task = fits_one_task(long)
-    run = stored(running_counts(value_counts(long), one_task, chunks))
+    run = stored(running_counts(value_counts(long), chunks))
     ks = ks_test(run).where((F.col("n_e") >= K.MIN_FEATURE_ROWS) & (F.col("n_a") >= K.MIN_FEATURE_ROWS))
     diverged = divergences(histogram(run.select("feature", "x", "e", "a")))
-    stats = describe(run, one_task)
+    stats = describe(run, long)
     parts = ["count", "mean", "std", "min", *SUMMARY_NAMES, "max"]
 
     def side(name: str) -> Column:

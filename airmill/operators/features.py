@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill import constants as K
@@ -16,14 +16,13 @@ def gas_baseline(
     df: DataFrame,
     column: str = "gas_resistance",
     min_rows: int = 0,
-    one_task: bool | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """One row ``gas_baseline``: the 75th percentile, or the fixed fallback below ``min_rows`` rows."""
     long = quantiles.melt(df, [column])
     count = F.count(F.lit(1)).alias("rows")
     probs = [K.GAS_BASELINE_QUANTILE]
-    one = quantiles.summarise(long, [count], probs, ["feature"], one_task, chunks)
+    one = quantiles.summarise(long, [count], probs, ["feature"], chunks)
     # a global aggregate on top gives a row also for an empty input
     value = F.when(F.coalesce(F.max("rows"), F.lit(0)) >= max(min_rows, 1), F.max(F.col("q")[0]))
     fallback = F.lit(K.GAS_BASELINE_FALLBACK) if min_rows else F.lit(None).cast("double")
@@ -74,24 +73,16 @@ def rolling(
     columns: Sequence[str] = K.ROLLING_COLUMNS,
     groups: Sequence[str] = ("device_id",),
     rows: int = K.ROLLING_ROWS,
-    in_blocks: bool | None = None,
     block_rows: int = ordered.BLOCK_ROWS,
     chunks: int | None = None,
 ) -> DataFrame:
     """Mean and sample deviation of the last ``rows`` rows; a single row has deviation 0.
 
-    ``groups=("device_id",)`` keeps devices apart; ``groups=()`` is the reading order of the whole table. A plain window
-    is used while the largest group fits one task, blocks of numbered rows otherwise.
+    ``groups=("device_id",)`` keeps devices apart; ``groups=()`` is the reading order of the whole table. Windows
+    work on equal blocks of numbered rows, so a hot device is spread over many tasks.
     """
     groups = list(groups)
-    made = _rolling_columns(columns)
-    if in_blocks is None:
-        biggest = ordered.largest_group(df, groups) if groups else df.count()
-        in_blocks = biggest > ordered.TASK_ROWS
-    if in_blocks:
-        return ordered.trailing_rows(df, order, made, rows, groups, block_rows, chunks)
-    w = Window.partitionBy(*groups).orderBy(*order).rowsBetween(-(rows - 1), 0)
-    return df.withColumns({name: make(w) for name, make in made.items()})
+    return ordered.trailing_rows(df, order, _rolling_columns(columns), rows, groups, block_rows, chunks)
 
 
 def gas_summary(df: DataFrame) -> DataFrame:
@@ -103,11 +94,10 @@ def gas_summary(df: DataFrame) -> DataFrame:
 def sensor_profile(
     df: DataFrame,
     columns: Sequence[str] = K.PROFILE_COLUMNS,
-    one_task: bool | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """One row per column: min, mean, max and the 2 % and 98 % quantiles."""
     long = quantiles.melt(df, columns)
     aggs: list[Column] = [F.min("x").alias("min"), F.avg("x").alias("mean"), F.max("x").alias("max")]
-    out = quantiles.summarise(long, aggs, K.PROFILE_PROBS, ["feature"], one_task, chunks)
+    out = quantiles.summarise(long, aggs, K.PROFILE_PROBS, ["feature"], chunks)
     return out.select("feature", "min", "mean", "max", F.col("q")[0].alias("p02"), F.col("q")[1].alias("p98"))

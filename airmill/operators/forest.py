@@ -28,6 +28,7 @@ NODE_SCHEMA = (
 )
 # Largest model that is sent to the executors.
 MAX_NODES = 1_000_000
+MAX_FEATURES = 10_000
 # Candidate rows per tree slot: the pool holds about POOL_FACTOR rows for every row a tree finally uses.
 POOL_FACTOR = 2
 # Rows walked together; rows x trees intermediate values stay in the processor cache.
@@ -199,7 +200,9 @@ def load_model(nodes: DataFrame, scaler: DataFrame) -> ForestModel:
     table = nodes.limit(MAX_NODES + 1).toPandas()
     if len(table) > MAX_NODES:
         raise ValueError("node table is too large for a model")
-    params = scaler.orderBy("position").limit(10_000).toPandas()
+    params = scaler.orderBy("position").limit(MAX_FEATURES + 1).toPandas()
+    if len(params) > MAX_FEATURES:
+        raise ValueError("parameter table is too large for a model")
     table = table.sort_values(["tree", "node"], ignore_index=True)
     # nodes of a tree are numbered from 0, so a row number minus its node number is the row of the root
     root_row = table.index.to_numpy() - table["node"].to_numpy()
@@ -273,9 +276,9 @@ def contamination(rate: Column) -> Column:
     return F.least(F.greatest(rate, F.lit(low)), F.lit(high))
 
 
-def cutoff(scored: DataFrame, share: float, one_task: bool | None = None) -> DataFrame:
+def cutoff(scored: DataFrame, share: float) -> DataFrame:
     """One row ``q``: the score quantile at the contamination."""
-    return quantile(scored, "anomaly_score", share, one_task)
+    return quantile(scored, "anomaly_score", share)
 
 
 def train_tables(
@@ -286,16 +289,19 @@ def train_tables(
     n_trees: int = K.N_TREES,
     subsample: int = K.SUBSAMPLE,
     seed: int = K.SEED,
+    rate: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Node table and parameter table (scaler rows with contamination and offset) from a labelled training set.
 
+    ``rate`` is the label rate of the whole labelled set, of which ``df`` may be a split; without it the rate of ``df``.
+
     Training rows, nodes and training scores are stored: all are read more than once.
     """
     usable = stored(drop_nulls(df.select(key, label, *features), features))
     scaler = stored(fit_scaler(usable, features))
     nodes = stored(fit_forest(usable, scaler, key, features, n_trees, subsample, seed))
     model = load_model(nodes, scaler)
-    share = usable.select(contamination(F.avg(label)).alias("c")).first()[0]
+    share = usable.select(contamination(F.avg(label) if rate is None else F.lit(float(rate))).alias("c")).first()[0]
     scores = stored(score(usable.select(*features), model).select("anomaly_score"))
     offset = cutoff(scores, share).first()[0]
     return nodes, scaler.withColumns({"contamination": F.lit(share), "offset": F.lit(offset)})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airmill import constants as K
 from airmill.functions.stats import ratio
-from airmill.operators.ordered import fits_one_task, running_totals
+from airmill.operators.ordered import running_totals
 from airmill.operators.quantiles import ranked_quantiles
 
 METRIC_COLUMNS = [*K.COMPARED_METRICS, "anomaly_rate_predicted", "anomaly_rate_true"]
@@ -63,15 +63,13 @@ def classification_metrics(df: DataFrame, by: Sequence[str] = (), digits: int |
 
 
 def score_counts(
-    df: DataFrame, by: Sequence[str] = (), one_task: bool | None = None, chunks: int | None = None
+    df: DataFrame, by: Sequence[str] = (), chunks: int | None = None
 ) -> DataFrame:
     """(by..., x, n, neg, cells..., n_run, neg_run): equal scores are merged before anything is ordered."""
-    if one_task is None:
-        one_task = fits_one_task(df)
     y = F.col("is_anomaly")
     counts = df.withColumn("x", F.col("outlierness")).groupBy(*by, "x")
     counts = counts.agg(F.count(F.lit(1)).alias("n"), F.count_if(y == 0).alias("neg"), *_cells())
-    return running_totals(counts, ["x"], ["n", "neg"], by, one_task, chunks)
+    return running_totals(counts, ["x"], ["n", "neg"], by, chunks)
 
 
 def _auc() -> Column:
@@ -82,38 +80,26 @@ def _auc() -> Column:
 
 
 def roc_auc(
-    df: DataFrame, by: Sequence[str] = (), one_task: bool | None = None, chunks: int | None = None
+    df: DataFrame, by: Sequence[str] = (), chunks: int | None = None
 ) -> DataFrame:
     """Area under the ROC curve by rank sums, ties count half; 0 when only one class is present."""
-    return score_counts(df, by, one_task, chunks).groupBy(*by).agg(_auc().alias("roc_auc"))
-
-
-def _moments() -> list[Column]:
-    x, n = F.col("x"), F.col("n")
-    mean = F.sum(x * n) / F.sum(n)
-    spread = F.sum(x * x * n) / F.sum(n) - mean * mean
-    return [mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), spread)).alias("std")]
+    return score_counts(df, by, chunks).groupBy(*by).agg(_auc().alias("roc_auc"))
 
 
 def evaluate(
     df: DataFrame,
     by: Sequence[str] = ("model",),
     digits: int = 4,
-    one_task: bool | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
-    """All metrics of every group from one pass: roc_auc, rates, cells, score mean/std/p50/p95/p99 and row count."""
+    """All metrics of every group of ``by`` (not empty): roc_auc, rates, cells, score mean/std/p50/p95/p99 and row count."""
     by = list(by)
-    if one_task is None:
-        one_task = fits_one_task(df)
-    run = score_counts(df, by, one_task, chunks)
+    run = score_counts(df, by, chunks)
     cells = [F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")]
-    aggs = [*cells, _auc().alias("roc_auc"), *_moments(), F.sum("n").alias("n_eval")]
-    if one_task:
-        probs = F.array(*[F.lit(p) for p in K.SCORE_PROBS])
-        out = run.groupBy(*by).agg(*aggs, F.percentile("x", probs, F.col("n")).alias("q"))
-    else:
-        out = run.groupBy(*by).agg(*aggs).join(ranked_quantiles(run, K.SCORE_PROBS, by), by)
+    aggs = [*cells, _auc().alias("roc_auc"), F.sum("n").alias("n_eval")]
+    x = F.col("outlierness")
+    moments = df.groupBy(*by).agg(F.avg(x).alias("mean"), F.stddev_pop(x).alias("std"))
+    out = run.groupBy(*by).agg(*aggs).join(moments, by).join(ranked_quantiles(run, K.SCORE_PROBS, by), by)
     for i, name in enumerate(["p50", "p95", "p99"]):
         out = out.withColumn(name, F.col("q")[i])
     out = out.withColumns(rates_from_cells())

@@ -15,24 +15,12 @@ from pyspark.sql import functions as F
 
 from airmill.session import stored
 
-# Largest number of rows that a single window task or a single exact-percentile group is asked to hold.
-TASK_ROWS = 2_000_000
 # Rows per window task after numbering.
 BLOCK_ROWS = 250_000
 # monotonically_increasing_id() keeps the position inside the partition in its low 33 bits.
 _POSITION_BITS = (1 << 33) - 1
 
 
-def fits_one_task(df: DataFrame, limit: int = TASK_ROWS) -> bool:
-    """True when the whole frame is small enough for one task; decides between a plain window and ranges."""
-    return df.count() <= limit
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group; counts are combined before the shuffle, so a hot key costs nothing extra."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-
-
 def ordered_chunks(df: DataFrame, keys: Sequence[str], chunks: int | None = None) -> DataFrame:
     """Range-partition by ``keys`` and add ``chunk`` (range number) and ``pos`` (0-based position in the range).
 
@@ -63,18 +51,13 @@ def running_totals(
     order: Sequence[str],
     totals: Sequence[str],
     groups: Sequence[str] = (),
-    one_task: bool = False,
     chunks: int | None = None,
 ) -> DataFrame:
     """Add ``<c>_run``, the inclusive running sum of every column in ``totals`` per ``groups`` in ``order``.
 
-    ``order`` must be unique inside a group and ``groups`` must not be null. ``one_task`` allows the plain window; use
-    it only after the size was checked.
+    ``order`` must be unique inside a group and ``groups`` must not be null.
     """
     groups = list(groups)
-    if one_task:
-        w = Window.partitionBy(*groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({f"{c}_run": F.sum(c).over(w) for c in totals})
     placed = ordered_chunks(df, [*groups, *order], chunks)
     sizes = placed.groupBy(*groups, "chunk").agg(*[F.sum(c).alias(f"_{c}") for c in totals])
     before = Window.partitionBy(*groups).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airmill.operators.ordered import TASK_ROWS, fits_one_task, running_totals
+from airmill.operators.ordered import running_totals
 
 
 def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -26,20 +26,14 @@ def summarise(
     aggs: Sequence[Column],
     probs: Sequence[float],
     by: Sequence[str] = ("feature",),
-    one_task: bool | None = None,
     chunks: int | None = None,
 ) -> DataFrame:
     """Aggregates per group of ``long`` plus ``q``, the array of exact quantiles of ``x`` at ``probs``.
 
-    Small inputs use the built-in ``percentile`` in the same aggregate. It keeps every distinct value of a group in one
-    reducer, so larger inputs count equal values first, add running counts over ranges of the values and pick the two
-    neighbours of each rank.
+    The built-in ``percentile`` keeps every distinct value of a group in one reducer, so equal values are counted first,
+    running counts are added over ranges of the values, and the two neighbours of each rank are picked.
     """
     by = list(by)
-    if one_task is None:
-        one_task = fits_one_task(long, TASK_ROWS)
-    if one_task:
-        return long.groupBy(*by).agg(*aggs, F.percentile("x", _literal_array(probs)).alias("q"))
     counts = long.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("n"))
     picked = ranked_quantiles(running_totals(counts, ["x"], ["n"], by, chunks=chunks), probs, by)
     return long.groupBy(*by).agg(*aggs).join(picked, by) if aggs else picked
@@ -63,7 +57,7 @@ def ranked_quantiles(run: DataFrame, probs: Sequence[float], by: Sequence[str])
 
 
 def quantile(
-    df: DataFrame, column: str, prob: float, one_task: bool | None = None, chunks: int | None = None
+    df: DataFrame, column: str, prob: float, chunks: int | None = None
 ) -> DataFrame:
     """One-row frame ``q`` for one column."""
-    return summarise(melt(df, [column]), [], [prob], ["feature"], one_task, chunks).select(F.col("q")[0].alias("q"))
+    return summarise(melt(df, [column]), [], [prob], ["feature"], chunks).select(F.col("q")[0].alias("q"))

@@ -106,11 +106,14 @@ def registration_gate(metrics: DataFrame, limits: dict[str, float] = K.GATE_LIMI
 
 
 def stage_assignment(candidates: DataFrame, versions: DataFrame, by: Sequence[str] = ("model_name",)) -> DataFrame:
-    """Stage of every newly registered version: Production when its model has none yet, else Staging."""
+    """Stage of every newly registered version: the lowest one of a model without Production goes there, all others wait in
+    Staging, as if they were registered one after the other.
+    """
     live = versions.where(F.col("stage") == PRODUCTION).select(*by).distinct().withColumn("has_live", F.lit(True))
-    out = candidates.join(live, list(by), "left")
-    stage = F.when(F.col("has_live"), STAGING).otherwise(PRODUCTION)
-    return out.withColumn("stage", stage).drop("has_live")
+    first = candidates.groupBy(*by).agg(F.min("version").alias("first_version")).join(live, list(by), "left")
+    out = candidates.join(first, list(by))
+    goes = F.col("has_live").isNull() & (F.col("version") == F.col("first_version"))
+    return out.withColumn("stage", F.when(goes, PRODUCTION).otherwise(STAGING)).drop("has_live", "first_version")
 
 
 def register(candidates: DataFrame, versions: DataFrame, by: Sequence[str] = ("model_name",)) -> DataFrame:

@@ -38,29 +38,22 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return medallion.clean(fixtures.bronze(spark, folder), KEYS, NEWEST)
 
 
-def _small(spark: SparkSession, folder: str) -> bool:
-    """All row sets of the queries have at most eight rows per event, and counting events needs no shuffle."""
-    return ordered.fits_one_task(fixtures.events(spark, folder), ordered.TASK_ROWS // 8)
-
-
-def scored_silver(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
+def scored_silver(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned rows with baseline and score (no windows)."""
     rows = cleaned(spark, folder)
-    small = _small(spark, folder) if small is None else small
-    return features.with_iaq(rows, features.gas_baseline(rows, one_task=small))
+    return features.with_iaq(rows, features.gas_baseline(rows))
 
 
-def labelled(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
-    return labels.with_label(scored_silver(spark, folder, small))
+def labelled(spark: SparkSession, folder: str) -> DataFrame:
+    return labels.with_label(scored_silver(spark, folder))
 
 
-def model_rows(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
+def model_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Evaluation rows scored by both literal forests, long by ``model``.
 
     Each model's cut-off is a quantile of its own scores at its contamination, held in a scalar subquery.
     """
-    small = _small(spark, folder) if small is None else small
-    rows = labelled(spark, folder, small).select("event_id", "ts", "is_anomaly", *K.SENSOR_COLUMNS)
+    rows = labelled(spark, folder).select("event_id", "ts", "is_anomaly", *K.SENSOR_COLUMNS)
     scored = rows.select(
         "event_id",
         "ts",
@@ -74,7 +67,7 @@ def model_rows(spark: SparkSession, folder: str, small: bool | None = None) -> D
         forest.box_score(fixtures.CHALLENGER_BOXES).alias("challenger"),
     )
     cuts = quantiles.summarise(
-        quantiles.melt(plain, ["champion", "challenger"]), [], [CHAMPION_SHARE, CHALLENGER_SHARE], ["feature"], small
+        quantiles.melt(plain, ["champion", "challenger"]), [], [CHAMPION_SHARE, CHALLENGER_SHARE], ["feature"]
     )
     own = F.when(F.col("feature") == "champion", F.col("q")[0]).otherwise(F.col("q")[1])
     cut_map = cuts.agg(F.map_from_entries(F.collect_list(F.struct("feature", own)))).scalar()
@@ -85,8 +78,7 @@ def model_rows(spark: SparkSession, folder: str, small: bool | None = None) -> D
 
 
 def model_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    small = _small(spark, folder)
-    out = metrics.evaluate(model_rows(spark, folder, small), ["model"], one_task=small)
+    out = metrics.evaluate(model_rows(spark, folder), ["model"])
     return out.withColumnRenamed("model", "side")
 
 
@@ -106,9 +98,8 @@ def sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 def day_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows by (day, matchup, side): the pair in both directions and the champion against itself."""
-    small = _small(spark, folder)
-    rows = model_rows(spark, folder, small).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
-    by_day = metrics.evaluate(rows, ["day", "model"], one_task=small)
+    rows = model_rows(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    by_day = metrics.evaluate(rows, ["day", "model"])
     roles = {"forward": ("champion", "challenger"), "reverse": ("challenger", "champion"), "self": ("champion", "champion")}
     seats = []
     for matchup, (champion, challenger) in roles.items():
@@ -357,8 +348,7 @@ def gas_summary(spark, folder):
 
 
 def sensor_profile(spark, folder):
-    small = _small(spark, folder)
-    return _rounded(features.sensor_profile(scored_silver(spark, folder, small), one_task=small))
+    return _rounded(features.sensor_profile(scored_silver(spark, folder)))
 
 
 def anomaly_rate(spark, folder):
@@ -402,13 +392,13 @@ def rolling_std(spark, folder):
 
 
 def rolling_global(spark, folder):
-    rows = features.rolling(_with_score(spark, folder), ORDER, groups=(), in_blocks=True)
+    rows = features.rolling(_with_score(spark, folder), ORDER, groups=())
     return _rounded(rows.select("event_id", *[f"{c}_rolling_{s}" for c in K.ROLLING_COLUMNS for s in ("mean", "std")]))
 
 
 def rolling_device_blocks(spark, folder):
     """Per device through numbered blocks, the plan for devices that are too large for one task."""
-    rows = features.rolling(_with_score(spark, folder), ORDER, in_blocks=True, block_rows=5000)
+    rows = features.rolling(_with_score(spark, folder), ORDER, block_rows=5000)
     return _rolled(rows, "mean")
 
 
@@ -416,8 +406,17 @@ def rolling_device_blocks(spark, folder):
 
 
 def _drift_run(spark, folder):
-    small = _small(spark, folder)
-    return drift.running_counts(drift.value_counts(drift.both_sides(*sides(spark, folder))), small), small
+    long = drift.both_sides(*sides(spark, folder))
+    return drift.running_counts(drift.value_counts(long)), long
+
+
+def describe_offset_channel(spark, folder):
+    """A channel with a high level and a small spread, where sums of squares lose the deviation."""
+    value = F.lit(1e5) + (F.col("event_id") * 7919 % 41 - 20) / 2000.0
+    frames = [df.select("event_id", value.alias("gas_resistance")) for df in sides(spark, folder)]
+    long = drift.both_sides(*frames, features=["gas_resistance"])
+    out = drift.describe(drift.running_counts(drift.value_counts(long)), long)
+    return _rounded(out.select("side", "count", "mean", "std", "min", "max"))
 
 
 def _drift_counts(spark, folder):
@@ -451,7 +450,7 @@ def ks_statistic(spark, folder):
 
 def ks_statistic_ranges(spark, folder):
     """KS with cumulative counts over value ranges, the plan for many distinct values."""
-    run = drift.running_counts(_drift_counts(spark, folder), False)
+    run = drift.running_counts(_drift_counts(spark, folder))
     return _rounded(drift.ks_test(run).select("feature", "ks_statistic"))
 
 
@@ -460,7 +459,7 @@ def ks_pvalue(spark, folder):
 
 
 def _report(spark, folder):
-    return drift.drift_features(*sides(spark, folder), one_task=_small(spark, folder))
+    return drift.drift_features(*sides(spark, folder))
 
 
 def mean_std_shift(spark, folder):
@@ -524,7 +523,7 @@ def classification_metrics(spark, folder):
 
 
 def roc_auc(spark, folder):
-    return _rounded(metrics.roc_auc(_auc_rows(spark, folder), [], one_task=_small(spark, folder)))
+    return _rounded(metrics.roc_auc(_auc_rows(spark, folder), []))
 
 
 def _auc_rows(spark, folder):
@@ -536,7 +535,7 @@ def _auc_rows(spark, folder):
 
 def roc_auc_ranges(spark, folder):
     """AUC with cumulative counts over score ranges, the plan for many distinct scores."""
-    return _rounded(metrics.roc_auc(_auc_rows(spark, folder), [], one_task=False))
+    return _rounded(metrics.roc_auc(_auc_rows(spark, folder), []))
 
 
 def score_stats(spark, folder):
@@ -555,7 +554,7 @@ def train_test_metrics(spark, folder):
     parts = _split(spark, folder).select("event_id", "split")
     rows = model_rows(spark, folder).where(F.col("model") == "champion").join(parts, "event_id")
     rates = metrics.classification_metrics(rows, ["split"]).drop("few_anomalies")
-    return _rounded(rates.join(metrics.roc_auc(rows, ["split"], _small(spark, folder)), "split"))
+    return _rounded(rates.join(metrics.roc_auc(rows, ["split"]), "split"))
 
 
 def eval_set(spark, folder):
@@ -571,7 +570,7 @@ def forest_score_boxes(spark, folder):
 
 def anomaly_cutoff(spark, folder):
     rows = fixtures.readings(spark, folder).withColumn("anomaly_score", forest.box_score(fixtures.CHALLENGER_BOXES))
-    return _rounded(forest.cutoff(rows, CHALLENGER_SHARE, _small(spark, folder)).withColumnRenamed("q", "offset"))
+    return _rounded(forest.cutoff(rows, CHALLENGER_SHARE).withColumnRenamed("q", "offset"))
 
 
 def gold_rows(spark, folder):
@@ -758,7 +757,7 @@ NAMES = [
     "gas_baseline", "silver_iaq", "gas_summary", "sensor_profile", "anomaly_rate", "rule_breakdown",
     "rolling_mean", "rolling_std", "rolling_global", "rolling_device_blocks",
     "describe_distribution", "feature_summary", "feature_histogram", "psi", "kl_divergence", "ks_statistic",
-    "ks_statistic_ranges", "ks_pvalue", "mean_std_shift", "drift_features", "drift_summary", "retrain_decision",
+    "ks_statistic_ranges", "describe_offset_channel", "ks_pvalue", "mean_std_shift", "drift_features", "drift_summary", "retrain_decision",
     "drift_report_json",
     "fit_scaler", "stratified_split", "split_balance", "training_set", "label_thresholds", "confusion_matrix",
     "confusion_share", "classification_metrics", "roc_auc", "roc_auc_ranges", "score_stats", "eval_rates",

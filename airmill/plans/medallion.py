@@ -11,7 +11,6 @@ from airmill import constants as K
 from airmill.functions import air_quality, rules
 from airmill.functions.parsing import parse_messages
 from airmill.operators import features, forest, quality
-from airmill.operators.ordered import TASK_ROWS
 from airmill.session import stored
 from airmill.sources import lake
 
@@ -34,21 +33,21 @@ def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def bronze_rows(
-    parsed: DataFrame, processed_at: Column, by_message_time: bool = True, one_task: bool | None = None
+    parsed: DataFrame, processed_at: Column, by_message_time: bool = True
 ) -> DataFrame:
     """Accepted rows of parsed messages with baseline, score and partition columns; reads ``parsed`` twice."""
     rows = split_valid(parsed.withColumn("processed_at", processed_at))[0].select(*BRONZE_COLUMNS)
-    base = features.gas_baseline(rows, min_rows=K.GAS_BASELINE_MIN_ROWS, one_task=one_task)
+    base = features.gas_baseline(rows, min_rows=K.GAS_BASELINE_MIN_ROWS)
     rows = features.with_iaq(rows.withColumn("gas_resistance_raw", F.col("gas_resistance")), base)
     when = lake.partition_time(F.col("timestamp"), F.col("processed_at"), by_message_time)
     return lake.with_partitions(rows, when)
 
 
 def to_bronze(
-    messages: DataFrame, processed_at: Column, by_message_time: bool = True, one_task: bool | None = None
+    messages: DataFrame, processed_at: Column, by_message_time: bool = True
 ) -> DataFrame:
     """Messages to bronze rows. The parsed rows are stored, because parsing costs more than reading them back."""
-    return bronze_rows(stored(parse_messages(messages)), processed_at, by_message_time, one_task)
+    return bronze_rows(stored(parse_messages(messages)), processed_at, by_message_time)
 
 
 # --- silver --------------------------------------------------------------------------------------------------------
@@ -64,23 +63,15 @@ def silver_features(
     ts: str,
     order: Sequence[str],
     groups: Sequence[str] = ("device_id",),
-    one_task: bool | None = None,
-    in_blocks: bool | None = None,
 ) -> DataFrame:
     """Baseline, score, time parts, ratios and rolling statistics over cleaned rows.
 
-    Sizes, baseline and features each read the cleaned rows, so these are stored instead of being cleaned again.
+    Baseline and features both read the cleaned rows, so these are stored instead of being cleaned again.
     """
     cleaned = stored(cleaned)
-    if one_task is None or in_blocks is None:
-        # one count per device answers both questions: does everything, and does the largest device, fit one task
-        sizes = cleaned.groupBy(*groups).count().agg(F.sum("count"), F.max("count")).first()
-        total, biggest = sizes[0] or 0, sizes[1] or 0
-        one_task = total <= TASK_ROWS if one_task is None else one_task
-        in_blocks = biggest > TASK_ROWS if in_blocks is None else in_blocks
-    rows = features.with_iaq(cleaned, features.gas_baseline(cleaned, one_task=one_task))
+    rows = features.with_iaq(cleaned, features.gas_baseline(cleaned))
     rows = features.ratios(features.time_parts(rows, ts))
-    return features.rolling(rows, order, groups=groups, in_blocks=in_blocks)
+    return features.rolling(rows, order, groups=groups)
 
 
 def to_silver(bronze: DataFrame, groups: Sequence[str] = ("device_id",), at: Column | None = None) -> DataFrame:

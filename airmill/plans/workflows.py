@@ -29,8 +29,7 @@ def build_silver(
     spark: SparkSession, bronze: str, silver: str, now: datetime, hours: int = K.DEFAULT_LOOKBACK_HOURS, backfill_from: str = ""
 ) -> DataFrame | None:
     """Look-back window of bronze to silver; returns the quality row, or None when there is nothing to do."""
-    window = lake.in_hours(lake.lookback(now, hours, backfill_from))
-    rows = lake.require_rows(lake.read_layer(spark, bronze).where(window), "skip")
+    rows = lake.require_rows(lake.read_hours(spark, bronze, lake.lookback(now, hours, backfill_from)), "skip")
     if rows is None:
         return None
     lake.write_layer(medallion.to_silver(rows), silver)
@@ -38,7 +37,7 @@ def build_silver(
 
 
 def _labelled_window(spark: SparkSession, silver: str, now: datetime, days: tuple[int, int], tolerant: bool = False) -> DataFrame:
-    rows = lake.require_rows(lake.read_layer(spark, silver, tolerant).where(lake.in_days(now, days)))
+    rows = lake.require_rows(lake.read_hours(spark, silver, lake.days_back(now, days), tolerant))
     keyed = labels.with_label(quality.require_columns(rows, K.SENSOR_COLUMNS))
     return keyed.withColumn("row_key", F.xxhash64("timestamp", "device_id"))
 
@@ -60,7 +59,8 @@ def train_model(
     rows = labels.require_anomalies(_labelled_window(spark, silver, now, K.TRAINING_DAYS))
     rows = stored(rows.select("row_key", "is_anomaly", *K.SENSOR_COLUMNS))
     parts = stored(labels.stratified_split(rows, "row_key"))
-    nodes, params = forest.train_tables(parts.where(F.col("split") == "train"), "row_key")
+    rate = rows.agg(F.avg("is_anomaly")).first()[0]
+    nodes, params = forest.train_tables(parts.where(F.col("split") == "train"), "row_key", rate=rate)
     forest.write_model(nodes, params, f"{models}/{run_id}")
     model = forest.read_model(spark, f"{models}/{run_id}")
     scored = _scored(quality.drop_nulls(parts, K.SENSOR_COLUMNS), {"candidate": model})
@@ -74,12 +74,16 @@ def train_model(
 
 
 def run_inference(spark: SparkSession, silver: str, gold: str, model: forest.ForestModel, now: datetime) -> DataFrame | None:
-    """Newest silver hour, last files, to gold; returns the anomaly extract, or None without input."""
-    recent = lake.latest_hour(quality.require_columns(lake.read_layer(spark, silver), K.SILVER_FEATURES), now)
+    """The whole newest silver hour to gold; returns the anomaly extract, or None without input.
+
+    A folder of gold belongs to one hour of silver, so scoring it again replaces it.
+    """
+    near = lake.read_hours(spark, silver, lake.hours_back(now, 2))
+    recent = lake.latest_hour(quality.require_columns(near, K.SILVER_FEATURES), now)
     if recent.isEmpty():
         return None
-    scored = stored(medallion.to_gold(lake.last_files(recent), model))
-    lake.write_layer(scored, gold, mode="append")
+    scored = stored(medallion.to_gold(recent, model))
+    lake.write_layer(scored, gold)
     return medallion.anomaly_extract(scored, "event_ts")
 
 
@@ -87,8 +91,8 @@ def check_drift(
     spark: SparkSession, silver: str, gold: str, reports: str, versions: DataFrame, now: datetime
 ) -> tuple[DataFrame, DataFrame]:
     """30 days of silver against 7 days of gold; writes the report, returns (feature report, retrain decision)."""
-    reference = lake.require_rows(lake.read_layer(spark, silver, tolerant=True).where(lake.in_days(now, K.REFERENCE_DAYS)))
-    production = lake.require_rows(lake.read_layer(spark, gold, tolerant=True).where(lake.in_days(now, K.PRODUCTION_DAYS)))
+    reference = lake.require_rows(lake.read_hours(spark, silver, lake.days_back(now, K.REFERENCE_DAYS), tolerant=True))
+    production = lake.require_rows(lake.read_hours(spark, gold, lake.days_back(now, K.PRODUCTION_DAYS), tolerant=True))
     report = stored(drift.drift_features(reference, drift.require_production_rows(production)))
     summary = drift.drift_summary(report)
     document = drift.drift_document(report, summary, F.lit(now.isoformat(sep=" ")))

@@ -51,8 +51,23 @@ def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back.
 
     Cuts the lineage like a checkpoint and survives lost executors, but is columnar: later reads are compressed and fetch
-    only the columns they use. Whoever owns the folder removes old tables.
+    only the columns they use. ``discard`` removes the table when all that reads it is done.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/airmill-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """Spark's own file system of ``path`` and a function that makes paths for it."""
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), of
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` returned. Nothing that still has to read them may be left."""
+    for df in tables:
+        files, of = file_system(df.sparkSession, df._stored_at)
+        files.delete(of(df._stored_at), True)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airmill import constants as K
+from airmill.session import file_system
 
 
 class EmptySource(ValueError):
@@ -93,12 +94,17 @@ def in_hours(bounds: tuple[datetime, datetime], at: Column | None = None) -> Col
     return inside
 
 
-def in_days(now: datetime, days: tuple[int, int], at: Column | None = None) -> Column:
-    """Whole calendar days ``now - days[1]`` .. ``now - days[0]``."""
+def days_back(now: datetime, days: tuple[int, int]) -> tuple[datetime, datetime]:
+    """First and last hour start of the whole calendar days ``now - days[1]`` .. ``now - days[0]``."""
     midnight = now.replace(hour=0, minute=0, second=0, microsecond=0)
     first = midnight - timedelta(days=days[1])
     last = midnight - timedelta(days=days[0]) + timedelta(hours=23)
-    return in_hours((first, last), at)
+    return first, last
+
+
+def in_days(now: datetime, days: tuple[int, int], at: Column | None = None) -> Column:
+    """Rows of the whole calendar days ``now - days[1]`` .. ``now - days[0]``."""
+    return in_hours(days_back(now, days), at)
 
 
 # --- readers --------------------------------------------------------------------------------------------------------
@@ -114,6 +120,23 @@ def read_layer(spark: SparkSession, path: str, tolerant: bool = False, schema: s
     return reader.parquet(path)
 
 
+def read_hours(spark: SparkSession, path: str, bounds: tuple[datetime, datetime], tolerant: bool = False) -> DataFrame:
+    """A window of a layer. Only its hour folders are listed and only their files' schemas are merged; the rest of the
+    layer is never touched. An hour without a folder is an empty hour.
+    """
+    first, last = bounds
+    hours = [first + timedelta(hours=k) for k in range(int((last - first).total_seconds() // 3600) + 1)]
+    names = [f"{path}/year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in hours]
+    files, of = file_system(spark, path)
+    there = [n for n in names if files.exists(of(n))]
+    if not there:
+        return read_layer(spark, path, tolerant).where(in_hours(bounds))
+    reader = spark.read.option("basePath", path).option("mergeSchema", "true")
+    if tolerant:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    return reader.parquet(*there).where(in_hours(bounds))
+
+
 def union_layers(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames, columns by name, absent columns null."""
     out = frames[0]
@@ -133,13 +156,6 @@ def latest_hour(df: DataFrame, now: datetime, at: Column | None = None) -> DataF
     return near.where(hour == newest.scalar())
 
 
-def last_files(df: DataFrame, files: int = K.RECENT_FILES) -> DataFrame:
-    """Rows of the last ``files`` files by path; ``df`` is a file scan. The semi-join side has ``files`` rows."""
-    marked = df.withColumn("_file", F.col("_metadata.file_path"))
-    names = marked.select("_file").distinct().orderBy(F.col("_file").desc()).limit(files)
-    return marked.join(F.broadcast(names), "_file", "left_semi").drop("_file")
-
-
 def require_rows(df: DataFrame, policy: str = "fail") -> DataFrame | None:
     """``fail`` raises on an empty source, ``skip`` returns None; one row is enough to decide."""
     if not df.isEmpty():

@@ -19,7 +19,7 @@ from airmill import constants as K
 from airmill.functions.parsing import parse_messages
 from airmill.operators import forest
 from airmill.plans import medallion
-from airmill.session import stored
+from airmill.session import discard, stored
 from airmill.sources import lake
 
 ROLLING_SCHEMA = (
@@ -58,6 +58,7 @@ def start_bronze(
         _, rejected = medallion.split_valid(parsed)
         out = rejected.select("body", "invalid_reason", "missing", "received_at", number.alias("batch_id"))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine_path)
+        discard(parsed)
 
     return _start(messages.writeStream.foreachBatch(write), checkpoint, every)
 

@@ -455,6 +455,9 @@ _BODIES = {
     "psi": "SELECT feature, round(psi,6) AS psi FROM divergence",
     "kl_divergence": "SELECT feature, round(kl,6) AS kl_divergence FROM divergence",
     "ks_statistic": "SELECT feature, round(d,6) AS ks_statistic FROM ks",
+    "describe_offset_channel": """SELECT side, count(*) AS count, round(avg(x),6) AS mean, round(stddev_pop(x),6) AS std,
+      round(min(x),6) AS min, round(max(x),6) AS max FROM (SELECT 1e5 + (event_id*7919 % 41 - 20)/2000e0 AS x,
+      CASE WHEN ts < TIMESTAMP '2024-01-24 00:00:00' THEN 'reference' ELSE 'production' END AS side FROM readings) GROUP BY side""",
     "ks_statistic_ranges": "SELECT feature, round(d,6) AS ks_statistic FROM ks",
     "ks_pvalue": "SELECT feature, round(p,6) AS ks_pvalue FROM ksp",
     "mean_std_shift": "SELECT feature, mean_shift, std_shift FROM report",
@@ -534,7 +537,8 @@ _BODIES = {
       SELECT run_id, concat_ws(',', CASE WHEN roc_auc < 0.75e0 THEN 'roc_auc' END,
         CASE WHEN precision < 0.60e0 THEN 'precision' END, CASE WHEN recall < 0.50e0 THEN 'recall' END) AS failed FROM runs)""",
     "stage_assignment": """SELECT c.model_name, c.version, c.run_id, CASE WHEN EXISTS (SELECT 1 FROM versions o
-        WHERE o.version % 2 = 0 AND o.stage='Production' AND o.model_name=c.model_name) THEN 'Staging'
+        WHERE o.version % 2 = 0 AND o.stage='Production' AND o.model_name=c.model_name) OR EXISTS (SELECT 1 FROM versions o
+        WHERE o.version % 2 = 1 AND o.version < c.version AND o.model_name=c.model_name) THEN 'Staging'
         ELSE 'Production' END AS stage FROM versions c WHERE c.version % 2 = 1""",
     "version_metrics": """SELECT v.run_id, model_name, version, stage,
       coalesce(CAST(training_date AS VARCHAR),'unknown') AS training_date, round(roc_auc,6) AS roc_auc,

@@ -19,15 +19,14 @@ def brute_auc(y, s):
     return ((pos[:, None] > neg).mean() + 0.5 * (pos[:, None] == neg).mean()) if len(pos) and len(neg) else 0.0
 
 
-@pytest.mark.parametrize("one_task", [True, False])
-def test_auc(spark, one_task):
+def test_auc(spark):
     rng = np.random.default_rng(3)
     y = (rng.random(800) < 0.1).astype(int)
     s = np.round(rng.normal(size=800) + y, 1)
     df = scored(spark, y, s)
-    auc = metrics.roc_auc(df, [], one_task, chunks=4).first()[0]
+    auc = metrics.roc_auc(df, [], chunks=4).first()[0]
     assert auc == pytest.approx(brute_auc(y, s))
-    flipped = metrics.roc_auc(df.withColumn("outlierness", -F.col("outlierness")), [], one_task, chunks=4).first()[0]
+    flipped = metrics.roc_auc(df.withColumn("outlierness", -F.col("outlierness")), [], chunks=4).first()[0]
     assert flipped == pytest.approx(1 - auc)
 
 
@@ -46,8 +45,8 @@ def test_evaluate_paths_agree(spark):
     y = (rng.random(500) < 0.2).astype(int)
     s = rng.normal(size=500) + y
     df = scored(spark, y, s, (s > 1).astype(int))
-    plain = metrics.evaluate(df, ["model"], one_task=True).first()
-    ranges = metrics.evaluate(df, ["model"], one_task=False, chunks=4).first()
+    plain = metrics.evaluate(df, ["model"]).first()
+    ranges = metrics.evaluate(df, ["model"], chunks=4).first()
     assert plain == ranges
     assert plain.std == round(s.std(), 4) and plain.p95 == round(np.percentile(s, 95), 4)
 
@@ -84,12 +83,11 @@ def brute(e, a):
     return psi, kl, d
 
 
-@pytest.mark.parametrize("one_task", [True, False])
-def test_drift_report(spark, one_task):
+def test_drift_report(spark):
     ref, prod = sensors(spark, 900, 0, 5), sensors(spark, 600, 1, 6)
     ref.loc[3, "humidity"] = np.nan  # joint null drop takes the whole row
     frames = [spark.createDataFrame(f) for f in (ref, prod)]
-    report = {r.feature: r for r in drift.drift_features(*frames, one_task=one_task, chunks=4).collect()}
+    report = {r.feature: r for r in drift.drift_features(*frames, chunks=4).collect()}
     ref = ref.dropna()
     for f in FEATURES:
         psi, kl, d = brute(ref[f].to_numpy(), prod[f].to_numpy())
@@ -115,7 +113,7 @@ def drift_p(lam):
 
 def test_same_data_has_no_drift(spark):
     df = spark.createDataFrame(sensors(spark, 700, 0, 7))
-    for r in drift.drift_features(df, df, one_task=True).collect():
+    for r in drift.drift_features(df, df).collect():
         assert (r.psi, r.kl_divergence, r.ks_statistic, r.ks_pvalue, r.mean_shift) == (0, 0, 0, 1, 0)
 
 
@@ -124,7 +122,7 @@ def test_minimum_rows(spark):
     with pytest.raises(ValueError):
         drift.require_production_rows(spark.range(499))
     small, big = sensors(spark, 9, 0, 8), sensors(spark, 50, 0, 9)
-    out = drift.drift_features(spark.createDataFrame(small), spark.createDataFrame(big), one_task=True)
+    out = drift.drift_features(spark.createDataFrame(small), spark.createDataFrame(big))
     assert out.count() == 0
     assert not drift.drift_summary(out).first().overall_drift
 
@@ -158,7 +156,7 @@ def test_report_document(spark, tmp_path):
     from airmill.sources import lake
 
     df = spark.createDataFrame(sensors(spark, 600, 0, 7))
-    report = drift.drift_features(df, df, one_task=True)
+    report = drift.drift_features(df, df)
     document = drift.drift_document(report, drift.drift_summary(report), F.lit("2024-01-31"))
     schema = "execution_date string, overall_drift boolean, features map<string, struct<psi: double, ks_flag: boolean>>"
     assert lake.read_latest_report(spark, str(tmp_path / "none"), schema).isEmpty()

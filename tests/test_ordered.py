@@ -36,18 +36,16 @@ def test_row_numbers(df, frame):
     assert got["id"].tolist() == frame.sort_values(["t", "id"])["id"].tolist()
 
 
-@pytest.mark.parametrize("one_task", [True, False])
-def test_running_totals(df, frame, one_task):
-    out = ordered.running_totals(df, ["t", "id"], ["iaq_score"], ["device_id"], one_task, chunks=6)
+def test_running_totals(df, frame):
+    out = ordered.running_totals(df, ["t", "id"], ["iaq_score"], ["device_id"], chunks=6)
     got = out.select("id", "iaq_score_run").toPandas().set_index("id")["iaq_score_run"]
     want = frame.sort_values(["t", "id"]).set_index("id").groupby("device_id")["iaq_score"].cumsum()
     assert (got.sort_index() == want.sort_index()).all()
 
 
 @pytest.mark.parametrize("groups", [[], ["device_id"]])
-@pytest.mark.parametrize("in_blocks", [True, False])
-def test_rolling(df, frame, groups, in_blocks):
-    out = features.rolling(df, ["t", "id"], groups=groups, in_blocks=in_blocks, block_rows=64, chunks=5)
+def test_rolling(df, frame, groups):
+    out = features.rolling(df, ["t", "id"], groups=groups, block_rows=64, chunks=5)
     got = out.toPandas().set_index("id").sort_index()
     assert len(got) == len(frame)
     line = frame.sort_values([*groups, "t", "id"]).set_index("id")
@@ -68,21 +66,19 @@ def test_blocks_do_not_use_one_partition(df):
     assert not big
 
 
-@pytest.mark.parametrize("one_task", [True, False])
-def test_quantiles(df, frame, one_task):
+def test_quantiles(df, frame):
     probs = [0.0, 0.02, 0.25, 0.5, 0.75, 0.98, 1.0]
     long = quantiles.melt(df, ["temperature", "humidity", "iaq_score"])
-    got = {r.feature: r.q for r in quantiles.summarise(long, [], probs, ["feature"], one_task, chunks=5).collect()}
+    got = {r.feature: r.q for r in quantiles.summarise(long, [], probs, ["feature"], chunks=5).collect()}
     for c, q in got.items():
         assert np.allclose(q, np.quantile(frame[c], probs), atol=1e-9)
     assert len(got) == 3
 
 
-@pytest.mark.parametrize("one_task", [True, False])
 @pytest.mark.parametrize("rows, expected", [(0, 80000.0), (9, 80000.0), (10, 7.75)])
-def test_baseline_minimum(spark, rows, expected, one_task):
+def test_baseline_minimum(spark, rows, expected):
     df = spark.range(rows).select((F.col("id") + 1).cast("double").alias("gas_resistance"))
-    got = features.gas_baseline(df, min_rows=10, one_task=one_task, chunks=3).collect()
+    got = features.gas_baseline(df, min_rows=10, chunks=3).collect()
     assert [r.gas_baseline for r in got] == [expected]
 
 
