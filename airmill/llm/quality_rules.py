@@ -82,8 +82,7 @@ def content_key(text: str, host: str) -> list[Column]:
 
 
 def facts(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """All columns but the text, the figures, the content key and ``_lines``: hash, words and length of each line."""
-    docs = docs.drop(*[c for c in (*FIGURES, "base_failed", "depleted", "kept", *CONTENT) if c not in (text, host)])
+    """All columns, the figures, the content key and ``_lines``: hash, words and length of each line."""
     body = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[0-9]", "0")
     body = F.regexp_replace(body, r"[\x20\x09\x0B-\x0D]+", " ")
     lines = F.filter(F.transform(F.split(body, "\n"), lambda x: F.trim(x)), lambda x: x != "")
@@ -94,7 +93,7 @@ def facts(docs: DataFrame, text: str = "text", host: str = "source") -> DataFram
         ),
     )
     keyed = docs.select("*", *content_key(text, host), told.alias("_lines"))
-    return base_figures(keyed, text).drop(text)
+    return base_figures(keyed, text)
 
 
 def depleted(rows: DataFrame, min_docs: int = 30, share: float = 0.003, min_left: float = 0.5) -> DataFrame:
@@ -125,17 +124,21 @@ def depleted(rows: DataFrame, min_docs: int = 30, share: float = 0.003, min_left
 
 def judge(docs: DataFrame, text: str = "text", host: str = "source", **limits: float) -> DataFrame:
     """Every row without its text, with the figures, ``base_failed``, ``depleted`` and ``kept``."""
-    rows = stored(facts(docs, text, host))
-    poor = stored(depleted(rows, **limits)).toDF("_c", "_k", "_h", "removed")
-    same = (F.col("_content") == F.col("_c")) & (F.col("_check") == F.col("_k")) & F.col("_host").eqNullSafe(F.col("_h"))
+    docs = docs.drop(*[c for c in (*FIGURES, "base_failed", "depleted", "kept", *CONTENT) if c not in (text, host)])
+    rows = stored(facts(docs, text, host).drop(text))
+    poor, same = _poor(rows, limits)
     flags = {"depleted": F.col("_c").isNotNull(), "kept": ~F.col("base_failed") & F.col("_c").isNull()}
     return rows.drop("_lines").join(poor, same, "left").withColumns(flags).drop("_c", "_k", "_h", "removed")
 
 
+def _poor(rows: DataFrame, limits: dict) -> tuple[DataFrame, Column]:
+    """The depleted contents, stored, and the condition that joins them to rows with a content key."""
+    poor = stored(depleted(rows, **limits)).toDF("_c", "_k", "_h", "removed")
+    return poor, (F.col("_content") == F.col("_c")) & (F.col("_check") == F.col("_k")) & F.col("_host").eqNullSafe(F.col("_h"))
+
+
 def keep(docs: DataFrame, text: str = "text", host: str = "source", **limits: float) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, whole; only the keys of rejected contents are joined to them."""
-    bad = judge(docs.select(text, host), text, host, **limits).where(~F.col("kept")).select(*CONTENT).distinct()
-    bad = stored(bad).toDF("_c", "_k", "_h")
-    keyed = docs.select("*", *content_key(text, host))
-    same = (F.col("_content") == F.col("_c")) & (F.col("_check") == F.col("_k")) & F.col("_host").eqNullSafe(F.col("_h"))
-    return keyed.join(bad, same, "left_anti").drop(*CONTENT)
+    """The rows of ``docs`` that ``judge`` keeps, whole: written once with their facts, then only depleted keys are joined."""
+    rows = stored(facts(docs.select(F.struct(*docs.columns).alias("_row")), f"_row.{text}", f"_row.{host}"))
+    poor, same = _poor(rows, limits)
+    return rows.where(~F.col("base_failed")).join(poor, same, "left_anti").select("_row.*")
