@@ -8,7 +8,7 @@ Training runs in one task over at most about ``ROWS`` labelled rows (a documente
 hash order, ``PASSES`` times. Weights are a table of at most ``BUCKETS`` rows, so what is shipped does not grow with the data.
 
 Cases: null and empty texts have no features and get the score of the bias; labels that are null are not used; a document with
-several labels counts once for each; repeated rows are scored each; extra columns are ignored; without labels all scores are
+several labels counts once for each, one with several texts with the least of them; repeated rows are scored each; extra columns are ignored; without labels all scores are
 the same.
 """
 
@@ -74,12 +74,17 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES)
     return weights(slice(None)).astype(np.float32)
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", rows: int = ROWS) -> np.ndarray:
-    """Weights from (text, label) rows; a hash sample of about ``rows`` of them if there are more."""
-    known = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    total = known.count()
-    spot = F.xxhash64(F.coalesce("text", F.lit("")), "label")
-    drawn = known.withColumn("spot", spot).where(F.pmod("spot", F.lit(1 << 20)) < int(min(1.0, rows / max(total, 1)) * (1 << 20)))
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = ROWS) -> np.ndarray:
+    """Weights from the texts of labelled documents; a hash sample of about ``rows`` (key, label) pairs if there are more.
+
+    The sample is drawn from the labels, so only a bounded table is broadcast to the documents and few texts are shuffled.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).distinct()
+    share = min(1.0, rows / max(known.count(), 1))
+    drawn = known.withColumn("spot", F.xxhash64("key", "label")).where(F.pmod("spot", F.lit(1 << 20)) < int(share * (1 << 20)))
+    texts = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    met = texts.join(F.broadcast(drawn), F.col("doc") == F.col("key"))  # about ``rows`` rows at most
+    drawn = met.groupBy("key", "label", "spot").agg(F.min("text").alias("text"))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -81,9 +81,8 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op8_quality_model(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.col("doc_id").isNotNull() & (F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1)) % 5 == 0)
-    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("labelled"), "quality")
-    labelled = docs.where(~held_out).join(labels, F.col("doc_id") == F.col("labelled"))
-    scored = quality_model.score(docs, quality_model.fit(labelled))
+    labels = table(spark, folder, "labels").where(~held_out)
+    scored = quality_model.score(docs, quality_model.fit(docs, labels))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

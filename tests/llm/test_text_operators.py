@@ -224,11 +224,12 @@ def test_quality_model_learns_and_handles_odd_texts(docs, spark):
     draw = random.Random(10)
     rows = [(k, sentence(draw, 60) if k % 2 else " ".join(w.upper() + "!!" for w in sentence(draw, 60).split())) for k in range(300)]
     labelled = docs(rows[:200]).withColumn("quality", (F.col("doc_id") % 2).cast("int"))
-    weights = quality_model.fit(labelled.unionByName(docs([(900, "zz")]).withColumn("quality", F.lit(None).cast("int"))))
+    labels = labelled.unionByName(docs([(900, "zz")]).withColumn("quality", F.lit(None).cast("int"))).select("doc_id", "quality")
+    weights = quality_model.fit(docs(rows), labels)
     got = {r["doc_id"]: r["score"] for r in quality_model.score(docs(rows + ODD), weights).collect()}
     assert all((got[k] > 0.5) == bool(k % 2) for k in range(200, 300))
     assert all(0 <= x <= 1 for x in got.values())
-    none = quality_model.fit(labelled.limit(0))
+    none = quality_model.fit(docs(rows), labels.limit(0))
     assert not none.any() and quality_model.score(docs([]), none).count() == 0
 
 
