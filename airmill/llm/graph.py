@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airmill.session import stored
+from airmill.session import discard, stored
 
 
 def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
@@ -23,8 +23,11 @@ def components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame
         sent = pairs.join(labels, F.col("u") == F.col("node")).select(F.col("v").alias("node"), "label")
         spread = stored(labels.union(sent).groupBy("node").agg(F.min("label").alias("label")))
         roots = spread.toDF("root", "root_label")
-        labels = stored(spread.join(roots, F.col("label") == F.col("root")).select("node", F.col("root_label").alias("label")))
+        jumped = stored(spread.join(roots, F.col("label") == F.col("root")).select("node", F.col("root_label").alias("label")))
+        discard(labels, spread)
+        labels = jumped
         total = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
         if total == before or total is None:
+            discard(pairs)
             return labels
         before = total
