@@ -31,7 +31,7 @@ def test_auc(spark):
 
 
 def test_auc_of_one_class(spark):
-    assert metrics.roc_auc(scored(spark, [0, 0], [1, 2]), [], True).first()[0] == 0.0
+    assert metrics.roc_auc(scored(spark, [0, 0], [1, 2]), []).first()[0] == 0.0
 
 
 def test_undefined_rates_are_zero(spark):
