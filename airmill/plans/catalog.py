@@ -293,6 +293,22 @@ def score_readings(spark, folder):
     return scored.drop(*K.SENSOR_COLUMNS)
 
 
+def scorer_responses(spark, folder):
+    """Raw scorer events to response records with status 200, 400 or 500, whose JSON is read back whole.
+
+    ``iaq_score`` is text, because a missing number has no common client-side type.
+    """
+    told = medallion.respond(fixtures.scorer_events(spark, folder), forest.box_score(fixtures.CHALLENGER_BOXES), -0.75)
+    kinds = {
+        "is_anomaly": "boolean", "anomaly_type": "string", "severity": "string", "iaq_score": "string", "air_quality": "string",
+        "contributing_factors": "array<string>", "decision_score": "double", "score_meaning": "string", "error": "string",
+    }
+    body = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in kinds.items()) + ">"
+    read = told.select("event_id", F.from_json("response", f"statusCode int, body {body}").alias("r"))
+    factors = F.when(F.col("contributing_factors").isNotNull(), F.concat_ws(",", "contributing_factors"))
+    return read.select("event_id", F.col("r.statusCode").alias("status"), "r.body.*").withColumn("contributing_factors", factors)
+
+
 def ratio_features(spark, folder):
     rows = features.ratios(fixtures.readings(spark, folder))
     return _rounded(rows.select("event_id", "temp_humidity_ratio", "gas_pressure_ratio"))
@@ -752,7 +768,7 @@ NAMES = [
     "parse_envelopes", "parse_flat_nested", "missing_fields", "bronze_parse", "ingest_quality", "alias_fields",
     "silver_nulls", "null_profile", "silver_valid", "range_violations", "silver_dedup", "quality_metrics",
     "iaq_v1", "iaq_v2", "air_label", "score_band", "factor_arrays", "correlation_rules", "rule_override",
-    "score_readings", "ratio_features", "time_features", "parse_ts", "clip_values", "domain_label",
+    "score_readings", "scorer_responses", "ratio_features", "time_features", "parse_ts", "clip_values", "domain_label",
     "label_rate_preview", "scale_features",
     "gas_baseline", "silver_iaq", "gas_summary", "sensor_profile", "anomaly_rate", "rule_breakdown",
     "rolling_mean", "rolling_std", "rolling_global", "rolling_device_blocks",

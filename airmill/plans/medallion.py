@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airmill import constants as K
 from airmill.functions import air_quality, rules
-from airmill.functions.parsing import parse_messages
+from airmill.functions.parsing import parse_aliases, parse_messages
 from airmill.operators import features, forest, quality
 from airmill.session import stored
 from airmill.sources import lake
@@ -155,7 +155,10 @@ def score_readings(df: DataFrame, anomaly_score: Column, offset: Column | float)
 
 
 def response_json(scored: DataFrame) -> DataFrame:
-    """Add ``response``: the scored record as JSON with its status code."""
+    """Add ``response``: the scored record as JSON with its status code.
+
+    A row whose ``status`` (if there is one) is not 200 gets an error record that names the first unusable field.
+    """
     fields = [
         "is_anomaly",
         "anomaly_type",
@@ -166,5 +169,15 @@ def response_json(scored: DataFrame) -> DataFrame:
         "decision_score",
         "score_meaning",
     ]
-    return scored.withColumn("response", F.to_json(F.struct(F.lit(200).alias("statusCode"), F.struct(*fields).alias("body"))))
-
+    record = F.to_json(F.struct(F.lit(200).alias("statusCode"), F.struct(*fields).alias("body")))
+    if "status" not in scored.columns:
+        return scored.withColumn("response", record)
+    unusable = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in K.SENSOR_COLUMNS])
+    error = F.struct(F.concat(F.lit("unusable_field:"), unusable).alias("error"))
+    failed = F.to_json(F.struct(F.col("status").alias("statusCode"), error.alias("body")))
+    return scored.withColumn("response", F.when(F.col("status") == 200, record).otherwise(failed))
+
+
+def respond(events: DataFrame, anomaly_score: Column, offset: Column | float, body: str = "body") -> DataFrame:
+    """The scorer's whole path: raw event, field aliases, score, response record."""
+    return response_json(score_readings(parse_aliases(events, body), anomaly_score, offset))

@@ -341,6 +341,13 @@ def _alias_status() -> str:
     return f"CASE {' '.join(parts)} ELSE 200 END"
 
 
+_CTES |= {
+    "scorer_values": f"SELECT event_id, {_alias_status()} AS status, "
+    + ", ".join(f"{_alias(n, a)} AS {a.lower()}" for n, a in zip(_S, "THPG")) + " FROM scorer_docs",
+    "scorer_scores": f"""SELECT event_id, -pow(2e0, -avg(path)/{_C256}) + 0.75e0 AS d FROM scorer_values, boxes
+      WHERE t > t_lo AND t <= t_hi AND g > g_lo AND g <= g_hi GROUP BY event_id""",
+}
+
 _BODIES = {
     "silver_anomaly_rate": """SELECT device_id, count(*) AS rows, CAST(sum(is_anomaly) AS BIGINT) AS anomalies,
       round(avg(iaq_score),6) AS mean_iaq, round(avg(is_anomaly),6) AS rate FROM labelled GROUP BY device_id""",
@@ -411,6 +418,16 @@ _BODIES = {
         {_rule('temperature', 'humidity', 'pressure', 'gas_resistance', _TYPES)} AS a,
         {_rule('temperature', 'humidity', 'pressure', 'gas_resistance', _GRADES)} AS s
       FROM readings r JOIN challenger_scores c USING (event_id))""",
+    "scorer_responses": f"""SELECT event_id, status, d < 0 OR a IN ('FIRE_RISK','CHEMICAL_VOC') AS is_anomaly,
+      CASE WHEN d < 0 AND a = 'NORMAL' THEN 'STATISTICAL_ANOMALY' ELSE a END AS anomaly_type,
+      CASE WHEN d < 0 AND a = 'NORMAL' THEN 'MEDIUM' ELSE s END AS severity, CAST(i AS VARCHAR) AS iaq_score, {_LABEL} AS air_quality,
+      contributing_factors, round(d,4) AS decision_score, {_BAND} AS score_meaning, CAST(NULL AS VARCHAR) AS error FROM (
+      SELECT event_id, status, d, {_iaq2('g', 'h')} AS i, {_factors('t', 'h', 'g')} AS contributing_factors,
+        {_rule('t', 'h', 'p', 'g', _TYPES)} AS a, {_rule('t', 'h', 'p', 'g', _GRADES)} AS s
+      FROM scorer_values JOIN scorer_scores USING (event_id) WHERE status = 200)
+      UNION ALL SELECT event_id, status, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'unusable_field:' || CASE
+        WHEN t IS NULL THEN 'temperature' WHEN h IS NULL THEN 'humidity' WHEN p IS NULL THEN 'pressure' ELSE 'gas_resistance' END
+      FROM scorer_values WHERE status <> 200""",
     "ratio_features": """SELECT event_id, round(temperature/(humidity+1e-6),6) AS temp_humidity_ratio,
       round(gas_resistance/(pressure+1e-6),6) AS gas_pressure_ratio FROM readings""",
     "time_features": """SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts)-1 AS INTEGER) AS day_of_week,
