@@ -296,11 +296,11 @@ def score_readings(spark, folder):
 def scorer_responses(spark, folder):
     """Raw scorer events to response records with status 200, 400 or 500, whose JSON is read back whole.
 
-    ``iaq_score`` is text, because a missing number has no common client-side type.
+    ``is_anomaly`` and ``iaq_score`` are text, because a missing boolean or number has no common client-side type.
     """
     told = medallion.respond(fixtures.scorer_events(spark, folder), forest.box_score(fixtures.CHALLENGER_BOXES), -0.75)
     kinds = {
-        "is_anomaly": "boolean", "anomaly_type": "string", "severity": "string", "iaq_score": "string", "air_quality": "string",
+        "is_anomaly": "string", "anomaly_type": "string", "severity": "string", "iaq_score": "string", "air_quality": "string",
         "contributing_factors": "array<string>", "decision_score": "double", "score_meaning": "string", "error": "string",
     }
     body = "struct<" + ", ".join(f"{name}: {kind}" for name, kind in kinds.items()) + ">"

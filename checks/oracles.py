@@ -418,7 +418,7 @@ _BODIES = {
         {_rule('temperature', 'humidity', 'pressure', 'gas_resistance', _TYPES)} AS a,
         {_rule('temperature', 'humidity', 'pressure', 'gas_resistance', _GRADES)} AS s
       FROM readings r JOIN challenger_scores c USING (event_id))""",
-    "scorer_responses": f"""SELECT event_id, status, d < 0 OR a IN ('FIRE_RISK','CHEMICAL_VOC') AS is_anomaly,
+    "scorer_responses": f"""SELECT event_id, status, CAST(d < 0 OR a IN ('FIRE_RISK','CHEMICAL_VOC') AS VARCHAR) AS is_anomaly,
       CASE WHEN d < 0 AND a = 'NORMAL' THEN 'STATISTICAL_ANOMALY' ELSE a END AS anomaly_type,
       CASE WHEN d < 0 AND a = 'NORMAL' THEN 'MEDIUM' ELSE s END AS severity, CAST(i AS VARCHAR) AS iaq_score, {_LABEL} AS air_quality,
       contributing_factors, round(d,4) AS decision_score, {_BAND} AS score_meaning, CAST(NULL AS VARCHAR) AS error FROM (

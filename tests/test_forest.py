@@ -1,3 +1,5 @@
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -126,9 +128,18 @@ def test_box_score_borders(spark):
 def test_response_document(spark):
     df = spark.createDataFrame([(36.0, 50.0, 1004.0, 15000.0)], "temperature double, humidity double, pressure double, gas_resistance double")
     out = medallion.response_json(medallion.score_readings(df, F.lit(-0.4), -0.5))
-    import json
-
     body = json.loads(out.first().response)
     assert body["statusCode"] == 200 and body["body"]["is_anomaly"] is True and body["body"]["anomaly_type"] == "FIRE_RISK"
     assert body["body"]["decision_score"] == 0.1 and body["body"]["score_meaning"] == "deep_normal"
     assert body["body"]["contributing_factors"] == ["temperature_critical", "gas_very_low"]
+
+
+def test_respond_gives_error_records(spark):
+    """Readable events get status 200; a missing field, a text and a null get error records that name the field."""
+    whole = '{"T":25,"H":50,"P":1010,"G":60000}'
+    bodies = [whole, '{"T":25,"H":50,"G":60000}', '{"T":25,"H":"damp","P":1010,"G":60000}', '{"T":null,"H":50,"P":1010,"G":60000}', "no json"]
+    events = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+    told = [json.loads(r.response) for r in medallion.respond(events, F.lit(-0.4), -0.5).orderBy("id").collect()]
+    assert [t["statusCode"] for t in told] == [200, 400, 400, 500, 400]
+    assert told[0]["body"]["anomaly_type"] == "NORMAL" and told[0]["body"]["decision_score"] == 0.1
+    assert [t["body"]["error"] for t in told[1:]] == [f"unusable_field:{c}" for c in ("pressure", "humidity", "temperature", "temperature")]
