@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import public_tokenizers
@@ -93,18 +94,54 @@ def test_fingerprints_and_groups_against_brute_force(docs, spark):
     assert {r["doc_id"] for r in kept} == set(least.values())
 
 
-def test_large_tiles_are_cut_without_losing_links(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "TILE", 8)
+def test_large_tiles_are_cut_without_losing_links(spark):
     draw = np.random.default_rng(6)
     centres = draw.integers(0, 2**63, 12)
     values = np.unique(np.concatenate([centres ^ (1 << draw.integers(0, 62, 12)) ^ (1 << draw.integers(0, 62, 12)) for _ in range(60)] + [centres]))
-    edges = simhash.links(spark.createDataFrame([(int(v),) for v in values], "fp long"))
+    edges = simhash.links(spark.createDataFrame([(int(v),) for v in values], "fp long"), replace(simhash.EXACT, tile=8))
     got = {r["node"]: r["label"] for r in graph.components(edges).collect()}
     a, b = np.nonzero(np.bitwise_count(values[:, None] ^ values[None, :]) <= 3)
     label = simhash.forest(len(values), a, b)
     assert all(got.get(int(v), int(v)) == int(values[label == x].min()) for v, x in zip(values, label, strict=True))
 
 
+def test_long_fingerprints_catch_near_copies_and_leave_others(docs):
+    draw = random.Random(8)
+    rows, shared = [], sentence(draw, 60)
+    for k in range(40):
+        text = sentence(draw, 240).split()
+        changed = text.copy()
+        for at in draw.sample(range(240), 3):  # similarity of about 0.88
+            changed[at] = "zz"
+        rows += [(1000 + 10 * k, " ".join(text)), (1001 + 10 * k, " ".join(changed)), (1002 + 10 * k, " ".join(text))]
+        rows.append((1003 + 10 * k, sentence(draw, 200) + " " + shared))  # shares a passage only
+    kept = {r["doc_id"] for r in simhash.keep_first(docs(rows), width=5, near=simhash.WIDE).collect()}
+    assert kept == {i for i, _ in rows if i % 10 in (0, 3)}
+    odd = simhash.groups(docs(ODD), width=5, near=simhash.WIDE).collect()
+    assert len(odd) == len(ODD)
+    assert {r["component_id"] for r in odd if r["doc_id"] in (1, 2, 3)} == {1}
+    assert simhash.keep_first(docs([]), near=simhash.WIDE).count() == 0
+
+
+@pytest.mark.parametrize("tile", [8, simhash.WIDE.tile])
+def test_long_fingerprints_against_brute_force(spark, tile):
+    draw = np.random.default_rng(9)
+    bits = np.repeat(draw.integers(0, 2, (9, 256), np.uint8), 12, axis=0)
+    bits ^= (draw.random(bits.shape) < 0.05).astype(np.uint8)
+    words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+    near = replace(simhash.WIDE, tile=tile)
+    frame = spark.createDataFrame([(i, *map(int, w)) for i, w in enumerate(words)], "fp long, " + ", ".join(f"{c} long" for c in near.columns))
+    keys = simhash.tile_keys(words.view(np.uint64), near)
+    places = 1 << np.arange(simhash.KEY_BITS)
+    want = np.stack([bits[:, list(s)] @ places + (k << simhash.KEY_BITS) for k, s in enumerate(near.spots)], axis=1)
+    assert np.array_equal(keys, want)
+    far = (bits[:, None] != bits[None]).sum(2)
+    a, b = np.nonzero((far <= near.radius) & (want[:, None] == want[None]).any(2))
+    label = simhash.forest(len(bits), a, b)
+    got = {r["node"]: r["label"] for r in graph.components(simhash.links(frame, near)).collect()}
+    assert [got.get(i, i) for i in range(len(bits))] == label.tolist()
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
     got = {r["node"]: r["label"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
