@@ -25,7 +25,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airmill.llm.graph import components
@@ -166,7 +166,7 @@ def small_links(tile: np.ndarray, bits: np.ndarray, most: int, radius: int = RAD
 
 def _comparer(near: Near) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Compares rows that come sorted by tile; the last tile of a batch waits for the next batch."""
-    names = ("tile", "low", "high", "part", *dict.fromkeys(["fp", *near.columns]))
+    columns = ("tile", "low", "high", "part", *dict.fromkeys(["fp", *near.columns]))
 
     def done(t: dict[str, np.ndarray]) -> pa.RecordBatch:
         starts = np.nonzero(np.concatenate([[True], (np.diff(t["tile"]) != 0) | (np.diff(t["low"]) != 0) | (np.diff(t["high"]) != 0)]))[0]
@@ -183,14 +183,18 @@ def _comparer(near: Near) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             order = a if inner else np.concatenate([a, b])
             found.append(tuple(order[x] for x in tile_links(bits[a], None if inner else bits[b], near.radius)))
         left, right = map(np.concatenate, zip(*found, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(t["fp"][left]), pa.array(t["fp"][right])], names=["u", "v"])
+        # one forest for the tiles of a batch, hung on the smallest names: tiles of one group mostly agree on these
+        names, at = np.unique(np.concatenate([t["fp"][left], t["fp"][right]]), return_inverse=True)
+        label = forest(len(names), at[: len(left)], at[len(left) :])
+        moved = np.nonzero(label != np.arange(len(names)))[0]
+        return pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[label[moved]])], names=["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for b in batches:
-            now = {c: b.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(names)}
+            now = {c: b.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(columns)}
             if held:
-                now = {c: np.concatenate([held[c], now[c]]) for c in names}
+                now = {c: np.concatenate([held[c], now[c]]) for c in columns}
             if not len(now["tile"]):
                 continue
             same = (now["tile"] == now["tile"][-1]) & (now["low"] == now["low"][-1]) & (now["high"] == now["high"][-1])
@@ -198,8 +202,8 @@ def _comparer(near: Near) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             if cut == len(same):
                 held = now
                 continue
-            held = {c: now[c][cut:] for c in names}
-            yield done({c: now[c][:cut] for c in names})
+            held = {c: now[c][cut:] for c in columns}
+            yield done({c: now[c][:cut] for c in columns})
         if held:
             yield done(held)
 
@@ -251,12 +255,23 @@ def links(prints: DataFrame, near: Near = EXACT) -> DataFrame:
     return dealt.mapInArrow(_comparer(near), "u long, v long")
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """Fewer edges with the same components: a node and its other roots hang on its smallest root.
+
+    A node has an edge for each of its tiles at most, so the window's groups are bounded; tiles share their roots, so most edges
+    between roots are equal.
+    """
+    rooted = edges.distinct().withColumn("root", F.min("v").over(Window.partitionBy("u")))
+    ends = rooted.select(F.inline(F.array(F.struct("u", F.col("root").alias("v")), F.struct(F.col("v").alias("u"), F.col("root").alias("v")))))
+    return ends.where("u <> v").distinct()
+
+
 def _grouped(docs: DataFrame, key: str, text: str, width: int, near: Near) -> DataFrame:
     """``key``, ``content`` (hash of the text), ``fp``, ``label`` (of the component) and ``component_id`` of every row."""
     content = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content")
     rows = docs.select(F.col(key).alias("key"), content, F.col(text).alias("text"))
     prints = stored(with_fingerprint(rows, "text", width, near))
-    labels = components(links(prints, near)).toDF("node", "label")
+    labels = components(contracted(links(prints, near))).toDF("node", "label")
     named = prints.groupBy("fp").agg(F.min("key").alias("least")).join(labels, F.col("fp") == F.col("node"), "left")
     named = stored(named.select("fp", "least", F.coalesce("label", "fp").alias("label")))
     names = stored(named.groupBy("label").agg(F.min("least").alias("component_id")))
