@@ -5,8 +5,9 @@ white space as one space, digits as 0) and hashed; these narrow facts are stored
 Lines are counted per host in distinct documents. A line above its host's limit is boilerplate; a document left with too few
 of its words once such lines are gone is depleted and rejected.
 
-Documents whose longest other line is the same count as one for a line: a text copied a thousand times is not a thousand
-witnesses for its own lines, so exact and near copies of a clean document do not deplete each other.
+A document is a whole text on a host: exact copies count once, for a line and for the host, so a text copied a thousand times is
+not a thousand witnesses for its own lines. Different texts count each, however much they share: from the lines alone a group of
+near copies looks like documents of one template.
 
 Cases: a null text has no words (all figures 0, rejected), a null host is a host of its own, repeated rows give repeated
 results, extra columns are passed on or replaced if a new column has their name, an empty table gives no rows.
@@ -99,17 +100,13 @@ def facts(docs: DataFrame, text: str = "text", host: str = "source") -> DataFram
 def depleted(rows: DataFrame, min_docs: int = 30, share: float = 0.003, min_left: float = 0.5) -> DataFrame:
     """Content keys among the stored ``facts`` left with less than ``min_left`` of their words.
 
-    A line is over the limit of its host when more than max(``min_docs``, ``share`` of the host's documents) distinct
-    documents hold it. Counts are combined before every shuffle; the join meets only lines over the limit.
+    A line is over the limit of its host when more than max(``min_docs``, ``share`` of the host's distinct
+    documents) distinct documents hold it. Counts are combined before every shuffle; the join meets only lines over the limit.
     """
-    texts = rows.select(*CONTENT, "_lines").dropDuplicates(list(CONTENT))
-    ranked = rows.select("_host", "_lines", F.transform("_lines", lambda x: F.struct(x["size"], x["line"])).alias("sized"))
-    ranked = ranked.withColumn("first", F.array_max("sized")["line"])
-    ranked = ranked.withColumn("second", F.array_max(F.filter("sized", lambda x: x["line"] != F.col("first")))["line"])
-    other = F.when(F.col("l.line") == F.col("first"), F.col("second")).otherwise(F.col("first"))
-    lines = ranked.select("_host", "first", "second", F.explode("_lines").alias("l")).select("_host", other.alias("document"), "l.line")
-    held = lines.distinct().groupBy("_host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > min_docs)
-    hosts = rows.groupBy(F.col("_host").alias("any_host")).agg(F.count("*").alias("host_documents"))
+    texts = stored(rows.select(*CONTENT, "_lines").dropDuplicates(list(CONTENT)))
+    lines = texts.select("_host", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["line"]))).alias("line"))
+    held = lines.groupBy("_host", "line").agg(F.count("*").alias("documents")).where(F.col("documents") > min_docs)
+    hosts = texts.groupBy(F.col("_host").alias("any_host")).agg(F.count("*").alias("host_documents"))
     common = (
         held.join(hosts, F.col("_host").eqNullSafe(F.col("any_host")))
         .where(F.col("documents") > share * F.col("host_documents"))

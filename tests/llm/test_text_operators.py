@@ -55,6 +55,29 @@ def test_lines_above_the_limit_deplete_but_copies_do_not(docs):
     assert kept == {k for k, (_, ok) in got.items() if ok}
 
 
+def brute_depleted(rows):
+    """(doc_id) of rows over (doc_id, text, host) whose lines above the limit hold more than half of their words."""
+    lines = {(h, t): [x for x in (re.sub(r"[\x20\t\x0b-\r]+", " ", re.sub("[0-9]", "0", t.lower())).split("\n")) if x.strip()] for _, t, h in rows}
+    lines = {k: [x.strip() for x in v] for k, v in lines.items()}
+    held, hosts = Counter((h, x) for (h, _), v in lines.items() for x in set(v)), Counter(h for h, _ in lines)
+    over = {k for k, n in held.items() if n > max(30, 0.003 * hosts[k[0]])}
+    size = lambda v: sum(x.count(" ") + 1 for x in v)
+    return {i for i, t, h in rows if size(x for x in lines[h, t] if (h, x) not in over) < 0.5 * size(lines[h, t])}
+
+
+@pytest.mark.parametrize("shared", [2, 3])
+def test_several_long_shared_lines_deplete_against_brute_force(docs, shared):
+    draw = random.Random(14)
+    notices = [sentence(draw, n) for n in (70, 60, 50)[:shared]]  # each longer than any own line
+    rows = [(k, "\n".join([*(sentence(draw, 10) for _ in range(4)), *notices]), "s") for k in range(60)]
+    rows += [(100 + k, "\n".join([*(sentence(draw, 15) for _ in range(12)), notices[0]]), "s") for k in range(40)]
+    rows += [(200 + k, "\n".join([*(sentence(draw, 10) for _ in range(4)), *notices]), "few") for k in range(20)]
+    rows += [(300 + k, rows[0][1], "few") for k in range(60)]  # copies of one text: one more document
+    frame = docs([r[:2] for r in rows]).withColumn("source", F.when(F.col("doc_id") < 200, "s").otherwise("few"))
+    got = {r["doc_id"] for r in quality_rules.judge(frame).where("depleted").collect()}
+    assert got == brute_depleted(rows) == set(range(60))
+
+
 def test_quality_of_empty_table_and_null_host(docs, spark):
     assert quality_rules.judge(docs([])).count() == 0
     nulls = docs([(1, "x y z " * 40), (2, None)]).withColumn("source", F.lit(None).cast("string"))
