@@ -7,8 +7,8 @@ it no partner can live). In a cell, asymmetric distances from lookup tables leav
 given what the codes miss, and the rest is compared by exact cosine in double precision.
 
 Lists are cut into parts of at most ``PART`` rows, each a task's job with all of its visitors; a visitor batch meets one part at
-a time. A part returns link counts and a spanning forest, never the pairs. A pair that only one side's probes find counts for
-both.
+a time. A part returns link counts and a spanning forest, never the pairs. A pair that only one side's probes find (with a limit
+on them) counts for both.
 
 Cases: vectors that are null, zero, or hold null or non-finite components link with nothing; vectors of different length never
 link; equal vectors are linked; a repeated row is another vector; vec_id may be null (such rows count as links, and their group
@@ -28,7 +28,7 @@ from airmill.llm.graph import components
 from airmill.llm.simhash import forest
 from airmill.session import stored
 
-LEAST, SAMPLE, PER_CELL, CELLS, PROBES, PART, SPACES, CODES, ROUNDS = 0.9, 20_000, 256, 4096, 24, 2048, 8, 256, 8
+LEAST, SAMPLE, PER_CELL, CELLS, PART, SPACES, CODES, ROUNDS = 0.9, 20_000, 256, 4096, 2048, 8, 256, 8
 VISITORS = 1024
 
 
@@ -53,27 +53,37 @@ def kmeans(x: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return centres
 
 
+def spread(centres: np.ndarray, least: float) -> np.ndarray:
+    """The centres without those closer than ``least`` to an earlier one that stays."""
+    stays, open_ = [], np.ones(len(centres), bool)
+    for i in range(len(centres)):
+        if open_[i]:
+            stays.append(i)
+            open_ &= distances(centres[i : i + 1], centres)[0] >= least * least
+    return centres[stays]
+
+
 class Index:
     """Coarse centres, residual codebooks (spaces x codes x width) and the radius that stands for the least cosine."""
 
     def __init__(self, sample: np.ndarray, cells: int, least: float, spaces: int = SPACES):
         self.width = -(-sample.shape[1] // spaces)
         self.spaces, self.radius = spaces, float(np.sqrt(2 - 2 * least))
-        self.centres = kmeans(sample, cells)
+        self.centres = spread(kmeans(sample, cells), self.radius)
         rest = self.padded(sample - self.centres[distances(sample, self.centres).argmin(1)])
         self.books = [kmeans(rest[:, s], CODES, s) for s in range(spaces)]
 
     def padded(self, x: np.ndarray) -> np.ndarray:
         return np.pad(x, ((0, 0), (0, self.width * self.spaces - x.shape[1]))).reshape(len(x), self.spaces, self.width)
 
-    def place(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    def place(self, x: np.ndarray, probes: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """Home cells, codes, lengths of what the codes miss, and the cells to visit (home first)."""
         far = distances(x, self.centres)
         home = far.argmin(1)
         rest = self.padded(x - self.centres[home])
         codes = np.stack([distances(rest[:, s], book).argmin(1) for s, book in enumerate(self.books)], 1)
         missed = np.sqrt(sum(((rest[:, s] - book[codes[:, s]]) ** 2).sum(1) for s, book in enumerate(self.books)))
-        between = np.sqrt(distances(self.centres, self.centres))[home]
+        between = np.sqrt(distances(self.centres[home], self.centres))
         border = (far - far[np.arange(len(x)), home][:, None]) / np.maximum(2 * between, 1e-9)
         border[np.arange(len(x)), home] = -1
         order = np.argsort(border, axis=1)[:, :probes]
@@ -161,8 +171,8 @@ def _compare(index: Index, width: int, least: float):
     return run
 
 
-def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = LEAST, probes: int = PROBES, sample: int = SAMPLE) -> DataFrame:
-    """One row per row of ``rows``: ``key``, ``n_links``, ``component_id`` and ``kept``."""
+def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = LEAST, probes: int | None = None, sample: int = SAMPLE) -> DataFrame:
+    """One row per row of ``rows``: ``key``, ``n_links``, ``component_id`` and ``kept``; ``probes`` limits the cells a vector visits."""
     spark = rows.sparkSession
     values = F.transform(vector, lambda v: v.cast("double"))
     fine = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(values, lambda v: v != 0)

@@ -93,6 +93,22 @@ def test_index_is_exact_when_all_near_cells_are_probed(spark):
     assert [got[k]["component_id"] for k in range(400)] == label
 
 
+def test_hot_region_of_many_cells_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "PER_CELL", 8)
+    monkeypatch.setattr(embedding_dedup, "PART", 64)
+    draw = np.random.default_rng(15)
+    x = draw.normal(size=(1500, 32))
+    x[:600] = draw.normal(size=32) + draw.normal(size=(600, 32)) / 3  # mean cosine of about 0.9
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    near = x @ x.T >= 0.9
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embedding_dedup.groups(frame).collect()}
+    assert near.sum() > 100_000
+    assert [got[k]["n_links"] for k in range(1500)] == (near.sum(1) - 1).tolist()
+    label = simhash.forest(1500, *np.nonzero(near))
+    assert [got[k]["component_id"] for k in range(1500)] == label.tolist()
+
+
 def brute_viterbi(text, model):
     best, back = [0.0], [None]
     for e in range(1, len(text) + 1):
