@@ -6,8 +6,9 @@
 2. Per host, the segments under one prefix are the branches of a tree. A prefix with many rare branches turns them into ``*``;
    a branch that is statistically like all its siblings together (what follows it, its share of labels, and their smoothed purity)
    is merged with them into ``+``. Two passes, so that the second sees prefixes that the first has generalised.
-3. A template is rejected when its smoothed purity, (blocked + strength * prior) / (labelled + strength) with the whole
-   table's blocked share as prior, reaches ``REJECT``. Without labels of its own a template has the prior's purity.
+3. A template is rejected when its smoothed purity, (blocked + strength * ``PRIOR``) / (labelled + strength), reaches
+   ``REJECT``: by labels of its own only, of which it needs 15 at least. The prior is neutral and no share of the table, so no
+   host's labels reach another host; a template without labels has the prior's purity and is allowed.
 
 Cases: a null url, or one without ``://``, has an empty host and path and no rule and falls into the empty template; hosts are
 compared in lower case; repeated rows count each; segments deeper than ``DEPTH`` are one wildcard ``**``; extra columns are
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from airmill.session import stored
 
-DEPTH, MANY, RARE, ALIKE, STRENGTH, REJECT = 8, 50, 0.2, 0.25, 10.0, 0.8
+DEPTH, MANY, RARE, ALIKE, STRENGTH, PRIOR, REJECT = 8, 50, 0.2, 0.25, 10.0, 0.5, 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULT = ("host", "path", "rule", "template", "purity", "verdict")
 #: Forms of variable segments, tried in this order: (wildcard, pattern of the whole segment without its extension).
@@ -75,11 +76,9 @@ def generalise(templates: DataFrame) -> DataFrame:
     branches = follow.groupBy(*node, "segment").agg(*totals)
     nodes = branches.groupBy(*node).agg(F.count("*").alias("branches"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "blocked")])
     pooled = follow.groupBy(*node, "following").agg(F.sum("n").alias("pooled"))
-    prior = templates.agg((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).first()[0]
-    prior = 0.5 if prior is None else float(prior)
 
     def purity(blocked: str, labelled: str) -> Column:
-        return (F.col(blocked) + STRENGTH * prior) / (F.col(labelled) + STRENGTH)
+        return (F.col(blocked) + STRENGTH * PRIOR) / (F.col(labelled) + STRENGTH)
 
     # total variation distance between what follows the branch and what follows all its siblings
     shares = follow.select(*node, "segment", "following", "n").join(nodes.select(*node, "all_n"), node).join(pooled, [*node, "following"])
@@ -115,12 +114,10 @@ def judge(urls: DataFrame, rules: list[tuple[str, str]], url: str = "url", label
         F.count("*").alias("n"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).cast("long").alias("blocked")
     )
     templates = stored(counted.select(F.xxhash64("host", F.array_join("raw", "/")).alias("id"), "*", F.col("raw").alias("parts")))
-    prior = templates.agg((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).first()[0]
-    prior = 0.5 if prior is None else float(prior)
     for _ in range(passes):
         templates = stored(generalise(templates))
     named = templates.select("host", "raw", F.concat(F.lit("/"), F.array_join("parts", "/")).alias("template"), "labelled", "blocked")
-    purity = (F.sum("blocked") + STRENGTH * prior) / (F.sum("labelled") + STRENGTH)
+    purity = (F.sum("blocked") + STRENGTH * PRIOR) / (F.sum("labelled") + STRENGTH)
     pure = named.groupBy(F.col("host").alias("h"), F.col("template").alias("t")).agg(purity.alias("purity"))
     known = named.join(pure, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")))
     known = stored(known.select(F.col("host").alias("_h"), F.array_join("raw", "/").alias("_raw"), "template", "purity"))

@@ -47,6 +47,13 @@ def test_url_tree_generalises_merges_and_rejects(spark):
     assert url_filter.judge(frame.limit(0), []).count() == 0
 
 
+def test_hot_blocked_host_does_not_reject_hosts_without_labels(spark):
+    urls = [f"http://hot.net/es/{k}" for k in range(600)] + [f"http://clean.org/{s}/{k}" for s in ("page", "text") for k in range(40)]
+    got = judged(spark, urls)
+    assert {got[k]["verdict"] for k in range(600)} == {"block"}
+    assert {(got[k]["verdict"], got[k]["purity"]) for k in range(600, 680)} == {("allow", 0.5)}
+
+
 def brute_links(vectors, least=0.9):
     x = [None if v is None or not len(v) or any(c is None or not np.isfinite(c) for c in v) or not any(v) else np.array(v, float) for v in vectors]
     links = [[] for _ in x]
