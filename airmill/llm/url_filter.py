@@ -5,14 +5,15 @@
    verdicts, or given ones). All that follows works on templates.
 2. Per host, the segments under one prefix are the branches of a tree. A prefix with many rare branches turns them into ``*``;
    a branch that is statistically like all its siblings together (what follows it, its share of labels, and their smoothed purity)
-   is merged with them into ``+``. Two passes, so that the second sees prefixes that the first has generalised.
+   is merged with them into ``+``. Passes go on until one changes nothing: a branch is judged again when its
+   prefix or what follows it has been generalised, so their number grows with the depth of the paths and not with the rows.
 3. A template is rejected when its smoothed purity, (blocked + strength * ``PRIOR``) / (labelled + strength), reaches
    ``REJECT``: by labels of its own only, of which it needs 15 at least. The prior is neutral and no share of the table, so no
    host's labels reach another host; a template without labels has the prior's purity and is allowed.
 
 Cases: a null url, or one without ``://``, has an empty host and path and no rule and falls into the empty template; hosts are
-compared in lower case; repeated rows count each; segments deeper than ``DEPTH`` are one wildcard ``**``; extra columns are
-passed on, those named like a result are replaced; an empty table gives no rows.
+compared in lower case; repeated rows count each; paths of any depth keep all segments; extra columns are passed on,
+those named like a result are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from airmill.session import stored
 
-DEPTH, MANY, RARE, ALIKE, STRENGTH, PRIOR, REJECT = 8, 50, 0.2, 0.25, 10.0, 0.5, 0.8
+MANY, RARE, ALIKE, STRENGTH, PRIOR, REJECT = 50, 0.2, 0.25, 10.0, 0.5, 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULT = ("host", "path", "rule", "template", "purity", "verdict")
 #: Forms of variable segments, tried in this order: (wildcard, pattern of the whole segment without its extension).
@@ -59,12 +60,14 @@ def segments(path: Column) -> Column:
             out = F.when(stem.rlike(f"^(?:{pattern})$"), F.concat(F.lit(wildcard), end)).otherwise(out)
         return out
 
-    shaped = F.transform(parts, form)
-    return F.when(F.size(shaped) > DEPTH, F.concat(F.slice(shaped, 1, DEPTH), F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(parts, form)
 
 
-def generalise(templates: DataFrame) -> DataFrame:
-    """One pass over (id, host, parts, n, labelled, blocked): branches under each prefix become wildcards or are merged."""
+def generalise(templates: DataFrame) -> DataFrame | None:
+    """One pass over (id, host, parts, n, labelled, blocked): branches under each prefix become wildcards or are merged.
+
+    None if nothing changes.
+    """
     spots = templates.select("*", F.posexplode("parts").alias("at", "segment")).select(
         "id", "host", "at", "segment", F.array_join(F.slice("parts", 1, F.col("at")), "/").alias("prefix"),
         F.coalesce(F.get("parts", F.col("at") + 1), F.lit("")).alias("following"), "n", "labelled", "blocked",
@@ -93,15 +96,17 @@ def generalise(templates: DataFrame) -> DataFrame:
     # a branch without labels is not like labelled ones
     alike &= F.abs(F.col("labelled") / F.col("n") - F.col("all_labelled") / F.col("all_n")) <= ALIKE
     alike &= F.abs(purity("blocked", "labelled") - purity("all_blocked", "all_labelled")) <= ALIKE
-    fixed = F.col("segment").startswith("<") | F.col("segment").isin("**", "*", "+")
+    fixed = F.col("segment").startswith("<") | F.col("segment").isin("*", "+")
     became = F.when(fixed, F.col("segment")).when(many, F.lit("*")).when(alike, F.lit("+")).otherwise(F.col("segment"))
     changed = stored(judged.select(*node, "segment", became.alias("became")).where(F.col("became") != F.col("segment")))
+    if changed.isEmpty():
+        return None
     moved = spots.join(changed, [*node, "segment"], "left").select("id", "at", F.coalesce("became", "segment").alias("segment"))
     parts = moved.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "segment"))), lambda x: x["segment"]).alias("parts"))
     return templates.drop("parts").join(parts, "id", "left").withColumn("parts", F.coalesce("parts", F.array().cast("array<string>")))
 
 
-def judge(urls: DataFrame, rules: list[tuple[str, str]], url: str = "url", label: str | None = None, passes: int = 2) -> DataFrame:
+def judge(urls: DataFrame, rules: list[tuple[str, str]], url: str = "url", label: str | None = None) -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule``, ``template``, ``purity`` and ``verdict``.
 
     ``label`` names a column that is 1 for urls known to be bad and 0 for good ones; without it the rules' verdicts are the labels.
@@ -114,8 +119,8 @@ def judge(urls: DataFrame, rules: list[tuple[str, str]], url: str = "url", label
         F.count("*").alias("n"), F.count("_bad").alias("labelled"), F.coalesce(F.sum("_bad"), F.lit(0)).cast("long").alias("blocked")
     )
     templates = stored(counted.select(F.xxhash64("host", F.array_join("raw", "/")).alias("id"), "*", F.col("raw").alias("parts")))
-    for _ in range(passes):
-        templates = stored(generalise(templates))
+    while (after := generalise(templates)) is not None:
+        templates = stored(after)
     named = templates.select("host", "raw", F.concat(F.lit("/"), F.array_join("parts", "/")).alias("template"), "labelled", "blocked")
     purity = (F.sum("blocked") + STRENGTH * PRIOR) / (F.sum("labelled") + STRENGTH)
     pure = named.groupBy(F.col("host").alias("h"), F.col("template").alias("t")).agg(purity.alias("purity"))

@@ -47,6 +47,18 @@ def test_url_tree_generalises_merges_and_rejects(spark):
     assert url_filter.judge(frame.limit(0), []).count() == 0
 
 
+def test_url_tree_generalises_all_levels(spark):
+    name = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(120)]
+    urls = [f"http://h.org/a{x}/b{x}/c{x}/d{x}" for x in name]
+    urls += [f"http://deep.org/1/a/b/c/d/e/f/g/h/{s}/{k}" for s in ("spam", "news") for k in range(60)]
+    bad = [k % 2 or None for k in range(120)] + [int(k < 60) if k % 2 else None for k in range(120)]
+    frame = spark.createDataFrame([(k, u, b) for k, (u, b) in enumerate(zip(urls, bad, strict=True))], "id long, url string, bad int")
+    got = {r["id"]: (r["template"], r["verdict"]) for r in url_filter.judge(frame, [], label="bad").collect()}
+    assert {got[k] for k in range(120)} == {("/*/*/*/*", "block")}  # also those without a label
+    start = "/<n>/a/b/c/d/e/f/g/h/"
+    assert {got[k] for k in range(120, 180)} == {(start + "spam/<n>", "block")} and {got[k] for k in range(180, 240)} == {(start + "news/<n>", "allow")}
+
+
 def test_hot_blocked_host_does_not_reject_hosts_without_labels(spark):
     urls = [f"http://hot.net/es/{k}" for k in range(600)] + [f"http://clean.org/{s}/{k}" for s in ("page", "text") for k in range(40)]
     got = judged(spark, urls)
