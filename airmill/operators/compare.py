@@ -151,8 +151,11 @@ def metadata_table(pairs: DataFrame, versions: DataFrame) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in doubles})
 
 
-def comparison_summary(metrics: DataFrame, generated_at: Column) -> DataFrame:
-    """One JSON document: versions with metrics, deltas and recommendation."""
+def comparison_summary(metrics: DataFrame, generated_at: Column, versions: Column | None = None) -> DataFrame:
+    """One JSON document: metrics of both sides, deltas and recommendation.
+
+    ``versions`` (a struct of champion and challenger), if given, comes with it: the metrics do not name versions.
+    """
     deltas = metric_deltas(metrics)
     names = K.COMPARED_METRICS
 
@@ -165,6 +168,6 @@ def comparison_summary(metrics: DataFrame, generated_at: Column) -> DataFrame:
     fields = F.struct("verdict", "confidence", "reason", "champion_score", "challenger_score", "score_delta", "risk_points")
     body = body.withColumn("recommendation", advice.select(fields.alias("r")).scalar())
     document = F.struct(
-        generated_at.alias("generated_at"), "champion", "challenger", F.col("delta").alias("deltas"), "recommendation"
+        generated_at.alias("generated_at"), *([] if versions is None else [versions.alias("versions")]), "champion", "challenger", F.col("delta").alias("deltas"), "recommendation"
     )
     return body.select(F.to_json(document).alias("summary"))

@@ -29,8 +29,8 @@ NODE_SCHEMA = (
 # Largest model that is sent to the executors.
 MAX_NODES = 1_000_000
 MAX_FEATURES = 10_000
-# Candidate rows per tree slot: the pool holds about POOL_FACTOR rows for every row a tree finally uses.
-POOL_FACTOR = 2
+# About so many rows are drawn for every row that a tree finally uses.
+CANDIDATES = 4
 # Rows walked together; rows x trees intermediate values stay in the processor cache.
 _WALK_ROWS = 512
 # Rows per random bucket of a permutation.
@@ -153,21 +153,16 @@ def tree_samples(
 ) -> DataFrame:
     """(tree, rows of df): min(subsample, rows) different rows per tree, chosen by hash.
 
-    Two cheap hash filters come before anything is multiplied by the number of trees: a pool of a bounded number of rows
-    out of the table, then a share of the pool per tree. Only the survivors are ranked, per tree.
+    Every tree draws from the whole table by a hash of its own; a row is multiplied only by the trees that its hashes pick, about
+    ``CANDIDATES`` times the subsample for each tree, and only these are ranked, per tree.
     """
-    pool_target = POOL_FACTOR * n_trees * subsample
-    pooled = df
-    if rows > pool_target:
-        pick = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(_SLOTS))
-        pooled = df.where(pick < int(_SLOTS * (pool_target / rows)))
-    pool_rows = min(rows, pool_target)
-    # the pool is small by construction; spreading it lets all cores draw
-    pooled = pooled.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
-    spread = pooled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    spread = spread.withColumn("_draw", F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed + 1)), F.lit(_SLOTS)))
-    if pool_rows > 2 * POOL_FACTOR * subsample:
-        spread = spread.where(F.col("_draw") < int(_SLOTS * (2 * POOL_FACTOR * subsample / pool_rows)))
+    limit = int(_SLOTS * min(1.0, CANDIDATES * subsample / max(rows, 1)))
+
+    def draw(tree: Column) -> Column:
+        return F.pmod(F.xxhash64(F.col(key), tree, F.lit(seed + 1)), F.lit(_SLOTS))
+
+    picked = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < limit)
+    spread = df.withColumn("tree", F.explode(picked)).withColumn("_draw", draw(F.col("tree")))
     by_draw = Window.partitionBy("tree").orderBy("_draw", key)
     ranked = spread.withColumn("_rank", F.row_number().over(by_draw))
     return ranked.where(F.col("_rank") <= subsample).drop("_draw", "_rank")

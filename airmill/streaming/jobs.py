@@ -17,7 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from airmill import constants as K
 from airmill.functions.parsing import parse_messages
-from airmill.operators import forest
+from airmill.operators import forest, quality
 from airmill.plans import medallion
 from airmill.session import discard, stored
 from airmill.sources import lake
@@ -72,14 +72,25 @@ def deduplicated(bronze: DataFrame, delay: str = "2 hours") -> DataFrame:
     return timed.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["timestamp", "device_id"])
 
 
-def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Bronze stream to silver, batch by batch: baseline and row windows are the ones of the batch."""
+def start_silver(
+    bronze: DataFrame, silver_path: str, checkpoint: str, every: str | None = None, delay: str | None = None
+) -> StreamingQuery:
+    """Bronze stream to silver, batch by batch: baseline and row windows are the ones of the batch.
+
+    Of a reading's valid copies the first one stays, in whatever batch the others come. Without ``delay`` the state keeps the key of
+    every reading and no late reading is lost; with it, ``deduplicated`` bounds the state and drops readings that come later.
+    """
+    valid = quality.keep_valid(bronze, [medallion.SILVER_KEYS[0]])
+    first = valid.dropDuplicates(medallion.SILVER_KEYS) if delay is None else deduplicated(valid, delay)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = medallion.to_silver(batch).withColumn("batch_id", F.lit(batch_id))
+        # the batch is read more than once, the state is to advance once
+        held = stored(batch)
+        rows = medallion.to_silver(held).withColumn("batch_id", F.lit(batch_id))
         lake.write_layer(rows, silver_path, extra=["batch_id"])
+        discard(held)
 
-    return _start(bronze.writeStream.foreachBatch(write), checkpoint, every)
+    return _start(first.writeStream.foreachBatch(write), checkpoint, every)
 
 
 def rolling_across_batches(readings: DataFrame, rows: int = K.ROLLING_ROWS) -> DataFrame:

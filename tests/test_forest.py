@@ -55,6 +55,11 @@ def test_samples_have_the_full_size(spark):
     assert [r["count"] for r in few] == [40] * 3
 
 
+def test_trees_draw_from_the_whole_table(spark):
+    drawn = forest.tree_samples(spark.range(50_000), "id", 50_000, n_trees=3).groupBy("id").count()
+    assert drawn.count() > 3 * 256 - 20  # about four rows are expected twice; a shared pool of 1,536 rows has over 100
+
+
 def test_forest_shape(data):
     nodes = forest.fit_forest(data, forest.fit_scaler(data).checkpoint(), "id", n_trees=10).toPandas()
     assert nodes["tree"].nunique() == 10 and (nodes.groupby("tree").size() <= 511).all()

@@ -1,6 +1,7 @@
 """Streams give what the batch plans give, also across restarts."""
 
 import json
+import time
 
 import numpy as np
 import pandas as pd
@@ -73,6 +74,21 @@ def test_deduplication_keeps_one(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 2
 
 
+def test_silver_stream_keeps_one_copy_over_batches(spark, tmp_path):
+    old = message(7).replace("2024-01-03T05", "2024-01-02T01")
+    batches = [[message(1, temperature=9999), message(2), message(9)], [message(1), message(2), message(3)], [message(1), message(2), old]]
+    for k, lines in enumerate(batches):
+        landing = spark.createDataFrame([(x,) for x in lines], "body string")
+        rows = medallion.to_bronze(landing, F.lit(f"2024-01-03 0{6 + k}:00:00").cast("timestamp"))
+        rows.coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        time.sleep(0.1)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    drain(jobs.start_silver(stream, f"{tmp_path}/silver", f"{tmp_path}/mark"))
+    got = lake.read_layer(spark, f"{tmp_path}/silver").select(F.col("timestamp").cast("string")).collect()
+    # an invalid copy does not hide a valid one, and a late reading is not lost
+    assert sorted(r[0][:16].replace("T", " ") for r in got) == ["2024-01-02 01:07", *(f"2024-01-03 05:0{k}" for k in (1, 2, 3, 9))]
+
+
 def test_rolling_continues_over_batches(spark, tmp_path):
     rng = np.random.default_rng(5)
     n = 90
