@@ -2,6 +2,32 @@
 
 from __future__ import annotations
 
+RANKED_SEARCH = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS found FROM documents
+), sized AS (SELECT row, doc_id, found, len(found) AS n FROM doc WHERE len(found) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM sized),
+tf AS (
+    SELECT row, term, count(*) AS tf
+    FROM (SELECT row, translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM sized)
+    GROUP BY row, term
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term, docs
+), item AS (
+    SELECT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM benchmark
+), asked AS (SELECT item_id, term, count(*) AS times FROM item GROUP BY item_id, term),
+scored AS (
+    SELECT item_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // len))))::BIGINT AS score
+    FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN sized USING (row), totals
+    GROUP BY item_id, row
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+    FROM scored JOIN sized USING (row) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op13_ranked_search": RANKED_SEARCH}

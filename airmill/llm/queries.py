@@ -16,6 +16,7 @@ from airmill.llm import (
     packing,
     quality_model,
     quality_rules,
+    ranked_search,
     sentencepiece_viterbi,
     simhash,
     token_counts,
@@ -96,5 +97,9 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
