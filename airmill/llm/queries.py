@@ -14,6 +14,7 @@ from airmill.llm import (
     html_text,
     language_id,
     packing,
+    prefix_trie,
     quality_model,
     quality_rules,
     ranked_search,
@@ -97,6 +98,10 @@ def op10_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(*prefix_trie.rebuilt(table(spark, folder, "conversations")))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
