@@ -13,6 +13,7 @@ from airmill.llm import (
     embedding_dedup,
     html_text,
     language_id,
+    maxent_lm,
     packing,
     prefix_trie,
     quality_model,
@@ -102,6 +103,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.rebuilt(table(spark, folder, "conversations")))
 
 
+def op12_maxent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent_lm.score(table(spark, folder, "documents"), maxent_lm.held_out(F.col("doc_id")))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 

@@ -10,7 +10,7 @@ the weight of a term is in integers; sums run in doubles as long as they stay ex
 before scoring) and in Python's integers otherwise.
 
 Bounds: a block has at most ``ITEMS`` items and, beyond its first item, ``BYTES`` of text; there are as many blocks as the items
-need. A task holds the block's index, its heaps and ``CELLS`` scores. Long texts are cut at delimiters into slices of ``SLICE`` bytes.
+need. A task holds the block's index, its heaps and ``CELLS`` scores. Long texts are cut at delimiters into slices (``words.SLICE`` bytes).
 
 Cases: null and empty texts have no terms, so such a document is counted nowhere and such an item finds nothing. Equal scores go by
 ascending document id, null ids last. Every row is a document, or an item, of its own, also a repeated one. Empty tables give an
@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from airmill.llm import words
 from airmill.session import discard, stored
 
-ITEMS, BYTES, CELLS, SLICE = 16_384, 16_000_000, 2_000_000, 1 << 20
+ITEMS, BYTES, CELLS = 16_384, 16_000_000, 2_000_000
 SALTS = 64
 EXACT = 1 << 53
 #: Delimiters become spaces, A-Z lower case, the rest stays.
@@ -36,14 +37,8 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 o
 
 
 def terms(text: str | None) -> Iterator[list[bytes]]:
-    """Terms of a text, in lists from slices that end at a delimiter."""
-    raw = (text or "").encode().translate(FOLD)
-    at = 0
-    while at < len(raw):
-        end = raw.find(b" ", at + SLICE) if at + SLICE < len(raw) else -1
-        end = len(raw) if end < 0 else end
-        yield raw[at:end].split()
-        at = end + 1
+    """Terms of a text, in lists from slices."""
+    return words.pieces((text or "").encode(), FOLD)
 
 
 class Index:

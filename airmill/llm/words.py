@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +11,30 @@ import pyarrow.compute as pc
 #: Words a worker remembers at most; older ones go when twice as many are held.
 MEMO = 600_000
 
+#: A-Z lower case, white space as spaces.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+SLICE = 1 << 20
+
+
+def pieces(raw: bytes, table: bytes = LOWER) -> Iterator[list[bytes]]:
+    """Words of a text after ``table``, which makes every delimiter a space, in lists from slices of about ``SLICE`` bytes."""
+    at = 0
+    while at < len(raw):
+        end = len(raw) if len(raw) <= at + SLICE else at + SLICE
+        part = raw[at:end].translate(table)
+        if end < len(raw):
+            # up to the last delimiter, or on to the next one if the slice is one word
+            cut = part.rfind(b" ") + 1
+            while not cut:
+                more = raw[end : end + SLICE].translate(table)
+                spot = more.find(b" ")
+                part += more if spot < 0 else more[:spot]
+                end = end + len(more) if spot < 0 else end + spot
+                cut = len(part) if spot >= 0 or end >= len(raw) else 0
+            part, end = part[:cut], at + cut
+        yield part.split()
+        at = end
+
 
 class Memo:
     """Values per word, in two generations: when the young one is full it replaces the old one."""
