@@ -1,7 +1,8 @@
 """Scaler and isolation forest: fit, score, cut-off, permutation importance.
 
 The algorithm is the published one (Liu, Ting, Zhou: Isolation Forest, ICDM 2008). A fit needs only a fixed number of
-rows per tree, so Spark selects those rows by hash and every tree is grown in its own task. A fitted model is a table
+rows per tree: their positions in key order are known before any scan (``shuffles.places``), a bounded table of positions picks them, and
+every tree is grown in its own task. All draws are integer arithmetic, so another engine grows the same trees. A fitted model is a table
 with a bounded number of nodes; scoring sends it to the executors once and streams Arrow batches of the feature columns
 through a vectorised walk, while all other columns stay in the JVM.
 """
@@ -14,14 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airmill import constants as K
+from airmill.operators.ordered import number_rows, ordered_chunks
 from airmill.operators.quality import drop_nulls, require_columns
 from airmill.operators.quantiles import quantile
-from airmill.session import stored
+from airmill.operators.shuffles import PRIME, draw, place, places
+from airmill.session import discard, stored
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double, sample_size int"
@@ -29,13 +32,10 @@ NODE_SCHEMA = (
 # Largest model that is sent to the executors.
 MAX_NODES = 1_000_000
 MAX_FEATURES = 10_000
-# About so many rows are drawn for every row that a tree finally uses.
-CANDIDATES = 4
 # Rows walked together; rows x trees intermediate values stay in the processor cache.
 _WALK_ROWS = 512
-# Rows per random bucket of a permutation.
-PERMUTE_ROWS = 10_000
-_SLOTS = 1 << 40
+# Stream of random numbers of the permutation; trees use their own numbers.
+PERMUTATION = 1_000_003
 
 
 # --- scaler ------------------------------------------------------------------------------------------------------
@@ -118,27 +118,31 @@ def average_path_length(n: int) -> float:
 
 
 def _grow_tree(tree: int, x: np.ndarray, seed: int) -> pd.DataFrame:
-    """Nodes of one tree over at most ``SUBSAMPLE`` rows: random non-constant feature, uniform threshold."""
-    rng = np.random.default_rng([seed, tree])
+    """Nodes of one tree over at most ``SUBSAMPLE`` rows: random non-constant feature, uniform threshold.
+
+    A node draws by its number in a full binary tree (root 1, children 2h and 2h + 1), nodes are listed parents first and left first.
+    """
     limit = math.ceil(math.log2(max(len(x), 2)))
     nodes: list[list] = []
-    todo = [(np.arange(len(x)), 0, -1, False)]
+    todo = [(np.arange(len(x)), 0, -1, 1)]
     while todo:
-        rows, depth, parent, is_left = todo.pop()
+        rows, depth, parent, heap = todo.pop()
         number = len(nodes)
         if parent >= 0:
-            nodes[parent][4 if is_left else 5] = number
+            nodes[parent][4 + heap % 2] = number
         low, high = x[rows].min(axis=0), x[rows].max(axis=0)
         usable = np.flatnonzero(high > low)
         if depth >= limit or len(rows) <= 1 or len(usable) == 0:
             nodes.append([tree, number, -1, 0.0, -1, -1, depth + average_path_length(len(rows)), len(x)])
             continue
-        feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        feature = int(usable[draw(seed, tree, heap, 0) * len(usable) // PRIME])
+        share = (draw(seed, tree, heap, 1) + 0.5) / PRIME
+        threshold = float(low[feature] + (high[feature] - low[feature]) * share)
+        threshold = float(low[feature]) if threshold >= high[feature] else threshold
         nodes.append([tree, number, feature, threshold, -1, -1, 0.0, len(x)])
         goes_left = x[rows, feature] <= threshold
-        todo.append((rows[~goes_left], depth + 1, number, False))
-        todo.append((rows[goes_left], depth + 1, number, True))
+        todo.append((rows[~goes_left], depth + 1, number, 2 * heap + 1))
+        todo.append((rows[goes_left], depth + 1, number, 2 * heap))
     columns = ["tree", "node", "feature", "threshold", "left", "right", "path", "sample_size"]
     return pd.DataFrame(nodes, columns=columns)
 
@@ -151,21 +155,24 @@ def tree_samples(
     subsample: int = K.SUBSAMPLE,
     seed: int = K.SEED,
 ) -> DataFrame:
-    """(tree, rows of df): min(subsample, rows) different rows per tree, chosen by hash.
+    """(tree, rows of df): min(subsample, rows) different rows per tree, a stored table.
 
-    Every tree draws from the whole table by a hash of its own; a row is multiplied only by the trees that its hashes pick, about
-    ``CANDIDATES`` times the subsample for each tree, and only these are ranked, per tree.
+    A tree takes the first rows of its own permutation of all positions in ``key`` order. The (tree, position) table has
+    ``n_trees * subsample`` rows whatever the data, so it is broadcast; rows are ordered once and not ranked per tree.
     """
-    limit = int(_SLOTS * min(1.0, CANDIDATES * subsample / max(rows, 1)))
-
-    def draw(tree: Column) -> Column:
-        return F.pmod(F.xxhash64(F.col(key), tree, F.lit(seed + 1)), F.lit(_SLOTS))
-
-    picked = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: draw(t) < limit)
-    spread = df.withColumn("tree", F.explode(picked)).withColumn("_draw", draw(F.col("tree")))
-    by_draw = Window.partitionBy("tree").orderBy("_draw", key)
-    ranked = spread.withColumn("_rank", F.row_number().over(by_draw))
-    return ranked.where(F.col("_rank") <= subsample).drop("_draw", "_rank")
+    placed = ordered_chunks(df, [key])
+    sizes = {r["chunk"]: r["n"] for r in placed.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per range
+    chunks = sorted(sizes)
+    ends = np.cumsum([sizes[c] for c in chunks])
+    wanted = []
+    for tree in range(n_trees if len(chunks) else 0):
+        at = places(np.arange(min(subsample, rows), dtype=np.int64), rows, seed, tree)
+        spot = np.searchsorted(ends, at, "right")
+        wanted += [(tree, chunks[s], int(p - (ends[s] - sizes[chunks[s]]))) for s, p in zip(spot, at, strict=True)]
+    picks = df.sparkSession.createDataFrame(wanted, "tree int, chunk int, pos long")
+    out = stored(placed.join(F.broadcast(picks), ["chunk", "pos"]).drop("chunk", "pos"))
+    discard(placed)
+    return out
 
 
 def fit_forest(
@@ -179,15 +186,14 @@ def fit_forest(
 ) -> DataFrame:
     """Node table of a new forest over scaled features (``NODE_SCHEMA``). ``key`` must identify a row."""
     rows = scaler.select("rows").first()[0]
-    scaled = scale_features(df.select(key, *features), scaler, features)
+    sampled = tree_samples(df.select(key, *features), key, rows, n_trees, subsample, seed)
     names = [f"{f}_scaled" for f in features]
-    sampled = tree_samples(scaled.select(key, *names), key, rows, n_trees, subsample, seed)
 
     def grow(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         ordered = frame.sort_values(key)[names].to_numpy(dtype=float)
         return _grow_tree(int(group[0]), ordered, seed)
 
-    return sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+    return scale_features(sampled, scaler, features).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 def load_model(nodes: DataFrame, scaler: DataFrame) -> ForestModel:
@@ -341,25 +347,21 @@ def box_score(boxes: Sequence[tuple], subsample: int = K.SUBSAMPLE) -> Column:
 # --- permutation importance -----------------------------------------------------------------------------------------
 
 
-def permuted_features(df: DataFrame, features: Sequence[str], key: str, rows: int, seed: int = K.SEED) -> DataFrame:
+def permuted_features(df: DataFrame, features: Sequence[str], key: str, seed: int = K.SEED) -> DataFrame:
     """Add ``<feature>_permuted``, the value of another random row.
 
-    Rows are thrown into equally likely random buckets by hash and rotated by one place in random order inside the
-    bucket: a permutation of the whole column that needs one balanced shuffle and no row numbers.
+    Rows are numbered in ``key`` order; row p takes the values of row sigma(p), sigma being one permutation of the whole table, by one
+    join on the position, whose keys are all different.
     """
-    buckets = max(1, rows // PERMUTE_ROWS)
-    draw = F.xxhash64(F.col(key), F.lit(seed))
-    placed = df.withColumn("_draw", draw).withColumn("_bucket", F.pmod(F.col("_draw"), F.lit(buckets)))
-    w = Window.partitionBy("_bucket").orderBy("_draw", key)
-    ahead = {
-        f"{f}_permuted": F.coalesce(F.lead(f).over(w), F.first(f).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        for f in features
-    }
-    return placed.withColumns(ahead).drop("_draw", "_bucket")
+    numbered = stored(number_rows(df, [key]))
+    rows = numbered.agg(F.max("rn")).first()[0]
+    sent = numbered.withColumn("_from", place(F.col("rn"), 1 if rows is None else rows + 1, seed, PERMUTATION))
+    other = numbered.select(F.col("rn").alias("_from"), *[F.col(f).alias(f"{f}_permuted") for f in features])
+    return sent.join(other, "_from").drop("_from", "rn")
 
 
 def permutation_importance(
-    df: DataFrame, model: ForestModel, key: str, rows: int | None = None, seed: int = K.SEED
+    df: DataFrame, model: ForestModel, key: str, seed: int = K.SEED
 ) -> DataFrame:
     """(feature, importance): mean absolute score change when one feature is permuted, 4 decimals.
 
@@ -367,7 +369,7 @@ def permutation_importance(
     """
     features = model.features
     ready = drop_nulls(df, features).select(key, *features)
-    mixed = permuted_features(ready, features, key, rows if rows is not None else ready.count(), seed)
+    mixed = permuted_features(ready, features, key, seed)
     shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))

@@ -617,12 +617,12 @@ def _trained(spark, folder):
 
 def fit_forest(spark, folder):
     rows = fixtures.readings(spark, folder)
-    return forest.fit_forest(rows, stored(forest.fit_scaler(rows)), "event_id")
+    return _rounded(forest.fit_forest(rows, stored(forest.fit_scaler(rows)), "event_id"))
 
 
 def forest_score(spark, folder):
     rows = fixtures.readings(spark, folder)
-    return medallion.to_gold(rows, _trained(spark, folder)).select("event_id", "anomaly_score", "prediction", "is_anomaly")
+    return _rounded(medallion.to_gold(rows, _trained(spark, folder)).select("event_id", "anomaly_score", "prediction", "is_anomaly"))
 
 
 def permutation_importance(spark, folder):

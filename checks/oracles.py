@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from checks import forest_sql
+
 _C256 = "(2e0*(ln(255e0)+0.5772156649015329e0)-2e0*255e0/256e0)"
 _S = ["temperature", "humidity", "pressure", "gas_resistance"]
 _NOW = "TIMESTAMP '2024-01-30 12:34:00'"
@@ -609,5 +611,9 @@ _BODIES = {
 }
 
 
+_CTES |= forest_sql.CTES
+_BODIES |= forest_sql.BODIES
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _sql(body) for name, body in _BODIES.items()}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airmill import constants as K
-from airmill.operators import forest
+from airmill.operators import forest, shuffles
 from airmill.plans import medallion
 from airmill.sources import fixtures
 
@@ -55,6 +55,37 @@ def test_samples_have_the_full_size(spark):
     assert [r["count"] for r in few] == [40] * 3
 
 
+def test_samples_are_known_before_the_scan(spark):
+    """The rows of a tree are the first places of its permutation, in key order, however the table is laid out."""
+    df = spark.range(1000, 1700).repartition(5)
+    drawn = forest.tree_samples(df, "id", 700, n_trees=2, subsample=30, seed=9).collect()
+    for tree in range(2):
+        assert {r["id"] - 1000 for r in drawn if r["tree"] == tree} == set(shuffles.places(np.arange(30), 700, 9, tree))
+    assert forest.tree_samples(df.limit(0), "id", 0).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 4096, 70_001])
+def test_places_are_a_permutation(spark, n):
+    x = np.arange(n)
+    sent = shuffles.places(x, n, 3, 7)
+    assert sorted(sent) == list(range(n))
+    assert n < 97 or (np.abs(np.corrcoef(x, sent)[0, 1]) < 0.25 and (sent != x).mean() > 0.9 and not (sent == shuffles.places(x, n, 3, 8)).all())
+    got = spark.range(0, n, 1, 3).select("id", shuffles.place(F.col("id"), n, 3, 7).alias("to")).collect()
+    assert all(sent[r["id"]] == r["to"] for r in got)
+
+
+def test_places_of_large_tables():
+    n = 3_000_000_000_000
+    x = np.random.default_rng(1).integers(0, n, 2000)
+    sent = shuffles.places(x, n, 5)
+    assert len(set(sent)) == len(set(x)) and sent.min() >= 0 and sent.max() < n
+    assert 0.4 < (sent < n // 2).mean() < 0.6
+
+
+def test_empty_table_has_no_permutation(data):
+    assert forest.permuted_features(data.limit(0), ["humidity"], "id").count() == 0
+
+
 def test_trees_draw_from_the_whole_table(spark):
     drawn = forest.tree_samples(spark.range(50_000), "id", 50_000, n_trees=3).groupBy("id").count()
     assert drawn.count() > 3 * 256 - 20  # about four rows are expected twice; a shared pool of 1,536 rows has over 100
@@ -110,9 +141,10 @@ def test_permutation_importance(data, model):
     assert got["pressure"] == 0 and min(got["temperature"], got["gas_resistance"], got["humidity"]) > 0
 
 
-@pytest.mark.parametrize("rows", [4000, 40_000])
-def test_permuted_column_keeps_its_values(data, rows):
-    frame = forest.permuted_features(data, ["humidity"], "id", rows).toPandas()
+@pytest.mark.parametrize("seed", [4000, 40_000])
+def test_permuted_column_keeps_its_values(data, seed):
+    frame = forest.permuted_features(data, ["humidity"], "id", seed).toPandas()
+    assert len(frame) == 4000
     assert sorted(frame["humidity"]) == sorted(frame["humidity_permuted"])
     assert (frame["humidity"] != frame["humidity_permuted"]).mean() > 0.99
 

@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from airmill.plans import catalog
+from checks import oracles
 from checks.compare import connect, differences
 
-SQL = entry.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,13 +16,13 @@ def duck(folder):
 
 
 def test_every_statement_belongs_to_a_query():
-    assert set(SQL) <= set(entry.queries())
-    assert set(entry.queries()) - set(SQL) == {"fit_forest", "forest_score", "permutation_importance"}
+    assert set(SQL) == set(catalog.registered())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, folder, duck, name):
-    assert differences(entry.queries()[name](spark, folder).toPandas(), duck.sql(SQL[name]).df()) == ""
+    assert differences(catalog.registered()[name](spark, folder).toPandas(), duck.sql(SQL[name]).df()) == ""
 
 
 def test_entry(spark):
