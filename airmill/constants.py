@@ -104,6 +104,8 @@ KL_EPSILON = 1e-8
 PSI_LIMIT = 0.20
 KL_LIMIT = 0.15
 KS_PVALUE_LIMIT = 0.05
+# Up to so many rows on either side the exact law of the two-sample statistic is used, the limit law above.
+KS_EXACT_ROWS = 10_000
 KS_VIOLATION_LIMIT = 2
 MIN_PRODUCTION_ROWS = 500
 MIN_FEATURE_ROWS = 10

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airmill import constants as K
-from airmill.functions.stats import kolmogorov_sf, ratio
+from airmill.functions.stats import kolmogorov_sf, ks_exact_sf, ratio
 from airmill.operators.ordered import running_totals
 from airmill.operators.quality import drop_nulls, shared_columns
 from airmill.operators.quantiles import melt, ranked_quantiles
@@ -107,13 +107,22 @@ def divergences(hist: DataFrame) -> DataFrame:
     )
 
 
-def ks_test(run: DataFrame) -> DataFrame:
-    """(feature, n_e, n_a, ks_statistic, ks_pvalue) from cumulative counts; the p-value is the asymptotic one."""
+def ks_test(run: DataFrame, exact_rows: int = 0) -> DataFrame:
+    """(feature, n_e, n_a, ks_statistic, ks_pvalue) from cumulative counts.
+
+    The p-value is exact (``stats.ks_exact``) where both sides have at most ``exact_rows`` rows, and that of the limit law otherwise. Only
+    the table of one row per feature reaches Python, and none does with the default.
+    """
     sizes = run.groupBy("feature").agg(F.sum("e").alias("n_e"), F.sum("a").alias("n_a"))
     gap = F.abs(F.col("e_run") / F.col("n_e") - F.col("a_run") / F.col("n_a"))
-    d = run.join(F.broadcast(sizes), "feature").groupBy("feature", "n_e", "n_a").agg(F.max(gap).alias("ks_statistic"))
+    whole = F.max(F.when(F.greatest("n_e", "n_a") <= exact_rows, F.abs(F.col("e_run") * F.col("n_a") - F.col("a_run") * F.col("n_e"))))
+    by = run.join(F.broadcast(sizes), "feature").groupBy("feature", "n_e", "n_a")
+    d = by.agg(F.max(gap).alias("ks_statistic"), *([whole.alias("_gap")] if exact_rows else []))
     effective = F.col("n_e").cast("double") * F.col("n_a") / (F.col("n_e") + F.col("n_a"))
-    return d.withColumn("ks_pvalue", kolmogorov_sf(F.sqrt(effective) * F.col("ks_statistic")))
+    limit = kolmogorov_sf(F.sqrt(effective) * F.col("ks_statistic"))
+    if not exact_rows:
+        return d.withColumn("ks_pvalue", limit)
+    return d.withColumn("ks_pvalue", F.coalesce(ks_exact_sf(F.col("n_e"), F.col("n_a"), F.col("_gap")), limit)).drop("_gap")
 
 
 def _side_counts(run: DataFrame, side: str) -> DataFrame:
@@ -153,6 +162,7 @@ def drift_features(
     production: DataFrame,
     features: Sequence[str] = K.SENSOR_COLUMNS,
     chunks: int | None = None,
+    exact_rows: int = 0,
 ) -> DataFrame:
     """One row per feature with all measures, flags and both summaries; a side with too few rows drops the feature.
 
@@ -161,7 +171,7 @@ def drift_features(
     """
     long = both_sides(reference, production, features)
     run = stored(running_counts(value_counts(long), chunks))
-    ks = ks_test(run).where((F.col("n_e") >= K.MIN_FEATURE_ROWS) & (F.col("n_a") >= K.MIN_FEATURE_ROWS))
+    ks = ks_test(run, exact_rows).where((F.col("n_e") >= K.MIN_FEATURE_ROWS) & (F.col("n_a") >= K.MIN_FEATURE_ROWS))
     diverged = divergences(histogram(run.select("feature", "x", "e", "a")))
     stats = describe(run, long)
     parts = ["count", "mean", "std", "min", *SUMMARY_NAMES, "max"]

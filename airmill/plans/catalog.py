@@ -474,6 +474,16 @@ def ks_pvalue(spark, folder):
     return _rounded(drift.ks_test(_drift_run(spark, folder)[0]).select("feature", "ks_pvalue"))
 
 
+def ks_pvalue_exact(spark, folder):
+    """Reference against production per device and sensor, with the exact law up to ``KS_EXACT_ROWS`` rows a side."""
+    start = F.lit(fixtures.DRIFT_START).cast("timestamp_ntz")
+    side = F.when(F.col("ts") < start, "reference").otherwise("production")
+    long = quantiles.melt(fixtures.readings(spark, folder).withColumn("side", side), K.SENSOR_COLUMNS, ["device_id", "side"])
+    named = long.select(F.concat_ws(".", "device_id", "feature").alias("feature"), "side", "x")
+    tested = drift.ks_test(drift.running_counts(drift.value_counts(named)), K.KS_EXACT_ROWS)
+    return _rounded(tested.select("feature", "n_e", "n_a", "ks_statistic", "ks_pvalue"))
+
+
 def _report(spark, folder):
     return drift.drift_features(*sides(spark, folder))
 
@@ -773,7 +783,7 @@ NAMES = [
     "gas_baseline", "silver_iaq", "gas_summary", "sensor_profile", "anomaly_rate", "rule_breakdown",
     "rolling_mean", "rolling_std", "rolling_global", "rolling_device_blocks",
     "describe_distribution", "feature_summary", "feature_histogram", "psi", "kl_divergence", "ks_statistic",
-    "ks_statistic_ranges", "describe_offset_channel", "ks_pvalue", "mean_std_shift", "drift_features", "drift_summary", "retrain_decision",
+    "ks_statistic_ranges", "describe_offset_channel", "ks_pvalue", "ks_pvalue_exact", "mean_std_shift", "drift_features", "drift_summary", "retrain_decision",
     "drift_report_json",
     "fit_scaler", "stratified_split", "split_balance", "training_set", "label_thresholds", "confusion_matrix",
     "confusion_share", "classification_metrics", "roc_auc", "roc_auc_ranges", "score_stats", "eval_rates",

@@ -93,7 +93,7 @@ def check_drift(
     """30 days of silver against 7 days of gold; writes the report, returns (feature report, retrain decision)."""
     reference = lake.require_rows(lake.read_hours(spark, silver, lake.days_back(now, K.REFERENCE_DAYS), tolerant=True))
     production = lake.require_rows(lake.read_hours(spark, gold, lake.days_back(now, K.PRODUCTION_DAYS), tolerant=True))
-    report = stored(drift.drift_features(reference, drift.require_production_rows(production)))
+    report = stored(drift.drift_features(reference, drift.require_production_rows(production), exact_rows=K.KS_EXACT_ROWS))
     summary = drift.drift_summary(report)
     document = drift.drift_document(report, summary, F.lit(now.isoformat(sep=" ")))
     lake.write_report(document, reports, now)

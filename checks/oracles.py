@@ -98,6 +98,16 @@ _CTES = {
       SELECT v.feature, s.n_e, s.n_a, sum(v.e) OVER w AS e_run, sum(v.a) OVER w AS a_run
       FROM value_counts v JOIN sizes s USING (feature) WINDOW w AS (PARTITION BY v.feature ORDER BY v.x))
       GROUP BY feature, n_e, n_a""",
+    "device_long": " UNION ALL ".join(f"SELECT device_id || '.{c}' AS feature, {c} AS x, (side='reference')::INT AS e, (side='production')::INT AS a FROM sides" for c in _S),
+    "device_ks": """SELECT feature, n_e::BIGINT AS n_e, n_a::BIGINT AS n_a, least(n_e, n_a)::BIGINT AS n, greatest(n_e, n_a)::BIGINT AS m, max(abs(e_run/n_e - a_run/n_a)) AS d, max(abs(e_run*n_a - a_run*n_e))::BIGINT AS gap
+      FROM (SELECT feature, sum(e) OVER w AS e_run, sum(a) OVER w AS a_run, sum(e) OVER f AS n_e, sum(a) OVER f AS n_a FROM device_long
+        WINDOW w AS (PARTITION BY feature ORDER BY x), f AS (PARTITION BY feature)) GROUP BY feature, n_e, n_a""",
+    "device_paths": """SELECT * FROM (WITH RECURSIVE step AS (
+        SELECT feature, n, m, gap, 0::BIGINT AS k, list_transform(range(0, n + 1), lambda i: CASE WHEN i = 0 THEN 1e0 ELSE 0e0 END) AS inside
+        FROM device_ks WHERE greatest(n_e, n_a) <= 10000
+        UNION ALL SELECT feature, n, m, gap, k + 1, list_transform(range(0, n + 1), lambda i: CASE WHEN i > k + 1 OR k + 1 - i > m OR abs(i*(n + m) - (k + 1)*n) >= gap THEN 0e0
+          ELSE (CASE WHEN i = 0 THEN 0e0 ELSE inside[i]*i END + inside[i + 1]*(k + 1 - i))/(k + 1) END)
+        FROM step WHERE k < n + m) SELECT * FROM step WHERE k = n + m)""",
     # the alternating series needs about 4 / lambda terms
     "ksp": """SELECT feature, d, least(1e0, greatest(0e0, list_sum(list_transform(range(1,5001), lambda k:
       2e0*(CASE WHEN k%2=1 THEN 1e0 ELSE -1e0 END)*exp(-2e0*k*k*d*d*(CAST(n_e AS DOUBLE)*n_a/(n_e+n_a))))))) AS p FROM ks""",
@@ -478,6 +488,11 @@ _BODIES = {
       round(min(x),6) AS min, round(max(x),6) AS max FROM (SELECT 1e5 + (event_id*7919 % 41 - 20)/2000e0 AS x,
       CASE WHEN ts < TIMESTAMP '2024-01-24 00:00:00' THEN 'reference' ELSE 'production' END AS side FROM readings) GROUP BY side""",
     "ks_statistic_ranges": "SELECT feature, round(d,6) AS ks_statistic FROM ks",
+    # share of lattice paths inside the band, diagonal by diagonal
+    "ks_pvalue_exact": """SELECT c.feature, c.n_e, c.n_a, round(c.d, 6) AS ks_statistic, round(CASE WHEN greatest(c.n_e, c.n_a) > 10000
+        THEN least(1e0, greatest(0e0, list_sum(list_transform(range(1,1001), lambda k: 2e0*(CASE WHEN k%2=1 THEN 1e0 ELSE -1e0 END)*exp(-2e0*k*k*d*d*(c.n_e::DOUBLE*c.n_a/(c.n_e+c.n_a)))))))
+        WHEN c.gap = 0 THEN 1e0 ELSE least(1e0, greatest(0e0, 1e0 - p.inside[c.n + 1])) END, 6) AS ks_pvalue
+      FROM device_ks c LEFT JOIN device_paths p ON p.feature = c.feature AND p.k = c.n + c.m""",
     "ks_pvalue": "SELECT feature, round(p,6) AS ks_pvalue FROM ksp",
     "mean_std_shift": "SELECT feature, mean_shift, std_shift FROM report",
     "drift_features": "SELECT * EXCLUDE (n_ref, n_prod, place) FROM report",

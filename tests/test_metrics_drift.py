@@ -1,3 +1,4 @@
+import itertools
 import math
 
 import numpy as np
@@ -5,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from airmill.functions.stats import ks_exact
 from airmill.operators import drift, metrics
 
 
@@ -164,3 +166,39 @@ def test_report_document(spark, tmp_path):
     assert folders[0].endswith("year=2024/month=01/day=31/report_20240131_010000")
     row = lake.read_latest_report(spark, str(tmp_path), schema).first()
     assert row.execution_date == "2024-01-31" and set(row.features) == set(FEATURES) and row.features["humidity"].psi == 0
+
+
+def order_gaps(n, m):
+    """The largest gap of every order of two samples; all are equally likely."""
+    for chosen in itertools.combinations(range(n + m), n):
+        i = worst = 0
+        for spot in range(n + m):
+            i += spot in chosen
+            worst = max(worst, abs(i * m - (spot + 1 - i) * n))
+        yield worst
+
+
+@pytest.mark.parametrize("n,m", [(1, 1), (2, 3), (4, 4), (5, 3), (6, 2)])
+def test_exact_ks_against_all_orders(n, m):
+    gaps = list(order_gaps(n, m))
+    for gap in range(n * m + 2):
+        want = sum(g >= gap for g in gaps) / len(gaps)
+        assert ks_exact(n, m, gap) == pytest.approx(want, abs=1e-12)
+        assert ks_exact(m, n, gap) == pytest.approx(want, abs=1e-12)
+
+
+def test_exact_ks_meets_the_limit_law():
+    n, m = 3000, 2000
+    for lam in (0.6, 1.0, 1.6):
+        gap = round(lam * math.sqrt((n + m) / (n * m)) * n * m)
+        assert ks_exact(n, m, gap) == pytest.approx(drift_p(lam), abs=0.02)
+    assert ks_exact(10_000, 10_000, 10_000 * 10_000) == pytest.approx(0, abs=1e-9)
+
+
+def test_ks_test_takes_the_exact_law_for_small_samples(spark):
+    rows = [("reference", "x", float(v)) for v in (1, 2, 3, 9)] + [("production", "x", float(v)) for v in (4, 5, 6, 7, 8)]
+    run = drift.running_counts(drift.value_counts(spark.createDataFrame(rows, "side string, feature string, x double")))
+    small, limit = drift.ks_test(run, 100).first(), drift.ks_test(run, 4).first()
+    assert small.ks_statistic == limit.ks_statistic == pytest.approx(0.75)
+    gaps = list(order_gaps(4, 5))
+    assert small.ks_pvalue == pytest.approx(sum(g >= 15 for g in gaps) / len(gaps)) and limit.ks_pvalue == drift.ks_test(run).first().ks_pvalue != small.ks_pvalue

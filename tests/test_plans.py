@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-FOREST = {"fit_forest", "forest_score", "permutation_importance"}
+# the forest scores in numpy; the exact two-sample law is computed on one row per feature
+FOREST = {"fit_forest", "forest_score", "permutation_importance", "ks_pvalue_exact"}
 
 
 def plan(df):
