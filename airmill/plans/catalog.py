@@ -5,6 +5,7 @@ Doubles are rounded for output so that engines with another summation order prin
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 from airmill import constants as K
 from airmill.functions import air_quality, parsing, rules
 from airmill.operators import compare, drift, features, forest, labels, metrics, ordered, quality, quantiles, registry
-from airmill.plans import medallion
-from airmill.session import stored
-from airmill.sources import fixtures, lake
+from airmill.plans import medallion, workflows
+from airmill.session import ensure_checkpoint_dir, stored
+from airmill.sources import commits, fixtures, lake, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,6 +157,41 @@ def bronze_partition_counts(spark, folder):
     return _valid(spark, folder).groupBy(key.alias("partition_key")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _hour_counts(rows: DataFrame) -> DataFrame:
+    """(partition_key, rows, sum_temperature) of a layer read back."""
+    key = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c)) for c in K.PARTITION_COLUMNS]).alias("partition_key")
+    return lake.padded(rows).groupBy(key).agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("temperature"), 3).alias("sum_temperature"))
+
+
+def bronze_layer(spark, folder):
+    """Messages landed in three parts and ingested: a run dies between writing and committing, another finds nothing new."""
+    base = f"{ensure_checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}"
+    rows, processed = fixtures.readings(spark, folder), datetime(2024, 2, 1, 3)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")
+    whole = F.to_json(F.struct(stamp, "device_id", F.struct(*K.SENSOR_COLUMNS).alias("sensors")))
+    body = F.when(F.col("event_id") % 10 == 8, F.lit("no json")).otherwise(whole).alias("value")
+    for part in range(3):
+        rows.where(F.col("event_id") % 3 == part).select(body).write.mode("append").text(f"{base}/in")
+        if part == 1:
+            unread = [path for path, _ in messages.unread_files(spark, f"{base}/in", f"{base}/bronze")]
+            lake.stage_layer(medallion.to_bronze(messages.read_files(spark, unread), F.lit(processed)), f"{base}/bronze")
+        workflows.ingest(spark, f"{base}/in", f"{base}/bronze", processed)
+    workflows.ingest(spark, f"{base}/in", f"{base}/bronze", processed)
+    return _hour_counts(lake.read_layer(spark, f"{base}/bronze"))
+
+
+def layer_lookback(spark, folder):
+    """A day of a layer whose every hour was written wrong, replaced, and half replaced again by a run that died."""
+    path = f"{ensure_checkpoint_dir(spark)}/layer-{uuid.uuid4().hex}"
+    window = lake.lookback(NOW, 24)
+    rows = stored(lake.with_partitions(fixtures.readings(spark, folder).where(lake.in_hours(lake.lookback(NOW, 48), _hour_of())), F.col("ts")))
+    wrong = rows.withColumn("temperature", F.lit(-1.0))
+    lake.commit_layer(wrong.unionByName(wrong), path)
+    lake.commit_layer(rows, path, replaces=commits.hour_folders(lake.lookback(NOW, 48)))
+    lake.stage_layer(wrong, path)
+    return _hour_counts(lake.read_hours(spark, path, window))
+
+
 def partition_key_modes(spark, folder):
     rows = fixtures.readings(spark, folder)
     text = F.when(F.col("event_id") % 5 == 0, F.lit("soon")).when(F.col("event_id") % 7 != 0, F.col("ts").cast("string"))
@@ -773,7 +809,7 @@ def drift_report_json(spark, folder):
 
 NAMES = [
     "silver_anomaly_rate", "silver_features",
-    "scan_lookback_hours", "scan_backfill", "scan_day_windows", "scan_latest_hour", "bronze_partition_counts",
+    "scan_lookback_hours", "scan_backfill", "scan_day_windows", "scan_latest_hour", "bronze_partition_counts", "bronze_layer", "layer_lookback",
     "partition_key_modes", "union_by_name",
     "parse_envelopes", "parse_flat_nested", "missing_fields", "bronze_parse", "ingest_quality", "alias_fields",
     "silver_nulls", "null_profile", "silver_valid", "range_violations", "silver_dedup", "quality_metrics",

@@ -13,26 +13,41 @@ from pyspark.sql import functions as F
 from airmill import constants as K
 from airmill.operators import compare, drift, forest, labels, metrics, quality, registry
 from airmill.plans import medallion
-from airmill.session import stored
-from airmill.sources import lake, messages
+from airmill.session import discard, stored
+from airmill.sources import commits, lake, messages
 
 
-def ingest(spark: SparkSession, landing: str, bronze: str, processed_at: datetime, by_message_time: bool = True) -> DataFrame:
-    """Landing folder to bronze in one batch; returns (reason, messages)."""
-    parsed = stored(medallion.parse_messages(messages.read_messages(spark, landing)))
-    rows = medallion.bronze_rows(parsed, F.lit(processed_at), by_message_time)
-    lake.write_layer(rows, bronze, mode="append")
-    return medallion.ingest_quality(parsed)
+def ingest(
+    spark: SparkSession, landing: str, bronze: str, processed_at: datetime, by_message_time: bool = True, most: int = messages.DRAIN_FILES
+) -> DataFrame:
+    """Landed files to bronze, each once; returns (reason, messages) of what this call read.
+
+    Files are taken in rounds of ``most``. A round's rows and the names of its files become visible by the same commit, so a run that dies
+    before it leaves no rows behind and its files unread.
+    """
+    told = spark.createDataFrame([], "reason string, messages bigint")
+    while files := messages.unread_files(spark, landing, bronze, most):
+        parsed = stored(medallion.parse_messages(messages.read_files(spark, [path for path, _ in files])))
+        rows = medallion.bronze_rows(parsed, F.lit(processed_at), by_message_time)
+        counts = medallion.ingest_quality(parsed).collect()  # a row per reason
+        lake.commit_layer(rows, bronze, files=[name for _, name in files])
+        told = told.unionByName(spark.createDataFrame(counts, told.schema))
+        discard(parsed)
+    return told.groupBy("reason").agg(F.sum("messages").alias("messages"))
 
 
 def build_silver(
     spark: SparkSession, bronze: str, silver: str, now: datetime, hours: int = K.DEFAULT_LOOKBACK_HOURS, backfill_from: str = ""
 ) -> DataFrame | None:
-    """Look-back window of bronze to silver; returns the quality row, or None when there is nothing to do."""
-    rows = lake.require_rows(lake.read_hours(spark, bronze, lake.lookback(now, hours, backfill_from)), "skip")
+    """Look-back window of bronze to silver; returns the quality row, or None when there is nothing to do.
+
+    All hours of the window are replaced by one commit, also those that have no rows any more.
+    """
+    window = lake.lookback(now, hours, backfill_from)
+    rows = lake.require_rows(lake.read_hours(spark, bronze, window), "skip")
     if rows is None:
         return None
-    lake.write_layer(medallion.to_silver(rows), silver)
+    lake.commit_layer(medallion.to_silver(rows), silver, replaces=commits.hour_folders(window))
     return quality.quality_metrics(rows, medallion.SILVER_KEYS, ["timestamp"])
 
 
@@ -83,7 +98,7 @@ def run_inference(spark: SparkSession, silver: str, gold: str, model: forest.For
     if recent.isEmpty():
         return None
     scored = stored(medallion.to_gold(recent, model))
-    lake.write_layer(scored, gold)
+    lake.commit_layer(scored, gold, replaces=None)
     return medallion.anomaly_extract(scored, "event_ts")
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airmill import constants as K
 from airmill.session import file_system
+from airmill.sources import commits
 
 
 class EmptySource(ValueError):
@@ -110,31 +113,52 @@ def in_days(now: datetime, days: tuple[int, int], at: Column | None = None) -> C
 # --- readers --------------------------------------------------------------------------------------------------------
 
 
-def read_layer(spark: SparkSession, path: str, tolerant: bool = False, schema: str | None = None) -> DataFrame:
-    """A whole layer with its partition columns as numbers; ``tolerant`` skips unreadable and vanished files."""
-    reader = spark.read.option("mergeSchema", str(schema is None).lower())
+def _plain(spark: SparkSession, tolerant: bool, merge: bool) -> DataFrameReader:
+    reader = spark.read.option("mergeSchema", str(merge).lower())
     if tolerant:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    if schema:
-        reader = reader.schema(schema)
-    return reader.parquet(path)
+    return reader
+
+
+def read_layer(spark: SparkSession, path: str, tolerant: bool = False, schema: str | None = None) -> DataFrame:
+    """A whole layer with its partition columns as numbers; ``tolerant`` skips unreadable and vanished files."""
+    state = commits.live(spark, path)
+    plain = None
+    if state.schema is None or _has_folders(spark, path):
+        reader = _plain(spark, tolerant, schema is None)
+        plain = (reader.schema(schema) if schema else reader).parquet(path)
+        for hour in state.replaced:
+            y, m, d, h = (int(part.split("=")[1]) for part in hour.split("/"))
+            plain = plain.where(~((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d) & (F.col("hour") == h)))
+    if state.schema is None:
+        return plain
+    committed = commits.read(spark, path, state, tolerant)
+    return committed if plain is None else union_layers([plain, committed])
+
+
+def _has_folders(spark: SparkSession, path: str) -> bool:
+    files, of = file_system(spark, path)
+    return bool(files.globStatus(of(f"{path}/year=*")))
 
 
 def read_hours(spark: SparkSession, path: str, bounds: tuple[datetime, datetime], tolerant: bool = False) -> DataFrame:
-    """A window of a layer. Only its hour folders are listed and only their files' schemas are merged; the rest of the
-    layer is never touched. An hour without a folder is an empty hour.
+    """A window of a layer: the live runs of its hours by commit, and its plain hour folders that no commit replaces.
+
+    Nothing outside the window is listed or read. An hour without a folder is an empty hour; a window without any is an empty frame, for
+    which a layer without commits has to show the columns of one file.
     """
-    first, last = bounds
-    hours = [first + timedelta(hours=k) for k in range(int((last - first).total_seconds() // 3600) + 1)]
-    names = [f"{path}/year={h:%Y}/month={h:%m}/day={h:%d}/hour={h:%H}" for h in hours]
+    names = commits.hour_folders(bounds)
+    state = commits.live(spark, path, names)
     files, of = file_system(spark, path)
-    there = [n for n in names if files.exists(of(n))]
-    if not there:
-        return read_layer(spark, path, tolerant).where(in_hours(bounds))
-    reader = spark.read.option("basePath", path).option("mergeSchema", "true")
-    if tolerant:
-        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
-    return reader.parquet(*there).where(in_hours(bounds))
+    there = [f"{path}/{n}" for n in names if n not in state.replaced and files.exists(of(f"{path}/{n}"))]
+    frames = [_plain(spark, tolerant, True).option("basePath", path).parquet(*there)] if there else []
+    if state.parts:
+        frames.append(commits.read(spark, path, state, tolerant))
+    if frames:
+        return union_layers(frames).where(in_hours(bounds))
+    if state.schema is not None:
+        return commits.read(spark, path, state).withColumns({c: F.lit(None).cast("int") for c in K.PARTITION_COLUMNS})
+    return _plain(spark, tolerant, False).parquet(path).limit(0)
 
 
 def union_layers(frames: Sequence[DataFrame]) -> DataFrame:
@@ -186,6 +210,27 @@ def write_layer(
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
+def stage_layer(df: DataFrame, path: str, extra: Sequence[str] = (), rows_per_file: int = 5_000_000) -> tuple[str, list[str], StructType]:
+    """Write rows as a run that nobody sees yet: its id, the hours it holds, and its columns."""
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    target = commits.run_folder(path, run)
+    write_layer(df, target, "overwrite", extra, rows_per_file)
+    files, of = file_system(spark, path)
+    found = files.globStatus(of(f"{target}/year=*/month=*/day=*/hour=*")) or []
+    hours = ["/".join(str(s.getPath().toUri().getPath()).split("/")[-4:]) for s in found]
+    columns = [*K.PARTITION_COLUMNS, *extra]
+    return run, hours, StructType([f for f in df.schema.fields if f.name not in columns])
+
+
+def commit_layer(df: DataFrame, path: str, replaces: Sequence[str] | None = (), files: Sequence[str] = (), rows_per_file: int = 5_000_000) -> int:
+    """Write rows and make them visible at once; see ``commits``.
+
+    ``replaces`` are hour folders whose earlier rows go, None for the hours of ``df``; ``files`` are landed files that this write consumes.
+    """
+    run, hours, schema = stage_layer(df, path, rows_per_file=rows_per_file)
+    return commits.commit(df.sparkSession, path, run, hours, schema, hours if replaces is None else replaces, files)
+
+
 def write_report(document: DataFrame, path: str, run_ts: datetime) -> list[str]:
     """One JSON report under its date and a copy under ``latest``; returns both folders."""
     stamp = run_ts.strftime("%Y%m%d_%H%M%S")

@@ -380,6 +380,10 @@ _BODIES = {
       FROM readings WHERE {_hours('2024-01-30 11:00:00', '2024-01-30 12:00:00')})""",
     "bronze_partition_counts": """SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows
       FROM parsed WHERE reason = 'valid' GROUP BY 1""",
+    "bronze_layer": """SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature
+      FROM readings WHERE event_id % 10 <> 8 GROUP BY 1""",
+    "layer_lookback": f"""SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature
+      FROM readings WHERE date_trunc('hour', ts) BETWEEN date_trunc('hour', {_NOW}) - INTERVAL 23 HOUR AND {_NOW} GROUP BY 1""",
     "partition_key_modes": """SELECT event_id, strftime(coalesce(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN 'soon'
         WHEN event_id % 7 <> 0 THEN CAST(ts AS VARCHAR) END AS TIMESTAMP), TIMESTAMP '2024-02-01 03:04:05'),
         'year=%Y/month=%m/day=%d/hour=%H') AS by_message_time,
