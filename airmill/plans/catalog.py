@@ -36,7 +36,8 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return medallion.clean(fixtures.bronze(spark, folder), KEYS, NEWEST)
+    """Stored, as the baseline and the rows are both read from it."""
+    return stored(medallion.clean(fixtures.bronze(spark, folder), KEYS, NEWEST))
 
 
 def scored_silver(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +53,8 @@ def labelled(spark: SparkSession, folder: str) -> DataFrame:
 def model_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Evaluation rows scored by both literal forests, long by ``model``.
 
-    Each model's cut-off is a quantile of its own scores at its contamination, held in a scalar subquery.
+    Each model's cut-off is a quantile of its own scores at its contamination, held in a scalar subquery. Metrics read the rows more than
+    once, so they are stored.
     """
     rows = labelled(spark, folder).select("event_id", "ts", "is_anomaly", *K.SENSOR_COLUMNS)
     scored = rows.select(
@@ -73,8 +75,10 @@ def model_rows(spark: SparkSession, folder: str) -> DataFrame:
     own = F.when(F.col("feature") == "champion", F.col("q")[0]).otherwise(F.col("q")[1])
     cut_map = cuts.agg(F.map_from_entries(F.collect_list(F.struct("feature", own)))).scalar()
     flagged = (F.col("score") < F.col("_cuts")[F.col("model")]).cast("int")
-    return long.withColumn("_cuts", cut_map).select(
-        "event_id", "ts", "model", "is_anomaly", flagged.alias("predicted"), (-F.col("score")).alias("outlierness")
+    return stored(
+        long.withColumn("_cuts", cut_map).select(
+            "event_id", "ts", "model", "is_anomaly", flagged.alias("predicted"), (-F.col("score")).alias("outlierness")
+        )
     )
 
 
