@@ -2,8 +2,10 @@
 
 Identical vectors are one class. A coarse quantiser (at most one cell per ``PER_CELL`` vectors) and codebooks for the residual's
 subspaces are fitted on at most about ``SAMPLE`` vectors; all vectors are indexed: home cell, codes, and the length of what
-the codes miss. A vector visits the ``PROBES`` cells whose border is nearest, of those whose border is within the radius (beyond
-it no partner can live). In a cell, asymmetric distances from lookup tables leave out only what cannot be within the radius
+the codes miss. A vector visits the cells whose border is nearest, of those whose border is within the radius (beyond it no partner can
+live). How many is measured on the sample (``Index.sufficient``): enough for every link between ``ASKED`` of its vectors and all of it, and
+for ``ENOUGH`` of made partners that lie at the limit in a random direction. A large ``probes`` visits all cells within the radius, which is
+exact. In a cell, asymmetric distances from lookup tables leave out only what cannot be within the radius
 given what the codes miss, and the rest is compared by exact cosine in double precision.
 
 Lists are cut into parts of at most ``PART`` rows, each a task's job with all of its visitors; a visitor batch meets one part at
@@ -30,6 +32,7 @@ from airmill.session import stored
 
 LEAST, SAMPLE, PER_CELL, CELLS, PART, SPACES, CODES, ROUNDS = 0.9, 20_000, 256, 4096, 2048, 8, 256, 8
 VISITORS = 1024
+ASKED, ENOUGH = 2048, 0.99
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -72,21 +75,50 @@ class Index:
         self.centres = spread(kmeans(sample, cells), self.radius)
         rest = self.padded(sample - self.centres[distances(sample, self.centres).argmin(1)])
         self.books = [kmeans(rest[:, s], CODES, s) for s in range(spaces)]
+        self.probes = self.sufficient(sample, least)
+
+    def sufficient(self, sample: np.ndarray, least: float) -> int:
+        """Cells to visit so that one side of a link meets the other; see the module."""
+        draw = np.random.default_rng(2)
+        x = sample[draw.permutation(len(sample))[:ASKED]]
+        aside = draw.normal(size=x.shape)
+        aside -= (aside * x).sum(1, keepdims=True) * x
+        made = least * x + np.sqrt(1 - least * least) * aside / np.maximum(np.sqrt((aside * aside).sum(1, keepdims=True)), 1e-300)
+        needed = [int(np.quantile(self.ranks(x, made), ENOUGH, method="higher"))] if len(x) else []
+        for i in range(0, len(x), 64):
+            part = x[i : i + 64]
+            row, partner = np.nonzero(part @ sample.T >= least)
+            for k in range(0, len(row), 4096):
+                needed.append(int(self.ranks(part[row[k : k + 4096]], sample[partner[k : k + 4096]]).max()))
+        return max(needed, default=0) + 1
+
+    def ranks(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """For pairs of vectors, the place of one's home among the cells that the other visits, for the better side."""
+        places = []
+        for a, b in ((x, y), (y, x)):
+            border, theirs = self.borders(a)[1], distances(b, self.centres).argmin(1)
+            places.append((border < border[np.arange(len(a)), theirs][:, None]).sum(1))
+        return np.minimum(*places)
+
+    def borders(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Home cells, and the distances to the borders of all cells (-1 to the home)."""
+        far = distances(x, self.centres)
+        home = far.argmin(1)
+        between = np.sqrt(distances(self.centres[home], self.centres))
+        border = (far - far[np.arange(len(x)), home][:, None]) / np.maximum(2 * between, 1e-9)
+        border[np.arange(len(x)), home] = -1
+        return home, border
 
     def padded(self, x: np.ndarray) -> np.ndarray:
         return np.pad(x, ((0, 0), (0, self.width * self.spaces - x.shape[1]))).reshape(len(x), self.spaces, self.width)
 
     def place(self, x: np.ndarray, probes: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """Home cells, codes, lengths of what the codes miss, and the cells to visit (home first)."""
-        far = distances(x, self.centres)
-        home = far.argmin(1)
+        home, border = self.borders(x)
         rest = self.padded(x - self.centres[home])
         codes = np.stack([distances(rest[:, s], book).argmin(1) for s, book in enumerate(self.books)], 1)
         missed = np.sqrt(sum(((rest[:, s] - book[codes[:, s]]) ** 2).sum(1) for s, book in enumerate(self.books)))
-        between = np.sqrt(distances(self.centres[home], self.centres))
-        border = (far - far[np.arange(len(x)), home][:, None]) / np.maximum(2 * between, 1e-9)
-        border[np.arange(len(x)), home] = -1
-        order = np.argsort(border, axis=1)[:, :probes]
+        order = np.argsort(border, axis=1, kind="stable")[:, : probes or self.probes]
         return home, codes.astype(np.uint8), missed, [o[b <= self.radius + 1e-4] for o, b in zip(order, np.take_along_axis(border, order, 1), strict=True)]
 
 
@@ -172,9 +204,10 @@ def _compare(index: Index, width: int, least: float):
 
 
 def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = LEAST, probes: int | None = None, sample: int = SAMPLE) -> DataFrame:
-    """One row per row of ``rows``: ``key``, ``n_links``, ``component_id`` and ``kept``; ``probes`` limits the cells a vector visits."""
+    """One row per row of ``rows``: ``key``, ``n_links``, ``component_id`` and ``kept``; ``probes`` sets the cells a vector visits at most."""
     spark = rows.sparkSession
-    values = F.transform(vector, lambda v: v.cast("double"))
+    kind = "float" if dict(rows.dtypes)[vector] == "array<float>" else "double"  # floats travel as they are, arithmetic is in doubles
+    values = F.transform(vector, lambda v: v.cast(kind))
     fine = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf"))) & F.exists(values, lambda v: v != 0)
     valid = F.coalesce(fine, F.lit(False))
     members = stored(rows.select(F.col(key).alias("key"), F.when(valid, values).alias("vector")).withColumn("id", F.when(F.col("vector").isNotNull(), F.xxhash64("vector"))))
@@ -196,7 +229,7 @@ def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", leas
                 arrays = [*now.columns, pa.array(home, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(missed), pa.array([v.astype(np.int32) for v in visits], pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "vector", "copies", "home", "codes", "missed", "probes"])
 
-    placed = classes.select("id", "vector", "copies").mapInArrow(place, "id long, vector array<double>, copies long, home int, codes binary, missed double, probes array<int>")
+    placed = classes.select("id", "vector", "copies").mapInArrow(place, f"id long, vector array<{kind}>, copies long, home int, codes binary, missed double, probes array<int>")
     placed = stored(placed.withColumn("size", F.size("vector")))
     cuts = placed.groupBy("size", "home").agg(F.ceil(F.count("*") / PART).cast("int").alias("cuts"))
     cuts = stored(cuts).toDF("list_size", "cell", "cuts")
