@@ -29,6 +29,19 @@ def gas_baseline(
     return one.agg(F.coalesce(value, fallback).alias("gas_baseline"))
 
 
+def hourly_baseline(df: DataFrame, hour: Sequence[str], column: str = "gas_resistance", chunks: int | None = None) -> DataFrame:
+    """(hour..., gas_baseline): the 75th percentile of every hour, named by columns that are not null."""
+    picked = quantiles.summarise(quantiles.melt(df, [column], hour), [], [K.GAS_BASELINE_QUANTILE], [*hour, "feature"], chunks)
+    return picked.select(*hour, F.col("q")[0].alias("gas_baseline"))
+
+
+def with_hourly_iaq(df: DataFrame, baselines: DataFrame, hour: Sequence[str]) -> DataFrame:
+    """Score against the baseline of the row's hour. A window has at most ``MAX_LOOKBACK_HOURS`` hours before it and in it, so the
+    baselines are broadcast."""
+    scored = df.join(F.broadcast(baselines), list(hour), "left")
+    return scored.withColumn("iaq_score", iaq_score(F.col("gas_resistance"), F.col("humidity"), F.col("gas_baseline")))
+
+
 def with_iaq(df: DataFrame, baseline: DataFrame) -> DataFrame:
     """Attach the baseline to every row as a scalar subquery and score against it."""
     scored = df.withColumn("gas_baseline", baseline.scalar())

@@ -196,6 +196,20 @@ def layer_lookback(spark, folder):
     return _hour_counts(lake.read_hours(spark, path, window))
 
 
+def silver_two_runs(spark, folder):
+    """Silver of the whole table from overlapping windows, the last one short: the same rows as in one run."""
+    base = f"{ensure_checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
+    rows = fixtures.readings(spark, folder).select(
+        F.col("ts").cast("string").alias("timestamp"), "device_id", F.lit("1").alias("version"), *K.SENSOR_COLUMNS,
+        F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz").alias("processed_at"), "ts",
+    )
+    lake.commit_layer(lake.with_partitions(rows, F.col("ts")).drop("ts"), f"{base}/bronze")
+    for now, hours in ((datetime(2024, 1, 16, 0, 30), 400), (datetime(2024, 1, 31, 0, 30), 400), (datetime(2024, 1, 20, 5, 30), 3)):
+        workflows.build_silver(spark, f"{base}/bronze", f"{base}/silver", now, hours)
+    names = ["gas_baseline", "iaq_score", *[f"{c}_rolling_{k}" for c in ("temperature", "iaq_score") for k in ("mean", "std")]]
+    return _rounded(lake.read_layer(spark, f"{base}/silver").select("timestamp", "device_id", "temperature", *names))
+
+
 def partition_key_modes(spark, folder):
     rows = fixtures.readings(spark, folder)
     text = F.when(F.col("event_id") % 5 == 0, F.lit("soon")).when(F.col("event_id") % 7 != 0, F.col("ts").cast("string"))
@@ -813,7 +827,7 @@ def drift_report_json(spark, folder):
 
 NAMES = [
     "silver_anomaly_rate", "silver_features",
-    "scan_lookback_hours", "scan_backfill", "scan_day_windows", "scan_latest_hour", "bronze_partition_counts", "bronze_layer", "layer_lookback",
+    "scan_lookback_hours", "scan_backfill", "scan_day_windows", "scan_latest_hour", "bronze_partition_counts", "bronze_layer", "layer_lookback", "silver_two_runs",
     "partition_key_modes", "union_by_name",
     "parse_envelopes", "parse_flat_nested", "missing_fields", "bronze_parse", "ingest_quality", "alias_fields",
     "silver_nulls", "null_profile", "silver_valid", "range_violations", "silver_dedup", "quality_metrics",

@@ -63,30 +63,43 @@ def silver_features(
     ts: str,
     order: Sequence[str],
     groups: Sequence[str] = ("device_id",),
+    hour: Sequence[str] = (),
 ) -> DataFrame:
-    """Baseline, score, time parts, ratios and rolling statistics over cleaned rows.
+    """Baseline, score, time parts, ratios and rolling statistics over cleaned rows; the baseline is that of all rows, or of each row's
+    ``hour``.
 
     Baseline and features both read the cleaned rows, so these are stored instead of being cleaned again.
     """
     cleaned = stored(cleaned)
-    rows = features.with_iaq(cleaned, features.gas_baseline(cleaned))
+    if hour:
+        rows = features.with_hourly_iaq(cleaned, features.hourly_baseline(cleaned, hour), hour)
+    else:
+        rows = features.with_iaq(cleaned, features.gas_baseline(cleaned))
     rows = features.ratios(features.time_parts(rows, ts))
     return features.rolling(rows, order, groups=groups)
 
 
-def to_silver(bronze: DataFrame, groups: Sequence[str] = ("device_id",), at: Column | None = None) -> DataFrame:
+def to_silver(bronze: DataFrame, groups: Sequence[str] = ("device_id",), at: Column | None = None, lead: DataFrame | None = None) -> DataFrame:
     """Silver rows of a bronze window, with partition columns.
 
+    With ``lead``, whole bronze hours before the window, the rolling values of the window's first rows are complete and every hour has a
+    baseline of its own, so a row does not depend on the window that it was computed in. Rows of ``lead`` are not returned.
+
     A row stays in the folder hour it has in bronze. A window reads whole bronze folders, so re-running overlapping
     windows replaces whole silver folders instead of repeating rows. Pass a processing time in ``at`` for the append-only
     layout. A time that cannot be read falls back to the processing time, as it does for the bronze folder.
     """
     folder = {c: F.col(c) for c in K.PARTITION_COLUMNS}
-    rows = bronze.select(*BRONZE_COLUMNS, F.struct(*folder.values()).alias("_folder"))
+    hour = [f"_{c}" for c in folder] if lead is not None else []
+    rows = bronze.select(*BRONZE_COLUMNS, F.struct(*folder.values()).alias("_folder"), F.lit(False).alias("_lead"))
+    if lead is not None:
+        before = lead.select(*BRONZE_COLUMNS, F.struct(*folder.values()).alias("_folder"), F.lit(True).alias("_lead"))
+        rows = rows.unionByName(before).withColumns({f"_{c}": F.col(f"_folder.{c}") for c in folder})
     cleaned = clean(rows, SILVER_KEYS, ["processed_at", "gas_resistance", "temperature", "humidity", "pressure"])
     event_time = lake.partition_time(F.col("timestamp"), F.col("processed_at"))
     cleaned = cleaned.withColumn("event_ts", event_time)
-    silver = silver_features(cleaned, "event_ts", ["event_ts", "timestamp"], groups)
+    silver = silver_features(cleaned, "event_ts", ["event_ts", "timestamp"], groups, hour)
+    silver = silver.where(~F.col("_lead")).drop("_lead", *hour)
     # the hour feature and the hour folder share a name; the feature keeps its own column in the files
     silver = silver.withColumnRenamed("hour", "hour_of_day")
     if at is not None:

@@ -5,7 +5,7 @@ Each function plans Spark jobs and returns decisions as DataFrames or small rows
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +36,38 @@ def ingest(
     return told.groupBy("reason").agg(F.sum("messages").alias("messages"))
 
 
+def lead_in(spark: SparkSession, bronze: str, rows: DataFrame, first: datetime, needed: int = K.ROLLING_ROWS - 1) -> DataFrame:
+    """Whole bronze hours before ``first`` that hold at least ``needed`` clean rows of every device of ``rows``.
+
+    Goes back one hour, then four times as far until no device lacks rows, ``MAX_LOOKBACK_HOURS`` at most: a device that was silent for
+    longer begins anew.
+    """
+    hours = 1
+    while True:
+        lead = lake.read_hours(spark, bronze, (first - timedelta(hours=hours), first - timedelta(hours=1)))
+        if hours == K.MAX_LOOKBACK_HOURS:
+            return lead
+        clean = quality.keep_valid(lead, ["timestamp"]).select("timestamp", "device_id").distinct()
+        held = clean.groupBy("device_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= needed)
+        if rows.select("device_id").distinct().join(held, "device_id", "left_anti").isEmpty():
+            return lead
+        hours = min(4 * hours, K.MAX_LOOKBACK_HOURS)
+
+
 def build_silver(
     spark: SparkSession, bronze: str, silver: str, now: datetime, hours: int = K.DEFAULT_LOOKBACK_HOURS, backfill_from: str = ""
 ) -> DataFrame | None:
     """Look-back window of bronze to silver; returns the quality row, or None when there is nothing to do.
 
-    All hours of the window are replaced by one commit, also those that have no rows any more.
+    All hours of the window are replaced by one commit, also those that have no rows any more. Baselines belong to the hour and rolling
+    values reach back before the window, so overlapping runs write the same rows.
     """
     window = lake.lookback(now, hours, backfill_from)
     rows = lake.require_rows(lake.read_hours(spark, bronze, window), "skip")
     if rows is None:
         return None
-    lake.commit_layer(medallion.to_silver(rows), silver, replaces=commits.hour_folders(window))
+    lead = lead_in(spark, bronze, rows, window[0])
+    lake.commit_layer(medallion.to_silver(rows, lead=lead), silver, replaces=commits.hour_folders(window))
     return quality.quality_metrics(rows, medallion.SILVER_KEYS, ["timestamp"])
 
 

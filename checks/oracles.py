@@ -98,6 +98,10 @@ _CTES = {
       SELECT v.feature, s.n_e, s.n_a, sum(v.e) OVER w AS e_run, sum(v.a) OVER w AS a_run
       FROM value_counts v JOIN sizes s USING (feature) WINDOW w AS (PARTITION BY v.feature ORDER BY v.x))
       GROUP BY feature, n_e, n_a""",
+    "once": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ts, device_id ORDER BY gas_resistance DESC, temperature DESC, humidity DESC, pressure DESC) AS rn
+      FROM readings WHERE temperature BETWEEN 0 AND 85 AND humidity BETWEEN 0 AND 100 AND pressure BETWEEN 800 AND 1200 AND gas_resistance BETWEEN 100 AND 500000) WHERE rn = 1""",
+    "hour_scored": f"""SELECT *, {_iaq('gas_resistance', 'humidity', 'gas_baseline')} AS iaq_score, CAST(ts AS VARCHAR) AS ts_text FROM once
+      JOIN (SELECT date_trunc('hour', ts) AS h, quantile_cont(gas_resistance, 0.75) AS gas_baseline FROM once GROUP BY 1) ON h = date_trunc('hour', ts)""",
     "device_long": " UNION ALL ".join(f"SELECT device_id || '.{c}' AS feature, {c} AS x, (side='reference')::INT AS e, (side='production')::INT AS a FROM sides" for c in _S),
     "device_ks": """SELECT feature, n_e::BIGINT AS n_e, n_a::BIGINT AS n_a, least(n_e, n_a)::BIGINT AS n, greatest(n_e, n_a)::BIGINT AS m, max(abs(e_run/n_e - a_run/n_a)) AS d, max(abs(e_run*n_a - a_run*n_e))::BIGINT AS gap
       FROM (SELECT feature, sum(e) OVER w AS e_run, sum(a) OVER w AS a_run, sum(e) OVER f AS n_e, sum(a) OVER f AS n_a FROM device_long
@@ -382,6 +386,10 @@ _BODIES = {
       FROM parsed WHERE reason = 'valid' GROUP BY 1""",
     "bronze_layer": """SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature
       FROM readings WHERE event_id % 10 <> 8 GROUP BY 1""",
+    "silver_two_runs": """SELECT ts_text AS timestamp, device_id, round(temperature,6) AS temperature, round(gas_baseline,6) AS gas_baseline, iaq_score,
+      round(avg(temperature) OVER w,6) AS temperature_rolling_mean, round(coalesce(stddev_samp(temperature) OVER w,0e0),6) AS temperature_rolling_std,
+      round(avg(iaq_score) OVER w,6) AS iaq_score_rolling_mean, round(coalesce(stddev_samp(iaq_score) OVER w,0e0),6) AS iaq_score_rolling_std
+      FROM hour_scored WINDOW w AS (PARTITION BY device_id ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
     "layer_lookback": f"""SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature
       FROM readings WHERE date_trunc('hour', ts) BETWEEN date_trunc('hour', {_NOW}) - INTERVAL 23 HOUR AND {_NOW} GROUP BY 1""",
     "partition_key_modes": """SELECT event_id, strftime(coalesce(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN 'soon'
