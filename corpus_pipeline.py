@@ -25,8 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; shingles of five words at a similarity of 0.8."""
-    return simhash.keep_first(docs, width=5, near=simhash.WIDE)
+    """One document of each group stays: shingles of three words, at most three differing bits, as in ``op4_simhash``."""
+    return simhash.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
