@@ -17,6 +17,7 @@ passed on; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -32,16 +33,25 @@ WINDOW, OPEN, END = 4096, 256, 2
 ID = np.dtype("<u4")
 #: Rows of one output batch, and of one batch that is tokenised at a time.
 OUT, BATCH = 20_000, 512
+#: Units that are tokenised as one text.
+LINE = 512
+#: Words whose units are certain without the tokenizer (ASCII and small Latin-1 letters), and, a fixed value, its pattern of units there.
+PLAIN = re.compile("[!-~ß-öø-ÿ]+")
+UNIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 _memos: dict[str, words.Memo] = {}
 
 
 def word_ids(path: str) -> words.Memo:
-    """Memo of a word's ids for a tokenizer file that splits at white space and lower-cases; one per worker."""
+    """Memo of a word's ids for a tokenizer file that splits at white space and lower-cases; one per worker.
+
+    New words are cut into the tokenizer's own units, so that one with a comma or a number costs no more than its letters, and units
+    have a memo of their own.
+    """
     if path not in _memos:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         tokenizer = Tokenizer.from_file(path)
         ends = np.array([t.endswith("</w>") for t, _ in sorted(tokenizer.get_vocab().items(), key=lambda x: x[1])])
@@ -49,16 +59,35 @@ def word_ids(path: str) -> words.Memo:
         def alone(parts: list[str]) -> list[bytes]:
             return [np.array(e.ids, ID).tobytes() for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
 
+        # units of plain words need no normalisation and no splitting but at spaces; their characters become the model's own
+        quick, own = Tokenizer.from_file(path), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        quick.normalizer, quick.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        signs = {ord(c): own.pre_tokenize_str(c)[0][0] for c in map(chr, range(33, 256)) if PLAIN.fullmatch(c)}
+
+        def together(units: list[str]) -> list[bytes]:
+            """Units as one text, cut where a unit ends; a unit's last id, and no other, ends a word."""
+            out = []
+            lines = [units[k : k + LINE] for k in range(0, len(units), LINE)]
+            for line, e in zip(lines, quick.encode_batch_fast([" ".join(x).translate(signs) for x in lines], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, ID)
+                at = np.nonzero(ends[ids])[0] + 1
+                if len(at) != len(line):
+                    out += alone(line)
+                    continue
+                raw, at = ids.tobytes(), (at * ID.itemsize).tolist()
+                out += [raw[a:b] for a, b in zip([0, *at[:-1]], at, strict=True)]
+            return out
+
+        unit_memo = words.Memo(together, words.MEMO // 2)
+
         def compute(found: list[bytes]) -> list[bytes]:
-            """Plain words of letters are one unit each: encoded as one text, cut where a unit ends."""
-            parts = [w.decode() for w in found]
-            out, easy = [b""] * len(parts), [i for i, w in enumerate(parts) if w.isascii() and w.isalpha()]
-            hard = sorted(set(range(len(parts))).difference(easy))
-            if easy:
-                ids = np.array(tokenizer.encode(" ".join(parts[i] for i in easy), add_special_tokens=False).ids, ID)
-                for i, x in zip(easy, np.split(ids, np.nonzero(ends[ids])[0][:-1] + 1), strict=True):
-                    out[i] = x.tobytes()
-            for i, x in zip(hard, alone([parts[i] for i in hard]), strict=True):
+            parts = [w.decode().lower() for w in found]
+            cut = [() if not PLAIN.fullmatch(w) or "<|" in w else (w,) if w.isalpha() else UNIT.findall(w) for w in parts]
+            hard = [i for i, x in enumerate(cut) if not x]
+            distinct = list({u for x in cut for u in x})
+            known = dict(zip(distinct, unit_memo(distinct), strict=True))
+            out = [known[x[0]] if len(x) == 1 else b"".join(map(known.__getitem__, x)) for x in cut]
+            for i, x in zip(hard, alone([found[i].decode() for i in hard]), strict=True):
                 out[i] = x
             return out
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ MEMO = 600_000
 
 #: A-Z lower case, white space as spaces.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+SPACES = bytes(32 if 9 <= c <= 13 else c for c in range(256))
 SLICE = 1 << 20
 
 
@@ -43,15 +45,29 @@ class Memo:
         self.compute, self.limit, self.young, self.old = compute, limit // 2, {}, {}
 
     def __call__(self, words: list[bytes]) -> list:
+        # nothing here makes cycles, and the collector would walk the whole memo each time
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._look(words)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _look(self, words: list[bytes]) -> list:
         young, old = self.young, self.old
-        missing = [w for w in words if w not in young]
+        out = list(map(young.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
         if missing:
-            new = [w for w in missing if w not in old]
-            for w in missing:
-                if w in old:
-                    young[w] = old[w]
-            young.update(zip(new, self.compute(new), strict=True))
-        out = [young[w] for w in words]
+            for i in missing:
+                out[i] = old.get(words[i])
+            new = list(dict.fromkeys(words[i] for i in missing if out[i] is None))
+            found = dict(zip(new, self.compute(new), strict=True))
+            for i in missing:
+                w = words[i]
+                if out[i] is None:
+                    out[i] = found[w]
+                young[w] = out[i]
         if len(young) > self.limit:
             self.old, self.young = young, {}
         return out
@@ -62,13 +78,14 @@ def split(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
 
     A null text has no words. A-Z are lower-cased on request; everything else stays as it is.
     """
-    raw = texts.cast(pa.large_binary())
-    cut = [(x.as_py() or b"") for x in raw]
-    cut = [x.lower().split() if lower else x.split() for x in cut]
-    offsets = np.concatenate([[0], np.cumsum([len(x) for x in cut])]).astype(np.int64)
-    flat = pa.array([w for x in cut for w in x], pa.large_binary())
-    found = pc.dictionary_encode(flat)
-    return offsets, found.indices.to_numpy(zero_copy_only=False), found.dictionary.to_pylist()
+    table = LOWER if lower else SPACES
+    raw = pa.array([(x.as_py() or b"").translate(table) for x in texts.cast(pa.large_binary())], pa.large_binary())
+    cut = pc.split_pattern(raw, b" ")
+    # spaces in a row, and at the ends, leave empty items
+    full = pc.not_equal(pc.binary_length(cut.values), 0)
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))]).astype(np.int64)
+    found = pc.dictionary_encode(cut.values.filter(full))
+    return before[cut.offsets.to_numpy()], found.indices.to_numpy(zero_copy_only=False), found.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def gather(codes: np.ndarray, values: list[bytes], item: np.dtype) -> tuple[np.ndarray, np.ndarray]:
