@@ -46,6 +46,11 @@ def value_counts(long: DataFrame) -> DataFrame:
     return long.groupBy("feature", "x").agg(e.alias("e"), a.alias("a"))
 
 
+def as_counts(long: DataFrame) -> DataFrame:
+    """(feature, x, e, a) row by row, for aggregates that need no equal values merged before."""
+    return long.select("feature", "x", *[(F.col("side") == side).cast("long").alias(c) for c, side in (("e", "reference"), ("a", "production"))])
+
+
 def running_counts(counts: DataFrame, chunks: int | None = None) -> DataFrame:
     """Adds e_run and a_run, the two cumulative counts in value order."""
     return running_totals(counts, ["x"], ["e", "a"], ["feature"], chunks)
@@ -73,7 +78,8 @@ def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
 def histogram(counts: DataFrame, bins: int = K.DRIFT_BINS) -> DataFrame:
     """(feature, bin, e, a, n_e, n_a, constant) over equal-width bins of the joint range; empty bins are present.
 
-    The bounds table has one row per feature, a fixed list of column names, so it is broadcast.
+    ``counts`` may come row by row (``as_counts``): two aggregates, one for the bounds and one for the bins, combine on the map side, so
+    values are not shuffled. The bounds table has one row per feature, a fixed list of column names, so it is broadcast.
     """
     bounds = _bounds(counts)
     placed = counts.join(F.broadcast(bounds), "feature")

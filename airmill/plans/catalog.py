@@ -9,20 +9,23 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airmill import constants as K
 from airmill.functions import air_quality, parsing, rules
 from airmill.operators import compare, drift, features, forest, labels, metrics, ordered, quality, quantiles, registry
 from airmill.plans import medallion, workflows
-from airmill.session import ensure_checkpoint_dir, stored
+from airmill.session import ensure_checkpoint_dir, file_system, stored
 from airmill.sources import commits, fixtures, lake, messages
+from airmill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # "Now" of the look-back queries, inside the range of the events table.
 NOW = datetime(2024, 1, 30, 12, 34)
+#: The hour whose files are spoiled.
+SPOILED = "year=2024/month=01/day=17/hour=05"
 KEYS, NEWEST, ORDER = ("ts", "device_id"), ["copy_no", "event_id"], ["ts", "event_id"]
 CHAMPION_SHARE, CHALLENGER_SHARE = 0.03, 0.06
 
@@ -184,6 +187,73 @@ def bronze_layer(spark, folder):
     return _hour_counts(lake.read_layer(spark, f"{base}/bronze"))
 
 
+def _landed(spark, folder, base: str, part: Column) -> None:
+    """Readings with their defects as message files: a null leaves its field out, every seventh row is no message at all."""
+    rows = fixtures.bronze(spark, folder).where(part)
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")
+    whole = F.to_json(F.struct(stamp, "device_id", F.struct(*K.SENSOR_COLUMNS).alias("sensors")))
+    rows.select(F.when(F.col("event_id") % 7 == 6, F.lit("no json")).otherwise(whole).alias("value")).write.mode("append").text(f"{base}/in")
+
+
+def _bronze_stream(spark, base: str) -> None:
+    stream = messages.stream_messages(spark, f"{base}/in", drain=True)
+    jobs.start_bronze(stream, f"{base}/bronze", f"{base}/quarantine", f"{base}/bronze-mark").awaitTermination()
+
+
+def stream_bronze(spark, folder):
+    """Landed messages through the bronze stream, which stops half-way, goes on from its checkpoint, and finds nothing new at last."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    for part in range(2):
+        _landed(spark, folder, base, F.col("event_id") % 2 == part)
+        _bronze_stream(spark, base)
+    _bronze_stream(spark, base)
+    kept = _hour_counts(lake.read_layer(spark, f"{base}/bronze")).withColumn("reason", F.lit("valid"))
+    away = spark.read.parquet(f"{base}/quarantine").groupBy(F.col("invalid_reason").alias("reason")).agg(F.count(F.lit(1)).alias("rows"))
+    return kept.unionByName(away, allowMissingColumns=True)
+
+
+def stream_silver(spark, folder):
+    """Bronze and silver streams in turns, stopped and restarted; copies of a reading lie in one half or in both."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    for part in range(2):
+        _landed(spark, folder, base, (F.col("event_id") + F.col("copy_no")) % 2 == part)
+        _bronze_stream(spark, base)
+        # the columns of the layer, folder columns included, as its first batch wrote them
+        schema = lake.read_layer(spark, f"{base}/bronze").schema
+        bronze = spark.readStream.schema(schema).parquet(f"{base}/bronze")
+        jobs.start_silver(bronze, f"{base}/silver", f"{base}/silver-mark").awaitTermination()
+    return _hour_counts(lake.read_layer(spark, f"{base}/silver")).select("partition_key", "rows")
+
+
+def stream_hourly_rate(spark, folder):
+    """Hours that the watermark has closed, from a stream that stops before the newest week and goes on from its checkpoint."""
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    rows = stored(gold(spark, folder).select("ts", "is_anomaly"))
+    start = F.lit(fixtures.DRIFT_START).cast("timestamp_ntz")
+    for part, inside in enumerate((F.col("ts") < start, F.col("ts") >= start)):
+        rows.where(inside).write.parquet(f"{base}/in/{part}")
+        stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{base}/in")
+        jobs.start_append(jobs.hourly_anomaly_rate(stream, "ts"), f"{base}/rate", f"{base}/mark").awaitTermination()
+    closed = spark.read.parquet(f"{base}/rate")
+    return _rounded(closed.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz")))
+
+
+def tolerant_scan(spark, folder):
+    """A layer in which the files of one hour are spoiled: rows per hour of a tolerant read, and how much of the hour was skipped."""
+    path = f"{ensure_checkpoint_dir(spark)}/spoiled-{uuid.uuid4().hex}"
+    rows = fixtures.readings(spark, folder)
+    lake.write_layer(lake.with_partitions(rows, F.col("ts")), path)
+    files, of = file_system(spark, path)
+    for status in files.globStatus(of(f"{path}/{SPOILED}/*.parquet")):
+        out = files.create(status.getPath(), True)
+        out.write(bytearray(b"PAR1, but no footer PAR1"))
+        out.close()
+    report = lake.scan_report(spark, path, rows.schema)
+    hour = F.regexp_extract("file", "year=[^/]+/month=[^/]+/day=[^/]+/hour=[^/]+", 0).alias("partition_key")
+    told = F.max(F.when(F.col("status") != "whole", F.col("status")))
+    return report.groupBy(hour).agg(F.sum("rows").alias("rows"), F.coalesce(told, F.lit("whole")).alias("status"))
+
+
 def layer_lookback(spark, folder):
     """A day of a layer whose every hour was written wrong, replaced, and half replaced again by a run that died."""
     path = f"{ensure_checkpoint_dir(spark)}/layer-{uuid.uuid4().hex}"
@@ -501,17 +571,21 @@ def feature_summary(spark, folder):
     return _rounded(drift.feature_summary(drift.both_sides(*sides(spark, folder))))
 
 
+def _drift_histogram(spark, folder):
+    return drift.histogram(drift.as_counts(drift.both_sides(*sides(spark, folder))))
+
+
 def feature_histogram(spark, folder):
-    hist = drift.histogram(_drift_counts(spark, folder))
+    hist = _drift_histogram(spark, folder)
     return hist.select("feature", "bin", F.col("e").alias("reference"), F.col("a").alias("production"))
 
 
 def psi(spark, folder):
-    return _rounded(drift.divergences(drift.histogram(_drift_counts(spark, folder))).select("feature", "psi"))
+    return _rounded(drift.divergences(_drift_histogram(spark, folder)).select("feature", "psi"))
 
 
 def kl_divergence(spark, folder):
-    return _rounded(drift.divergences(drift.histogram(_drift_counts(spark, folder))).select("feature", "kl_divergence"))
+    return _rounded(drift.divergences(_drift_histogram(spark, folder)).select("feature", "kl_divergence"))
 
 
 def ks_statistic(spark, folder):
@@ -828,6 +902,7 @@ def drift_report_json(spark, folder):
 NAMES = [
     "silver_anomaly_rate", "silver_features",
     "scan_lookback_hours", "scan_backfill", "scan_day_windows", "scan_latest_hour", "bronze_partition_counts", "bronze_layer", "layer_lookback", "silver_two_runs",
+    "tolerant_scan", "stream_bronze", "stream_silver", "stream_hourly_rate",
     "partition_key_modes", "union_by_name",
     "parse_envelopes", "parse_flat_nested", "missing_fields", "bronze_parse", "ingest_quality", "alias_fields",
     "silver_nulls", "null_profile", "silver_valid", "range_violations", "silver_dedup", "quality_metrics",

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import uuid
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from airmill import constants as K
-from airmill.session import file_system
+from airmill.session import file_system, stored
 from airmill.sources import commits
 
 
@@ -161,6 +164,47 @@ def read_hours(spark: SparkSession, path: str, bounds: tuple[datetime, datetime]
     return _plain(spark, tolerant, False).parquet(path).limit(0)
 
 
+def _footer_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, content) to (file, rows, error) as the footer tells."""
+    for b in batches:
+        rows, errors = [], []
+        for content in b.column(1):
+            try:
+                rows.append(pq.read_metadata(pa.BufferReader(content.as_buffer())).num_rows)
+                errors.append(None)
+            except (pa.ArrowException, OSError) as error:
+                rows.append(None)
+                errors.append(str(error))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.int64()), pa.array(errors, pa.string())], names=["file", "rows", "error"])
+
+
+def scan_report(spark: SparkSession, path: str, schema: StructType, columns: Sequence[str] | None = None) -> DataFrame:
+    """(file, promised, rows, status, error) of every parquet file under ``path``: what a tolerant read gets from it, and why not all.
+
+    ``promised`` are the rows of the footer, ``rows`` those that could be read with ``columns`` (all by default). ``status`` is 'whole',
+    'cut' (unreadable from some row on), 'empty' or 'unreadable'. Both counts are one scan each, combined on the map side. Only files
+    without any row are opened once more, in tasks, for their error; a folder without files gives no rows.
+    """
+    file = F.col("_metadata.file_path").alias("file")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select(file)
+    rows = _plain(spark, True, False).schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(path)
+    promised = rows.select(file).groupBy("file").agg(F.count(F.lit(1)).alias("promised"))
+    # counting by the sign of a hash makes the scan read every value
+    value = F.xxhash64(*(columns or schema.fieldNames())).alias("_value")
+    read = rows.select(file, value).groupBy("file").agg((F.count_if(F.col("_value") < 0) + F.count_if(F.col("_value") >= 0)).alias("rows"))
+    report = stored(listed.join(promised, "file", "left").join(read, "file", "left").na.fill(0, ["rows"]))
+    silent = [r["file"] for r in report.where("promised IS NULL").collect()]  # file names, as any listing holds them
+    if silent:
+        opened = spark.read.format("binaryFile").load([unquote(f) for f in silent]).select(file, "content")
+        told = opened.mapInArrow(_footer_rows, "file string, rows long, error string").withColumnRenamed("rows", "_footer")
+    else:
+        told = spark.createDataFrame([], "file string, _footer long, error string")
+    out = report.join(told, "file", "left").withColumn("promised", F.coalesce("promised", "_footer"))
+    status = F.when(F.col("promised").isNull(), "unreadable").when(F.col("promised") == 0, "empty")
+    status = status.when(F.col("rows") < F.col("promised"), "cut").otherwise("whole")
+    return out.select("file", "promised", "rows", status.alias("status"), "error")
+
+
 def union_layers(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames, columns by name, absent columns null."""
     out = frames[0]

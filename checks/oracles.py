@@ -392,6 +392,19 @@ _BODIES = {
       FROM hour_scored WINDOW w AS (PARTITION BY device_id ORDER BY ts ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)""",
     "layer_lookback": f"""SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature
       FROM readings WHERE date_trunc('hour', ts) BETWEEN date_trunc('hour', {_NOW}) - INTERVAL 23 HOUR AND {_NOW} GROUP BY 1""",
+    "tolerant_scan": """SELECT key AS partition_key, CAST(sum(CASE WHEN spoiled THEN 0 ELSE 1 END) AS BIGINT) AS rows,
+      CASE WHEN bool_or(spoiled) THEN 'unreadable' ELSE 'whole' END AS status FROM (
+      SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS key, date_trunc('hour', ts) = TIMESTAMP '2024-01-17 05:00:00' AS spoiled
+      FROM readings) GROUP BY 1""",
+    "stream_bronze": """SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key, count(*) AS rows, round(sum(temperature),3) AS sum_temperature,
+      'valid' AS reason FROM bronze WHERE event_id % 7 <> 6 AND humidity IS NOT NULL GROUP BY 1
+      UNION ALL SELECT NULL, count(*), NULL, CASE WHEN event_id % 7 = 6 THEN 'bad_json' ELSE 'missing_fields' END AS why FROM bronze
+      WHERE event_id % 7 = 6 OR humidity IS NULL GROUP BY why""",
+    "stream_silver": """SELECT strftime(ts, 'year=%Y/month=%m/day=%d/hour=%H') AS partition_key,
+      count(DISTINCT strftime(ts, '%Y-%m-%d %H:%M:%S ') || device_id) AS rows FROM valid WHERE event_id % 7 <> 6 GROUP BY 1""",
+    "stream_hourly_rate": """SELECT date_trunc('hour',ts) AS hour_start, count(*) AS total,
+      CAST(sum(is_anomaly) AS BIGINT) AS anomalies, round(avg(is_anomaly),6) AS rate FROM gold GROUP BY 1
+      HAVING date_trunc('hour',ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM gold) - INTERVAL 2 HOUR""",
     "partition_key_modes": """SELECT event_id, strftime(coalesce(TRY_CAST(CASE WHEN event_id % 5 = 0 THEN 'soon'
         WHEN event_id % 7 <> 0 THEN CAST(ts AS VARCHAR) END AS TIMESTAMP), TIMESTAMP '2024-02-01 03:04:05'),
         'year=%Y/month=%m/day=%d/hour=%H') AS by_message_time,

@@ -137,3 +137,24 @@ def test_bronze_to_silver(spark, tmp_path):
     assert len(silver) == 12 and set(silver["hour_of_day"]) == {5}
     first = silver.sort_values(["device_id", "event_ts"]).iloc[0]
     assert first["gas_resistance"] == 90000 and first["temperature_rolling_std"] == 0
+
+
+def test_scan_report_names_what_a_tolerant_read_skips(spark, tmp_path):
+    path = f"{tmp_path}/layer"
+    rows = spark.range(400_000).withColumn("x", F.rand(3))
+    for k in range(4):
+        rows.limit(0 if k == 3 else 400_000).coalesce(1).write.parquet(f"{path}/hour=0{k}")
+    (whole,), (cut,), (broken,), _ = ([*(tmp_path / "layer" / f"hour=0{k}").glob("*.parquet")] for k in range(4))
+    raw = bytearray(cut.read_bytes())
+    middle = len(raw) // 2
+    raw[middle : middle + 2_000_000] = b"\xff" * len(raw[middle : middle + 2_000_000])
+    cut.write_bytes(raw)  # the footer is as it was
+    broken.write_bytes(broken.read_bytes()[:-10])
+    for crc in (tmp_path / "layer").rglob("*.crc"):
+        crc.unlink()
+    got = {r["file"].split("hour=0")[1][0]: r for r in lake.scan_report(spark, path, rows.schema).collect()}
+    assert got["0"]["status"] == "whole" and got["0"]["rows"] == got["0"]["promised"] == 400_000
+    assert got["1"]["status"] == "cut" and got["1"]["rows"] < got["1"]["promised"] == 400_000
+    assert got["2"]["status"] == "unreadable" and got["2"]["rows"] == 0 and got["2"]["promised"] is None and got["2"]["error"]
+    assert got["3"]["status"] == "empty" and got["3"]["error"] is None
+    assert lake.scan_report(spark, f"{path}/hour=03", rows.schema).count() == 1

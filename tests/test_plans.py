@@ -30,3 +30,9 @@ def test_scan_reads_only_what_it_needs(spark, folder):
 def test_time_filter_is_pushed_down(spark, folder):
     text = plan(entry.queries()["union_by_name"](spark, folder))
     assert "LessThan(ts" in text and "GreaterThanOrEqual(ts" in text
+
+
+@pytest.mark.parametrize("name", ["psi", "kl_divergence", "feature_histogram"])
+def test_histograms_shuffle_no_values(spark, folder, name):
+    text = plan(entry.queries()[name](spark, folder))
+    assert not re.search(r"hashpartitioning\(feature#\d+, x#\d+", text) and "hashpartitioning(feature" in text
