@@ -11,8 +11,10 @@ that is before every space that follows another character: the text falls into w
 parts at their own such boundaries. Words and parts are searched once per worker and remembered in bounded memos;
 ``encode_stream`` is the search itself.
 
-Cases: null and empty texts have no ids and decode to the empty text; texts of any length keep the same memory; repeated rows
-are encoded each; extra columns are ignored; an empty table gives no rows.
+Cases: null and empty texts have no ids and decode to the empty text; ``encode_stream`` keeps the same memory for texts of any length,
+``encode`` holds the texts, words and ids of ``BATCH`` rows; a text that itself holds U+2581 comes back with spaces there, so it does
+not make the round trip; repeated rows are encoded each; columns named like a result are replaced, other extra columns pass; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,13 +50,13 @@ class Model:
         self.texts = [self._text(s, i) for i in range(n)]
         self.unknown = s.unk_id()
         self.longest = max(map(len, self.pieces), default=1)
-        # pieces by their characters from the last one, and the neighbours that some piece holds
+        # pieces by their characters from the last one: (longer pieces, own score, own ids) by character; and the neighbours some piece holds
         self.trie: dict = {}
-        for p, (score, i) in self.pieces.items():
+        for p, (score, i) in sorted(self.pieces.items(), key=lambda x: len(x[0])):
             node = self.trie
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = score, (i,)
+            for c in p[:0:-1]:
+                node = node.setdefault(c, ({}, None, ()))[0]
+            node[p[0]] = node[p[0]][0] if p[0] in node else {}, score, (i,)
         self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         # unusable scores (user pieces of a model carry none) do not count as the lowest
         self.low = min((x for x, _ in self.pieces.values() if x > -1e8), default=0.0) - 10.0
@@ -83,15 +86,15 @@ def encode_stream(text: Iterable[str], model: Model) -> Iterator[int]:
         top, found, room = -np.inf, None, end - base
         node, n = trie, 0
         for c in reversed(tail if room >= longest else tail[-room:]):
-            node = node.get(c)
-            if node is None:
+            entry = node.get(c)
+            if entry is None:
                 break
             n += 1
-            entry = node.get("")
-            if entry is not None:
-                score = best[room - n] + entry[0]
+            node, score, ids = entry
+            if score is not None:
+                score += best[room - n]
                 if score >= top:
-                    top, found = score, (end - n, entry[1])
+                    top, found = score, (end - n, ids)
         if char not in model.pieces:
             ids = model.fallback(char)
             score = best[room - 1] + low * len(ids)
@@ -159,19 +162,36 @@ def _worker(path: str) -> tuple[Model, Callable]:
     return _held[path]
 
 
+def _plain(text: str | None, model: Model) -> bool:
+    """Words with one space before each: the chunks of such a text are its items between spaces."""
+    return bool(text) and model.cut and model.front and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " "
+
+
 def encode(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     """Ids of each text."""
     model, memo = _worker(path)
     for k in range(0, len(texts), BATCH):
-        lines = [normalise(t or "", model) for t in texts[k : k + BATCH]]
-        if not model.cut:
-            yield from (np.fromiter(encode_stream(x, model), ID) for x in lines)
-            continue
-        cut = [CHUNK.findall(x) for x in lines]
-        distinct = list({w for x in cut for w in x})
-        known = dict(zip(distinct, memo(distinct), strict=True))
-        for x in cut:
-            yield np.frombuffer(b"".join(map(known.__getitem__, x)), ID)
+        batch = texts[k : k + BATCH]
+        plain = [_plain(t, model) for t in batch]
+        items = pc.split_pattern(pa.array([t for t, p in zip(batch, plain, strict=True) if p], pa.large_string()), " ")
+        found = pc.dictionary_encode(items.values)
+        values = memo([SPACE + w for w in found.dictionary.to_numpy(zero_copy_only=False).tolist()])
+        ids, starts = words.gather(found.indices.to_numpy(zero_copy_only=False), values, ID)
+        spans = starts[items.offsets.to_numpy()].tolist()
+        spans = iter(zip(spans[:-1], spans[1:], strict=True))
+        for t, p in zip(batch, plain, strict=True):
+            if p:
+                start, end = next(spans)
+                yield ids[start:end]
+                continue
+            line = normalise(t or "", model)
+            if not model.cut:
+                yield np.fromiter(encode_stream(line, model), ID)
+                continue
+            cut = CHUNK.findall(line)
+            distinct = list(set(cut))
+            known = dict(zip(distinct, memo(distinct), strict=True))
+            yield np.frombuffer(b"".join(map(known.__getitem__, cut)), ID)
 
 
 def decode(ids: np.ndarray, path: str) -> str:
