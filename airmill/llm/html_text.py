@@ -1,18 +1,23 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut at block tags into flat blocks. Each has its word count and link density, those of its neighbours, and whether it
-stands in a part of the page that its markup calls main or not. A small tree, grown on a labelled table that ``labelled`` makes
-from page fragments with known answers, says which blocks are the article.
+stands in a part of the page that its markup calls main or not. A tree, grown on a labelled table that ``labelled`` makes from page
+fragments with known answers, says which blocks are the article. Its first question is fixed: does the markup name a main part at
+all? If so, that part decides; if not, words and links of the block and of its neighbours do. For those pages the table holds every
+labelled page also with its main part, and with all its parts, as plain ``div``.
 
 Cases: null and empty html, and pages without article, give an empty text; unclosed tags, attributes and comments end with the
-page; character references are decoded once; white space inside a block becomes one space; nothing is capped.
+page, and after a quote that nothing closes tags end at the next ``>``; character references are decoded once; white space inside a
+block becomes one space; pages of any length are read once and nothing is capped; a leaf of equal shares counts as article; repeated
+rows are extracted each; a column named like the result is replaced, other columns pass; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import cache
 from html import unescape
 
@@ -22,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
+LOOSE = re.compile(r"""<!--.*?(?:-->|\Z)|(?!)()()()|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""", re.S)
+UNCLOSED = re.compile("<!--")
 NAMES = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 RAW = frozenset("script style noscript template svg iframe object title textarea select math canvas audio video".split())
@@ -58,9 +65,20 @@ def blocks(html: str) -> tuple[list[str], np.ndarray]:
     texts: list[str] = []
     rows: list[tuple] = []
     held: list[tuple[str, int]] = []  # open containers with their kind
+    opened: Counter[str] = Counter()  # how many of them by tag
     kinds: list[int] = []  # of those that say something
+    mains = 0  # how many of these are main parts
     heading, link, pieces, linked = 0, 0, [], []
-    at, end = 0, len(html)
+    # a quote that nothing closes would be sought to the end again and again: after one, tags end at the next ``>``
+    at, end, last, token = 0, len(html), html.rfind(">"), TOKEN
+
+    def leave() -> str:
+        nonlocal mains
+        t, kind = held.pop()
+        opened[t] -= 1
+        if kind:
+            mains -= kinds.pop() == 2
+        return t
 
     def flush() -> None:
         if pieces:
@@ -68,7 +86,7 @@ def blocks(html: str) -> tuple[list[str], np.ndarray]:
             if text:
                 n = text.count(" ") + 1
                 other = bool(kinds) and kinds[-1] == 1
-                rows.append((n, min(1.0, len("".join(linked).split()) / n), other, not other and 2 in kinds, heading))
+                rows.append((n, min(1.0, len("".join(linked).split()) / n), other, not other and mains > 0, heading))
                 texts.append(text)
             pieces.clear()
             linked.clear()
@@ -79,13 +97,17 @@ def blocks(html: str) -> tuple[list[str], np.ndarray]:
             linked.append(text)
 
     while at < end:
-        m = TOKEN.search(html, at)
+        m = token.search(html, at) if at <= last else UNCLOSED.search(html, at)
         if m is None:
             said(html[at:])
             break
         if m.start() > at:
             said(html[at : m.start()])
         at = m.end()
+        if m.re is UNCLOSED:
+            break
+        if m[5]:
+            token = LOOSE
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
@@ -105,21 +127,18 @@ def blocks(html: str) -> tuple[list[str], np.ndarray]:
             heading = 0 if closing else 1
         if tag in HOLD:
             if not closing:
-                kind = _kind(tag, m[3] or m[6] or "", 2 in kinds)
+                kind = _kind(tag, m[3] or m[6] or "", mains > 0)
                 if tag in ("p", "li"):  # these end with the next one or with their parent
                     while held and held[-1][0] in ("span", tag):
-                        if held.pop()[1]:
-                            kinds.pop()
+                        leave()
                 held.append((tag, kind))
+                opened[tag] += 1
                 if kind:
                     kinds.append(kind)
-            elif any(t == tag for t, _ in held):
-                while True:
-                    t, kind = held.pop()
-                    if kind:
-                        kinds.pop()
-                    if t == tag:
-                        break
+                    mains += kind == 2
+            elif opened[tag]:
+                while leave() != tag:
+                    pass
                 link = 0 if tag in BLOCK else link
     flush()
     if not rows:
@@ -160,8 +179,22 @@ def predict(tree: tuple | float, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def labelled(seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """The labelled table: blocks of pages put together from fragments whose answer is known."""
+def unnamed_main(html: str) -> str:
+    """Main parts as plain ``div``."""
+
+    def plain(m: re.Match) -> str:
+        return "" if MAIN_WORDS & {p.lower() for p in PART.findall(m[0])} else m[0]
+
+    return re.sub(r"<(/?)(?:article|main|section)\b([^>]*)>", r"<\1div\2>", re.sub(NAMES, plain, html))
+
+
+def unnamed(html: str) -> str:
+    """All parts as plain ``div`` without names: only words and links are left to tell."""
+    return re.sub(r"<(/?)(?:article|main|section|nav|aside|footer|header|form|button)\b[^>]*>", r"<\1div>", re.sub(NAMES, "", html))
+
+
+def labelled(seed: int = 7, views: tuple[Callable[[str], str], ...] = (str,)) -> tuple[np.ndarray, np.ndarray]:
+    """The labelled table: blocks of pages put together from fragments whose answer is known, each page in every view."""
     draw = random.Random(seed)
 
     def words(least: int, most: int) -> str:
@@ -180,15 +213,18 @@ def labelled(seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
         return "<ul>" + "".join(f"<li>{words(3, 15)}</li>" for _ in range(4)) + "</ul>"
 
     pages = []
-    for k in range(24):
+    for k in range(60):
         menu, foot, ad = links(draw.randint(4, 8)), f"&copy; {words(2, 12)}", words(4, 20)
+        long = "".join(f"<p>{words(1, 400) if draw.random() < 0.8 else words(1, 12)}</p>" for _ in range(draw.randint(1, 6))) + f"<p>{words(25, 200)}</p>"
         plain = [
+            [("<nav><ul>" + menu + '</ul></nav><div class="ad">' + words(3, 25) + "</div>", 0), ("<article><h1>" + words(2, 16) + "</h1>" + long + "</article>", 1), ("<footer>" + words(3, 25) + "</footer>", 0)],
             [("<nav><ul>" + menu + "</ul></nav><header>" + words(1, 6) + '</header><div class="ad">' + ad + "</div>", 0), ("<article>" + article() + list_of() + "</article>", 1), ("<footer>" + foot + "</footer>", 0)],
             [('<div id="header"><h1>' + words(1, 4) + '</h1></div><div class="main-menu"><ul>' + menu + "</ul></div>", 0), ('<div id="content" class="post">' + article() + "</div>", 1), ('<div class="sidebar"><h3>' + words(1, 3) + "</h3><p>" + words(8, 40) + "</p><ul>" + links(5) + '</ul></div><div class="comments"><h3>Comments</h3><p>' + words(10, 60) + "</p><p>" + words(5, 50) + '</p></div><div id="footer"><p>' + foot + "</p></div>", 0)],
             [("<table><tr><td>" + links(6, "p") + "</td></tr></table><p>" + words(1, 4) + "</p>", 0), ("<div>" + "".join(f"<p>{words(25, 110)}</p>" for _ in range(5)) + "</div>", 1), ("<div>" + links(4, "p") + "<p>" + words(2, 7) + "</p></div>", 0)],
             [('<div class="cookie-notice"><p>' + words(10, 45) + "</p></div><main>", 0), (article(), 1), ('<aside class="promo"><p>' + words(6, 45) + "</p></aside><form><p>" + words(2, 12) + "</p><button>" + words(1, 2) + "</button></form>", 0), (f"<p>{words(20, 60)}</p><p>{words(2, 6)}</p>", 1), ('<section class="comments"><article class="comment"><p>' + words(10, 70) + "</p></article></section></main><footer><p>" + foot + "</p></footer>", 0)],
         ]
         pages.append(plain[k % len(plain)])
+    pages = [[(view(h), label) for h, label in page] for page in pages for view in views]
     x, y = [], []
     for page in pages:
         _, rows = blocks("<html><body>" + "".join(h for h, _ in page) + "</body></html>")
@@ -201,7 +237,10 @@ def labelled(seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
 
 @cache
 def tree() -> tuple | float:
-    return grow(*labelled())
+    """The first question is fixed: whether the page's markup names a main part. Both answers have a grown tree."""
+    x, y = labelled(views=(str, unnamed_main, unnamed))
+    named = x[:, FEATURES.index("page_main")] > 0.5
+    return FEATURES.index("page_main"), 0.5, grow(x[~named], y[~named], least=8), grow(x[named], y[named])
 
 
 def main_text(html: str | None) -> str:
