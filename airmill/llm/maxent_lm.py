@@ -1,15 +1,21 @@
 """Language-model scores: a hashed maximum-entropy model with n-gram and skip features and a class-factored softmax.
 
-log P(word | history) = log P(class | history) + log P(word | class).
+log P(word | history) = log P(class | history) + log P(seen | class) + log P(slot | class, history) + log P(word | slot).
 
 * Classes: the ``TOP`` commonest words are units of their own, all other words share units by a hash of their ending and length. Units
   with like neighbours are clustered into ``CLASSES`` classes; class 0 is the end of a text alone.
-* P(class | history) is a maximum-entropy model. The history is the three last symbols (a common word, or a class); its n-grams and skip
-  pairs are hashed into ``BUCKETS`` rows of weights, one per class. Training adds, in ``ROUNDS`` rounds, to every weight the scaled
+* The units of a class share its ``CLASSES`` slots: the ``OWN`` commonest have one each.
+* The history is the three last tokens, as symbols (a common word, or a class) and as the words themselves (``NAMES`` hashed names, common
+  or rare). Both have n-grams and skips as features: seven of symbols (all sets of the three), five of words (skips of one word each).
+* The symbols come first: a maximum-entropy model of P(class | symbols), whose features are hashed into ``BUCKETS`` rows of weights, one per
+  class. Training adds, in ``ROUNDS`` rounds, to every weight the scaled
   logarithm of observed over expected counts (generalised iterative scaling, as every history has the same number of features), less a
   pull to zero that is the stronger the rarer the feature. Tasks compute the expectations of their share of the histories, and their sums are added up; no training token is left out.
-* P(word | class) has word features only, whose maximum-entropy solution is the relative count; an absolute discount, estimated from the
-  words seen once and twice, goes to the class's words that were never seen, taken as one event.
+* The words come on top: each softmax over 32 classes, or over the 32 slots of a class, is five two-way softmaxes down a tree of its halves.
+  Each choice is a maximum-entropy model whose reference is the symbols' (for slots: the counts') share of its halves, with hashed features
+  of the words for every choice, ``WORD_BUCKETS`` rows of weights for each feature. ``WORD_ROUNDS`` rounds of the same scaling read every training token.
+* P(word | slot) has word features only, whose maximum-entropy solution is the relative count; an absolute discount, estimated from the
+  words seen once and twice, goes to the class's words that were never seen, taken as one event, which has no slot.
 
 A first pass numbers the words of blocks of about ``BLOCK`` distinct words, ``TOKENS`` tokens at most, and writes texts as these numbers;
 counts are summed by word, joined back to the blocks' words, and met with the texts of the block in one sorted stream. So a hot word costs a
@@ -27,7 +33,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +47,11 @@ from airmill.session import discard, stored
 TOP, GROUPS, CLASSES, BUCKETS = 63, 2048, 32, 1 << 13
 UNITS, SYMBOLS, NEAR = 1 + TOP + GROUPS, 1 + TOP + CLASSES, 128
 ROUNDS, PRIOR, SHRINK = 6, 10.0, 300.0
+NAMES, WORD_BUCKETS, WORD_ROUNDS, DEPTH, OWN = 1 << 16, 1 << 12, 2, 5, 16
+SHARE, PIECE = 1 << 23, 1 << 15  # training tokens of a task that adds up choices, tokens worked on at once
 BLOCK, TOKENS, SEGMENT, HISTORY = 1 << 19, 1 << 23, 1 << 17, 3
 END = b"\n"
-FEATURES = 7
+FEATURES, WORD_FEATURES = 7, 5
 
 
 def unit(word: bytes) -> int:
@@ -151,11 +159,11 @@ def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Recor
             yield b.slice(lo, hi - lo)
 
 
-MET = "row long, id long, held boolean, n_tokens long, n_known long, base double, known double, units array<short>"
+MET = "row long, id long, held boolean, n_tokens long, n_known long, base double, known double, units array<short>, names array<short>"
 
 
 def _met(total: int, distinct: int, discount: float):
-    """Stream of a block's words (code, n, unit) and then its segments -> figures of the segments, and their units; -1 - unit if never seen."""
+    """Stream of a block's words (code, n, unit and name) and then its segments -> figures of the segments, their units (-1 - unit if never seen) and names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, table = None, [], None
@@ -170,12 +178,12 @@ def _met(total: int, distinct: int, discount: float):
                     continue
                 if table is None:
                     code, n, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-                    table = np.zeros(len(code), np.int64), np.zeros(len(code), np.int16)
-                    table[0][code], table[1][code] = n, at
+                    table = np.zeros(len(code), np.int64), np.zeros(len(code), np.int16), np.zeros(len(code), np.uint16)
+                    table[0][code], table[1][code], table[2][code] = n, at // NAMES, at % NAMES
                 for first, last in cuts(b.column(3).slice(lo, hi - lo).to_numpy()):
                     yield figures(b.slice(lo + first, last - first), table)
 
-    def figures(b: pa.RecordBatch, table: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+    def figures(b: pa.RecordBatch, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
         sizes, rows = b.column(3).to_pylist(), b.num_rows
         flat = np.concatenate([unpacked(x.as_py(), n) for x, n in zip(b.column(8), sizes, strict=True)])
         offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -186,7 +194,8 @@ def _met(total: int, distinct: int, discount: float):
         known = np.bincount(segment, np.where(c > 0, np.log10(np.maximum(c, 1) - discount), 0.0), rows)
         counts = [np.bincount(segment, minlength=rows), np.bincount(segment, c > 0, rows).astype(np.int64)]
         units = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.where(seen > 0, at, -1 - at).astype(np.int16)))
-        return pa.RecordBatch.from_arrays([*[b.column(k) for k in (5, 6, 7)], *[pa.array(x) for x in (*counts, base, known)], units], names=["row", "id", "held", "n_tokens", "n_known", "base", "known", "units"])
+        names = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(table[2][flat].view(np.int16)))
+        return pa.RecordBatch.from_arrays([*[b.column(k) for k in (5, 6, 7)], *[pa.array(x) for x in (*counts, base, known)], units, names], names=["row", "id", "held", "n_tokens", "n_known", "base", "known", "units", "names"])
 
     return run
 
@@ -261,12 +270,22 @@ def class_logs(context: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np
 
 
 def histories(at: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """History, position and segment of every token."""
+    """History of symbols, position and segment of every token."""
     valid, segment = inside(offsets)
     s = symbol[at]
     return (s[valid - 1] * SYMBOLS + s[valid - 2]) * SYMBOLS + s[valid - 3], valid, segment
 
 
+def word_features(names: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Rows of the words before the tokens at ``valid``: three n-grams, two of one word further back; each has ``WORD_BUCKETS`` rows of its own."""
+    x = names.view(np.uint16).astype(np.uint64)
+    w1, w2, w3 = (x[valid - k] for k in (1, 2, 3))
+    wide = np.uint64(NAMES)
+    found = [w1, w1 * wide + w2, (w1 * wide + w2) * wide + w3, w2, w3]
+    shift = np.uint64(65 - WORD_BUCKETS.bit_length())
+    return np.stack([((h + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> shift).astype(np.int64) for h in found])
+
+
 def _events(of: np.ndarray, symbol: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, young = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
@@ -330,11 +349,14 @@ def train(events: DataFrame, bias: np.ndarray, rounds: int = ROUNDS) -> np.ndarr
     share, pull = PRIOR / events_of, SHRINK / events_of  # both keep the weights of rare features small
     for _ in range(rounds):
         expected = _added(events, weights, bias)
-        gain = np.log((observed + share * expected + 1e-12) / (expected + share * expected + 1e-12))
-        weights += (gain - pull * weights) / (FEATURES * (1 + pull))
+        weights += (_gain(observed, expected, share) - pull * weights) / (FEATURES * (1 + pull))
     return weights
 
 
+def _gain(observed: np.ndarray, expected: np.ndarray, share: np.ndarray) -> np.ndarray:
+    return np.log((observed + share * expected + 1e-12) / (expected + share * expected + 1e-12))
+
+
 @dataclass
 class Model:
     of: np.ndarray  # class of a unit
@@ -344,14 +366,165 @@ class Model:
     tokens: np.ndarray  # training tokens of a class, at least 1
     words: np.ndarray  # distinct training words of a class, at least 1
     discount: float
+    slot: np.ndarray | None = None  # slot of a unit in its class
+    kept: np.ndarray | None = None  # discounted training tokens of the slots of all classes, flat
+    halves: np.ndarray | None = None  # reference of the choices of slots, a row per class
+    sums: list[np.ndarray] | None = None  # weights of the symbols' features, added up
+    choice: np.ndarray | None = None  # weights of the choices by the words before: feature x cell
+
+
+# ---- the words before
+
+
+def slots(of: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """Slot of each unit in its class, from the units' training tokens."""
+    slot = np.zeros(len(of), np.int64)
+    for k in range(CLASSES):
+        mine = np.flatnonzero(of == k)
+        mine = mine[np.argsort(-tokens[mine], kind="stable")]
+        rank = np.arange(len(mine))
+        slot[mine] = np.where(rank < OWN, rank, OWN + rank % (CLASSES - OWN))
+    return slot
+
+
+def halves(mass: np.ndarray) -> np.ndarray:
+    """Logarithms of the odds of the second half at every choice (leaves x cases): row 1 halves all, rows 2 and 3 its halves, and so on."""
+    out = np.zeros_like(mass)
+    for d in reversed(range(DEPTH)):
+        out[1 << d : 2 << d] = np.log(mass[1::2] / mass[::2])
+        mass = mass[1::2] + mass[::2]
+    return out
+
+
+def passed(leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens at every choice, and those that take its second half, from the tokens of the leaves (cases x leaves)."""
+    tokens, second = np.zeros(leaves.shape), np.zeros(leaves.shape)
+    for d in reversed(range(DEPTH)):
+        second[:, 1 << d : 2 << d] = leaves[:, 1::2]
+        leaves = leaves[:, 1::2] + leaves[:, ::2]
+        tokens[:, 1 << d : 2 << d] = leaves
+    return tokens, second
+
+
+def added_up(weights: np.ndarray, bias: np.ndarray) -> list[np.ndarray]:
+    """The symbols' weights by (last, one before), (last, two before), (one before, two before), and of the whole history's buckets."""
+    a, b = np.divmod(np.arange(SYMBOLS * SYMBOLS), SYMBOLS)
+    f, g, h = features((a * SYMBOLS + b) * SYMBOLS), features(a * SYMBOLS * SYMBOLS + b), features(a * SYMBOLS + b)
+    found = [bias + weights[f[:, 0]] + weights[f[:, 1]] + weights[f[:, 3]], weights[g[:, 2]] + weights[g[:, 4]], weights[h[:, 5]], weights]
+    return [x.astype(np.float32) for x in found]
+
+
+def by_symbols(model: Model, context: np.ndarray) -> np.ndarray:
+    """Odds of the choices of classes that the symbols give (choices x histories)."""
+    square = SYMBOLS * SYMBOLS
+    spots = [context // SYMBOLS, context // square * SYMBOLS + context % SYMBOLS, context % square]
+    last = (context.astype(np.uint64) * np.uint64(8) + np.uint64(6)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - 13)
+    z = sum(table.take(at, axis=0) for table, at in zip(model.sums, [*spots, last.astype(np.int64)], strict=True))
+    return halves(np.ascontiguousarray(np.exp(np.clip(z, -60, 60)).T))
+
+
+def reference(model: Model, context: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes and log odds (choices x tokens) of the two-way choices to each token's class and slot, without the words before."""
+    some, spot = np.unique(context, return_inverse=True)
+    of, slot = model.of[unit], model.slot[unit]
+    node = np.stack([(1 << d) + (leaf >> (DEPTH - d)) for leaf in (of, slot) for d in range(DEPTH)])
+    odds = by_symbols(model, some)
+    z = np.concatenate([odds.take(node[:DEPTH] * len(some) + spot), model.halves.take(node[DEPTH:] * CLASSES + of)])
+    return node, z
+
+
+def cells(rows: np.ndarray, of: np.ndarray, node: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray]]:
+    """Feature, choices and their cells (choices x tokens): the first half of ``node`` is about the class, the second about its slot."""
+    salt, middle = (of + 1) * 2531 % WORD_BUCKETS, len(node) // 2
+    for j, row in enumerate(rows):
+        yield j, slice(middle), row * CLASSES + node[:middle]
+        yield j, slice(middle, None), (row ^ salt) * CLASSES + node[middle:]
+
+
+def choices(model: Model, context: np.ndarray, rows: np.ndarray, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Outcomes and log odds (choices x tokens) of the two-way choices to each token's class and slot."""
+    node, z = reference(model, context, unit)
+    for j, part, at in cells(rows, model.of[unit], node):
+        z[part] += model.choice[j].take(at)
+    return np.stack([(leaf >> (DEPTH - 1 - d)) & 1 for leaf in (model.of[unit], model.slot[unit]) for d in range(DEPTH)]), z
+
+
+def _choice_counts(shared, start: bool):
+    """Sums, by feature and cell, of the expected second outcomes; at the start also the tokens by feature, row and leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, size = shared.value, WORD_BUCKETS * CLASSES
+        total = np.zeros((2 if start else 1, WORD_FEATURES, size))
+        for b in _pieces(batches, 0):
+            at, _, offsets = _flat(b.column(0))
+            names = b.column(1).flatten().to_numpy()
+            contexts, everywhere, _ = histories(at, offsets, model.symbol)
+            for lo in range(0, len(everywhere), PIECE):
+                context, valid = contexts[lo : lo + PIECE], everywhere[lo : lo + PIECE]
+                unit, rows = at[valid], word_features(names, valid)
+                node, z = reference(model, context, unit)
+                of, slot = model.of[unit], model.slot[unit]
+                if not start:
+                    for j, part, spot in cells(rows, of, node):
+                        z[part] += model.choice[j].take(spot)
+                p = 1 / (1 + np.exp(-z.astype(np.float64)))
+                for j, part, spot in cells(rows, of, node):
+                    total[0, j] += np.bincount(spot.ravel(), p[part].ravel(), size)
+                if start:
+                    for j, part, spot in cells(rows, of, np.stack([of, slot])):
+                        total[1, j] += np.bincount(spot.ravel(), minlength=size)
+        table = total.reshape(-1, CLASSES).astype(np.float32)
+        row = np.flatnonzero(table.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(row), *[pa.array(table[row, k]) for k in range(CLASSES)]], names=["row", *[f"c{k}" for k in range(CLASSES)]])
+
+    return run
+
+
+def _choices_added(learnt: DataFrame, model: Model, start: bool) -> np.ndarray:
+    names = [f"c{k}" for k in range(CLASSES)]
+    shared = learnt.sparkSession.sparkContext.broadcast(model)
+    sums = learnt.mapInArrow(_choice_counts(shared, start), "row long, " + ", ".join(f"{c} float" for c in names)).groupBy("row").agg(*[F.sum(c).cast("float").alias(c) for c in names])
+    found = sums.toArrow()  # twice WORD_FEATURES times WORD_BUCKETS rows at most
+    shared.unpersist()
+    out = np.zeros((2 if start else 1, WORD_FEATURES, WORD_BUCKETS * CLASSES))
+    out.reshape(-1, CLASSES)[found.column("row").to_numpy()] = np.stack([found.column(c).to_numpy() for c in names], 1)
+    return out
+
+
+def train_choices(learnt: DataFrame, model: Model, total: int, rounds: int = WORD_ROUNDS) -> np.ndarray:
+    """Weights of the choices from rows (units, names), in tasks of about ``SHARE`` tokens or as many as there are cores."""
+    learnt = learnt.coalesce(max(learnt.sparkSession.sparkContext.defaultParallelism, total // SHARE))
+    weights = np.zeros((WORD_FEATURES, WORD_BUCKETS * CLASSES))
+    for k in range(rounds):
+        found = _choices_added(learnt, replace(model, choice=weights.astype(np.float32)), k == 0)
+        if k == 0:
+            tokens, observed = (x.reshape(weights.shape) for x in passed(found[1].reshape(-1, CLASSES)))
+            share, pull = PRIOR / np.maximum(tokens, 1e-9), SHRINK / np.maximum(tokens, 1e-9)
+        gain = _gain(observed, found[0], share) - _gain(tokens - observed, np.maximum(tokens - found[0], 0), share)
+        weights += np.where(tokens > 0, (gain - pull * weights) / (WORD_FEATURES * (1 + pull)), 0)
+    return weights.astype(np.float32)
+
 
+def scores(model: Model, units: pa.ListArray, known: np.ndarray, names: pa.ListArray | None = None) -> np.ndarray:
+    """log10 probability of each segment; ``known`` are the sums of log10(c - discount) over its words seen in training.
 
-def scores(model: Model, units: pa.ListArray, known: np.ndarray) -> np.ndarray:
-    """log10 probability of each segment; ``known`` are the sums of log10(c - discount) over its words seen in training."""
+    With the ``names`` of the tokens the words before count, else only the symbols.
+    """
     at, never, offsets = _flat(units)
     context, valid, segment = histories(at, offsets, model.symbol)
     out, of, rows = known.copy(), model.of[at[valid]], len(offsets) - 1
     out += np.bincount(segment, np.where(never[valid], np.log10(model.discount * model.words[of]), 0.0) - np.log10(model.tokens[of]), rows)
+    if names is not None:
+        known_names = names.flatten().to_numpy()
+        for lo in range(0, len(valid), PIECE):
+            here = slice(lo, lo + PIECE)
+            unit, seen = at[valid[here]], ~never[valid[here]]
+            second, z = choices(model, context[here], word_features(known_names, valid[here]), unit)
+            logs = -np.log1p(np.exp(np.where(second, -z, z)))
+            # the share of a seen word in its class, c - discount of the class's tokens, is cut down to its share in the slot
+            share = np.log(np.maximum(model.tokens - model.discount * model.words, 1e-9))[model.of[unit]] - np.log(model.kept)[model.of[unit] * CLASSES + model.slot[unit]]
+            out += np.bincount(segment[here], (logs[:DEPTH].sum(0) + np.where(seen, logs[DEPTH:].sum(0) + share, 0)) / np.log(10), rows)
+        return out
     some, spot = np.unique(context, return_inverse=True)
     for lo in range(0, len(some), 1 << 14):
         logs = class_logs(some[lo : lo + (1 << 14)], model.weights, model.bias) / np.log(10)
@@ -364,7 +537,7 @@ def held_out(key: Column, modulo: int = 7, rest: int = 2) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulo == rest, F.lit(False))
 
 
-def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, block: int = BLOCK, segment: int = SEGMENT) -> DataFrame:
+def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS, block: int = BLOCK, segment: int = SEGMENT, word_rounds: int = WORD_ROUNDS) -> DataFrame:
     """``key``, held_out, n_tokens, n_known, train_tokens, base_score and score of every text; rows where ``held`` is true are not learnt from."""
     spark = docs.sparkSession
     # 1. texts as numbers of their block's words
@@ -380,40 +553,48 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
     # 3. words with their counts and units meet the texts of their block
     of_block = base.where("kind = 0").select("block", "kind", "code", "word").join(info, "word")
     nothing = lambda kind: F.lit(None).cast(kind)
-    some = of_block.select("block", "kind", "code", F.col("c").alias("n"), "unit", nothing("long").alias("row"), nothing("long").alias("id"), nothing("boolean").alias("held"), nothing("binary").alias("codes"))
+    name = F.crc32("word") % NAMES
+    some = of_block.select("block", "kind", "code", F.col("c").alias("n"), (F.col("unit") * NAMES + name).cast("int").alias("unit"), nothing("long").alias("row"), nothing("long").alias("id"), nothing("boolean").alias("held"), nothing("binary").alias("codes"))
     rows = base.where("kind = 1").select("block", "kind", "code", "n", "unit", "row", "id", "held", "codes")
     stream = some.unionByName(rows).repartition("block").sortWithinPartitions("block", "kind")
     met = stored(stream.mapInArrow(_met(total, distinct, discount), MET))
     discard(base)
     if total:
         # 4. classes of units by their neighbours
-        learnt = met.where("NOT held").select("units")
+        learnt = met.where("NOT held").select("units", "names")
         cells = np.zeros(UNITS * 2 * NEAR)
-        for r in learnt.mapInArrow(_neighbours, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # UNITS * 2 * NEAR rows at most
+        for r in learnt.select("units").mapInArrow(_neighbours, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # UNITS * 2 * NEAR rows at most
             cells[r[0]] = r[1]
         of = cluster(cells.reshape(UNITS, -1))
         symbol = np.concatenate([np.arange(1 + TOP), 1 + TOP + of[1 + TOP :]])
         # 5. histories and the classes after them, over all training texts
         context, k = F.floor(F.col("cell") / CLASSES), (F.col("cell") % CLASSES).cast("int")
-        seen = learnt.mapInArrow(_events(of, symbol), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        seen = learnt.select("units").mapInArrow(_events(of, symbol), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
         rows = seen.groupBy(context.alias("context")).agg(F.collect_list(F.struct(k.alias("k"), "n")).alias("x"))  # CLASSES at most in a row
         events = stored(rows.select("context", F.col("x.k").alias("classes"), F.col("x.n").alias("counts")))
         tokens = np.zeros(CLASSES)
         for r in events.select(F.explode(F.arrays_zip("classes", "counts")).alias("x")).groupBy("x.classes").agg(F.sum("x.counts")).collect():  # CLASSES rows
             tokens[r[0]] = r[1]
-        held_words = np.zeros(CLASSES)
-        for r in info.where("c > 0").groupBy("unit").agg(F.count(F.lit(1))).collect():  # UNITS rows at most
-            held_words[of[r[0]]] += r[1]
+        unit_tokens, unit_words = np.zeros(UNITS), np.zeros(UNITS)
+        for r in info.where("c > 0").groupBy("unit").agg(F.sum("c"), F.count(F.lit(1))).collect():  # UNITS rows at most
+            unit_tokens[r[0]], unit_words[r[0]] = r[1:]
+        held_words = np.bincount(of, unit_words, CLASSES)
         bias = np.log((tokens + 1) / (total + CLASSES))
-        model = Model(of, symbol, train(events, bias, rounds), bias, np.maximum(tokens, 1), np.maximum(held_words, 1), discount)
+        slot = slots(of, unit_tokens)
+        kept = np.maximum(np.bincount(of * CLASSES + slot, unit_tokens - discount * unit_words, CLASSES * CLASSES), 1e-9)
+        share = kept.reshape(CLASSES, CLASSES) / kept.reshape(CLASSES, CLASSES).sum(1, keepdims=True)
+        model = Model(of, symbol, train(events, bias, rounds), bias, np.maximum(tokens, 1), np.maximum(held_words, 1), discount, slot, kept, halves(share.T + 1e-12).astype(np.float32))
+        model.sums = added_up(model.weights, bias)
         discard(events)
+        # 6. the words before, over all training texts
+        model.choice = train_choices(learnt, model, total, word_rounds)
     else:
         model = None
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _pieces(batches, 7):
-            got = pa.array(scores(shared.value, b.column(7), b.column(6).to_numpy())) if shared.value else b.column(5)
+            got = pa.array(scores(shared.value, b.column(7), b.column(6).to_numpy(), b.column(8))) if shared.value else b.column(5)
             yield pa.RecordBatch.from_arrays([*b.columns[:6], got], names=["row", "id", "held", "n_tokens", "n_known", "base", "score"])
 
     parts = met.mapInArrow(run, "row long, id long, held boolean, n_tokens long, n_known long, base double, score double")

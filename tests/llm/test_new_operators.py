@@ -233,6 +233,49 @@ def test_class_model_is_a_distribution_and_scores_match_token_by_token():
         assert have == pytest.approx(want)
 
 
+def word_model(rng, rows):
+    of = np.concatenate([[0], rng.integers(1, maxent_lm.CLASSES, maxent_lm.UNITS - 1)])
+    symbol = np.concatenate([np.arange(1 + maxent_lm.TOP), 1 + maxent_lm.TOP + of[1 + maxent_lm.TOP :]])
+    weights, bias = rng.normal(size=(maxent_lm.BUCKETS, maxent_lm.CLASSES)), rng.normal(size=maxent_lm.CLASSES)
+    slot, kept = maxent_lm.slots(of, rng.random(maxent_lm.UNITS)), rng.random(maxent_lm.CLASSES**2) + 0.1
+    choice = rng.normal(size=(maxent_lm.WORD_FEATURES, maxent_lm.WORD_BUCKETS * maxent_lm.CLASSES)).astype(np.float32) * rows
+    halves = maxent_lm.halves(kept.reshape(maxent_lm.CLASSES, -1).T)
+    return maxent_lm.Model(of, symbol, weights, bias, np.full(maxent_lm.CLASSES, 50), np.full(maxent_lm.CLASSES, 5), 0.5, slot, kept, halves, maxent_lm.added_up(weights, bias), choice)
+
+
+def test_words_before_give_a_distribution_over_classes_and_slots():
+    n, names = maxent_lm.CLASSES, np.array([7, 65000, 300, 12], np.uint16).view(np.int16)
+    rows = maxent_lm.word_features(names, np.array([3]))
+    for by_words in (0, 1):
+        model = word_model(np.random.default_rng(7), by_words)
+        pairs = np.arange(n * n)
+        model.of, model.slot = pairs // n, pairs % n  # a unit for every class and slot
+        context = np.full(n * n, 12345)
+        second, z = maxent_lm.choices(model, context, np.repeat(rows, n * n, 1), pairs)
+        p = np.exp(-np.logaddexp(0, np.where(second, -z, z)).astype(float))
+        assert p.prod(0).sum() == pytest.approx(1, rel=1e-4)
+        classes = p[: maxent_lm.DEPTH].prod(0).reshape(n, n)[:, 0]
+        plain = np.exp(maxent_lm.class_logs(context[:1], model.weights, model.bias))[0]
+        assert np.allclose(classes, plain, rtol=1e-4) == (not by_words)  # without weights of words the symbols' softmax
+
+
+def test_lm_tells_apart_histories_of_rare_words(spark):
+    """Words outside the commonest, with like endings and neighbours, decide which word follows."""
+    rng = random.Random(8)
+    fill = [f"w{k}" for k in range(maxent_lm.TOP + 5)]
+    pairs = {f"{x}{y}zzz": follows for x, follows in (("a", "up"), ("b", "down")) for y in "klmn"}
+    docs = []
+    for i in range(3000):
+        first = rng.choice(list(pairs))
+        docs.append((i, " ".join([*rng.choices(fill, k=8), first, pairs[first], *rng.choices(fill, k=4)])))
+    docs = [(i, t) for i, t in docs if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(10000, 10100) if zlib.crc32(str(i).encode()) % 7 == 2][:2]
+    right, wrong = "w1 w2 akzzz up w3", "w1 w2 akzzz down w3"
+    got = lm_rows(spark, docs + [(held[0], right), (held[1], wrong)]).set_index("doc_id")
+    assert got.score[held[0]] > got.score[held[1]] + 0.3
+    assert got.base_score[held[0]] == pytest.approx(got.base_score[held[1]], abs=0.1)
+
+
 def test_new_queries_over_their_tables(spark, folder):
     got = queries.op12_maxent_lm(spark, folder)
     assert dict(got.dtypes) == {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"}
