@@ -20,7 +20,8 @@ log P(word | history) = log P(class | history) + log P(seen | class) + log P(slo
 A first pass numbers the words of blocks of about ``BLOCK`` distinct words, ``TOKENS`` tokens at most, and writes texts as these numbers;
 counts are summed by word, joined back to the blocks' words, and met with the texts of the block in one sorted stream. So a hot word costs a
 row per block, and a task holds the words of one block. Texts are cut into segments of ``SEGMENT`` tokens, each with the three tokens before it. Weights, clusters and the
-driver's tables have a fixed size; the distinct histories are at most ``SYMBOLS`` cubed.
+driver's tables have a fixed size; the distinct histories are at most ``SYMBOLS`` cubed, and a task hands on their counts every ``EVENTS`` tokens or so. Tasks write tables in
+batches of ``ROWS`` rows at most, and units and names as plain bytes, which pass through Spark as they are.
 
 The base score is the sum of log10((c + 1) / (N + V + 1)) with c a token's count, N all and V the distinct training tokens.
 
@@ -34,9 +35,11 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +52,7 @@ UNITS, SYMBOLS, NEAR = 1 + TOP + GROUPS, 1 + TOP + CLASSES, 128
 ROUNDS, PRIOR, SHRINK = 6, 10.0, 300.0
 NAMES, WORD_BUCKETS, WORD_ROUNDS, DEPTH, OWN = 1 << 16, 1 << 12, 2, 5, 16
 SHARE, PIECE = 1 << 23, 1 << 15  # training tokens of a task that adds up choices, tokens worked on at once
+ROWS, EVENTS = 1 << 16, 1 << 21  # rows of a batch that a task gives out, at most; tokens whose events a task counts at once
 BLOCK, TOKENS, SEGMENT, HISTORY = 1 << 19, 1 << 23, 1 << 17, 3
 END = b"\n"
 FEATURES, WORD_FEATURES = 7, 5
@@ -94,10 +98,12 @@ NUMBERED = "block long, kind int, code int, word binary, unit int, n long, row l
 def numbered(docs: DataFrame, block: int = BLOCK, segment: int = SEGMENT) -> DataFrame:
     """Of (id, held, text): rows of kind 0 (a block's words with their training counts) and of kind 1 (a segment as the block's numbers)."""
 
-    def words_of(key: int, number: dict[bytes, int], counts: np.ndarray) -> pa.RecordBatch:
-        found = list(number)
-        columns = {"code": pa.array(range(len(found)), pa.int32()), "word": pa.array(found, pa.binary()), "unit": pa.array([unit(w) for w in found], pa.int32())}
-        return _batch(len(found), key, 0, columns | {"n": pa.array(counts[: len(found)], pa.int64())})
+    def words_of(key: int, number: dict[bytes, int], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        left = iter(number)
+        for lo in range(0, len(number), ROWS):
+            found = list(islice(left, ROWS))
+            columns = {"code": pa.array(np.arange(lo, lo + len(found), dtype=np.int32)), "word": pa.array(found, pa.binary()), "unit": pa.array([unit(w) for w in found], pa.int32())}
+            yield _batch(len(found), key, 0, columns | {"n": pa.array(counts[lo : lo + len(found)], pa.int64())})
 
     def segments(key: int, rows: list[tuple]) -> pa.RecordBatch:
         row, ids, held, codes = zip(*rows, strict=True)
@@ -124,12 +130,14 @@ def numbered(docs: DataFrame, block: int = BLOCK, segment: int = SEGMENT) -> Dat
                         yield segments(key, ready)
                         ready, waiting = [], 0
                     if full:
-                        yield words_of(key, number, counts)
+                        yield from words_of(key, number, counts)
                         key, number, counts, size = key + 1, {}, np.zeros(1 << 10, np.int64), 0
         if ready:
             yield segments(key, ready)
         if number:
-            yield words_of(key, number, counts)
+            yield from words_of(key, number, counts)
+        number.clear()
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks and would keep it
 
     return docs.select("id", "held", "text").mapInArrow(run, NUMBERED)
 
@@ -153,13 +161,29 @@ def cuts(sizes: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that their lists in ``column`` hold a bounded number of tokens."""
+    """Batches cut so that the codes in ``column`` hold a bounded number of tokens."""
     for b in batches:
-        for lo, hi in cuts(b.column(column).value_lengths().to_numpy()):
+        for lo, hi in cuts(pc.binary_length(b.column(column)).to_numpy() // 4):
             yield b.slice(lo, hi - lo)
 
 
-MET = "row long, id long, held boolean, n_tokens long, n_known long, base double, known double, units array<short>, names array<short>"
+def joined(units: np.ndarray, names: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
+    """Segments as bytes: unit and name of each token, two bytes each."""
+    pairs = np.stack([units.astype("<u2"), names.astype("<u2")], 1)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(pairs)])
+
+
+def split(codes: pa.Array) -> tuple[pa.ListArray, pa.ListArray]:
+    """Units and names of ``joined`` segments."""
+    raw = codes.cast(pa.binary())
+    offsets = np.concatenate([[0], np.cumsum(pc.binary_length(raw).to_numpy())]) // 4
+    start = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]
+    pairs = np.frombuffer(raw.buffers()[2], "<i2", 2 * offsets[-1], start).reshape(-1, 2)
+    units, names = (pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.ascontiguousarray(x))) for x in pairs.T)
+    return units, names
+
+
+MET = "row long, id long, held boolean, n_tokens long, n_known long, base double, known double, codes binary"
 
 
 def _met(total: int, distinct: int, discount: float):
@@ -193,9 +217,8 @@ def _met(total: int, distinct: int, discount: float):
         base = np.bincount(segment, np.log10((c + 1) / (total + distinct + 1)), rows)
         known = np.bincount(segment, np.where(c > 0, np.log10(np.maximum(c, 1) - discount), 0.0), rows)
         counts = [np.bincount(segment, minlength=rows), np.bincount(segment, c > 0, rows).astype(np.int64)]
-        units = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.where(seen > 0, at, -1 - at).astype(np.int16)))
-        names = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(table[2][flat].view(np.int16)))
-        return pa.RecordBatch.from_arrays([*[b.column(k) for k in (5, 6, 7)], *[pa.array(x) for x in (*counts, base, known)], units, names], names=["row", "id", "held", "n_tokens", "n_known", "base", "known", "units", "names"])
+        codes = joined(np.where(seen > 0, at, -1 - at), table[2][flat], offsets)
+        return pa.RecordBatch.from_arrays([*[b.column(k) for k in (5, 6, 7)], *[pa.array(x) for x in (*counts, base, known)], codes], names=["row", "id", "held", "n_tokens", "n_known", "base", "known", "codes"])
 
     return run
 
@@ -221,7 +244,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often a unit stands after and before each of ``NEAR`` symbols."""
     total = np.zeros(UNITS * 2 * NEAR, np.int64)
     for b in _pieces(batches, 0):
-        at, _, offsets = _flat(b.column(0))
+        at, _, offsets = _flat(split(b.column(0))[0])
         valid, _ = inside(offsets)
         near = np.where(at <= TOP, at, 1 + TOP + (at - TOP - 1) % (NEAR - TOP - 1))
         total += np.bincount(at[valid] * 2 * NEAR + near[valid - 1], minlength=len(total))
@@ -288,20 +311,22 @@ def word_features(names: np.ndarray, valid: np.ndarray) -> np.ndarray:
 
 def _events(of: np.ndarray, symbol: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, young = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
+        young, size = [np.zeros(0, np.int32)], 0
 
-        def merge(parts):
-            cell, spot = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-            return cell, np.bincount(spot, np.concatenate([n for _, n in parts]), len(cell)).astype(np.int64)
+        def counted() -> Iterator[pa.RecordBatch]:
+            cell, n = np.unique(np.concatenate(young), return_counts=True)
+            for lo in range(0, len(cell), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(cell[lo : lo + ROWS], pa.int64()), pa.array(n[lo : lo + ROWS])], names=["cell", "n"])
 
         for b in _pieces(batches, 0):
-            at, _, offsets = _flat(b.column(0))
+            at, _, offsets = _flat(split(b.column(0))[0])
             context, valid, _ = histories(at, offsets, symbol)
-            young.append(np.unique(context * CLASSES + of[at[valid]], return_counts=True))
-            if sum(len(c) for c, _ in young) > max(1 << 20, len(total[0])):
-                total, young = merge([total, *young]), []
-        cell, n = merge([total, *young])
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n)], names=["cell", "n"])
+            young.append((context * CLASSES + of[at[valid]]).astype(np.int32))
+            size += len(valid)
+            if size >= EVENTS:
+                yield from counted()
+                young, size = young[:1], 0
+        yield from counted()
 
     return run
 
@@ -456,8 +481,9 @@ def _choice_counts(shared, start: bool):
         model, size = shared.value, WORD_BUCKETS * CLASSES
         total = np.zeros((2 if start else 1, WORD_FEATURES, size))
         for b in _pieces(batches, 0):
-            at, _, offsets = _flat(b.column(0))
-            names = b.column(1).flatten().to_numpy()
+            units, named = split(b.column(0))
+            at, _, offsets = _flat(units)
+            names = named.flatten().to_numpy()
             contexts, everywhere, _ = histories(at, offsets, model.symbol)
             for lo in range(0, len(everywhere), PIECE):
                 context, valid = contexts[lo : lo + PIECE], everywhere[lo : lo + PIECE]
@@ -492,7 +518,7 @@ def _choices_added(learnt: DataFrame, model: Model, start: bool) -> np.ndarray:
 
 
 def train_choices(learnt: DataFrame, model: Model, total: int, rounds: int = WORD_ROUNDS) -> np.ndarray:
-    """Weights of the choices from rows (units, names), in tasks of about ``SHARE`` tokens or as many as there are cores."""
+    """Weights of the choices from rows of codes, in tasks of about ``SHARE`` tokens or as many as there are cores."""
     learnt = learnt.coalesce(max(learnt.sparkSession.sparkContext.defaultParallelism, total // SHARE))
     weights = np.zeros((WORD_FEATURES, WORD_BUCKETS * CLASSES))
     for k in range(rounds):
@@ -557,19 +583,19 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
     some = of_block.select("block", "kind", "code", F.col("c").alias("n"), (F.col("unit") * NAMES + name).cast("int").alias("unit"), nothing("long").alias("row"), nothing("long").alias("id"), nothing("boolean").alias("held"), nothing("binary").alias("codes"))
     rows = base.where("kind = 1").select("block", "kind", "code", "n", "unit", "row", "id", "held", "codes")
     stream = some.unionByName(rows).repartition("block").sortWithinPartitions("block", "kind")
-    met = stored(stream.mapInArrow(_met(total, distinct, discount), MET))
+    met = stored(stream.mapInArrow(_met(total, distinct, discount), MET), "zstd")
     discard(base)
     if total:
         # 4. classes of units by their neighbours
-        learnt = met.where("NOT held").select("units", "names")
+        learnt = met.where("NOT held").select("codes")
         cells = np.zeros(UNITS * 2 * NEAR)
-        for r in learnt.select("units").mapInArrow(_neighbours, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # UNITS * 2 * NEAR rows at most
+        for r in learnt.mapInArrow(_neighbours, "cell long, n long").groupBy("cell").agg(F.sum("n")).collect():  # UNITS * 2 * NEAR rows at most
             cells[r[0]] = r[1]
         of = cluster(cells.reshape(UNITS, -1))
         symbol = np.concatenate([np.arange(1 + TOP), 1 + TOP + of[1 + TOP :]])
         # 5. histories and the classes after them, over all training texts
         context, k = F.floor(F.col("cell") / CLASSES), (F.col("cell") % CLASSES).cast("int")
-        seen = learnt.select("units").mapInArrow(_events(of, symbol), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+        seen = learnt.mapInArrow(_events(of, symbol), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
         rows = seen.groupBy(context.alias("context")).agg(F.collect_list(F.struct(k.alias("k"), "n")).alias("x"))  # CLASSES at most in a row
         events = stored(rows.select("context", F.col("x.k").alias("classes"), F.col("x.n").alias("counts")))
         tokens = np.zeros(CLASSES)
@@ -594,7 +620,8 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _pieces(batches, 7):
-            got = pa.array(scores(shared.value, b.column(7), b.column(6).to_numpy(), b.column(8))) if shared.value else b.column(5)
+            units, names = split(b.column(7))
+            got = pa.array(scores(shared.value, units, b.column(6).to_numpy(), names)) if shared.value else b.column(5)
             yield pa.RecordBatch.from_arrays([*b.columns[:6], got], names=["row", "id", "held", "n_tokens", "n_known", "base", "score"])
 
     parts = met.mapInArrow(run, "row long, id long, held boolean, n_tokens long, n_known long, base double, score double")

@@ -47,14 +47,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the checkpoint folder and read it back.
+def stored(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and read it back; ``compression`` is a Parquet codec, else the session's.
 
     Cuts the lineage like a checkpoint and survives lost executors, but is columnar: later reads are compressed and fetch
     only the columns they use. ``discard`` removes the table when all that reads it is done.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/airmill-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
