@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airmill.llm.quality_rules import content_key
+from airmill.llm.words import lean
 from airmill.session import stored
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -64,7 +65,7 @@ def fit(docs: DataFrame, text: str, declared: str, languages: tuple[str, ...] =
         yield pa.RecordBatch.from_arrays([pa.array(spot[0]), pa.array(spot[1]), pa.array(table[spot])], names=["l", "b", "n"])
 
     table = np.full((BUCKETS, len(languages)), 0.1)
-    summed = drawn.mapInArrow(run, "l long, b long, n long").groupBy("l", "b").agg(F.sum("n").alias("n"))
+    summed = drawn.mapInArrow(lean(run), "l long, b long, n long").groupBy("l", "b").agg(F.sum("n").alias("n"))
     for r in summed.toLocalIterator():  # at most buckets x languages rows
         table[r["b"], r["l"]] += r["n"]
     return np.log(table / table.sum(0)).astype(np.float32)
@@ -87,7 +88,7 @@ def with_likelihoods(docs: DataFrame, model: np.ndarray, text: str) -> DataFrame
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], *told], names=[*rest, "n_trigrams", "likelihoods"])
 
     schema = docs.select(*rest, F.lit(0).cast("long").alias("n_trigrams"), F.array(F.lit(0.0)).alias("likelihoods")).schema
-    return docs.select(*rest, F.col(text)).mapInArrow(run, schema)
+    return docs.select(*rest, F.col(text)).mapInArrow(lean(run), schema)
 
 
 def _best(scores: Column) -> Column:

@@ -223,4 +223,4 @@ def pack(
         if out:
             yield batch()
 
-    return rows.mapInArrow(run, f"`{key}` {rows.schema[0].dataType.simpleString()}, {SCHEMA}" + (", ids array<long>" if ids else ""))
+    return rows.mapInArrow(words.lean(run), f"`{key}` {rows.schema[0].dataType.simpleString()}, {SCHEMA}" + (", ids array<long>" if ids else ""))

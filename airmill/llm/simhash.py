@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airmill.llm.graph import components
+from airmill.llm.words import lean
 from airmill.session import stored
 
 RADIUS, BLOCKS, TILE, SEED = 3, 4, 4096, 42
@@ -102,7 +103,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", width: int = 3, near:
             yield pa.RecordBatch.from_arrays([*b.columns[: len(rest)], *words], names=[*rest, *near.columns])
 
     schema = docs.select(*rest, *[F.lit(0).cast("long").alias(c) for c in near.columns]).schema
-    found = docs.select(*rest, F.col(text)).mapInArrow(run, schema)
+    found = docs.select(*rest, F.col(text)).mapInArrow(lean(run), schema)
     return found if near.words == 1 else found.withColumn("fp", F.xxhash64(*near.columns))
 
 

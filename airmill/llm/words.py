@@ -1,4 +1,4 @@
-"""Words of whole Arrow batches as dictionary codes, and bounded memos of what is computed per word."""
+"""Words of whole Arrow batches as dictionary codes, bounded memos of what is computed per word, and memory given back after batches."""
 
 from __future__ import annotations
 
@@ -38,6 +38,24 @@ def pieces(raw: bytes, table: bytes = LOWER) -> Iterator[list[bytes]]:
         at = end
 
 
+def release() -> None:
+    """Gives back what Arrow's allocator holds but nothing uses; it would stay with the worker, through all later stages."""
+    pa.default_memory_pool().release_unused()
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, with ``release`` after each batch that it gives and when its own variables are gone."""
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batches):
+            yield out
+            del out
+            release()
+        release()
+
+    return released
+
+
 class Memo:
     """Values per word, in two generations: when the young one is full it replaces the old one."""
 

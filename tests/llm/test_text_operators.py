@@ -246,6 +246,21 @@ def test_words_and_memo():
     assert len(memo.young) + len(memo.old) <= 8
 
 
+def test_workers_give_arrow_memory_back(monkeypatch):
+    """What Arrow's allocator would keep is given back after each batch, and at the end with a task's last arrays gone."""
+    seen, start = [], pa.total_allocated_bytes()
+    monkeypatch.setattr(words, "release", lambda: seen.append(pa.total_allocated_bytes() - start))
+    size = packing.BATCH * 100
+
+    def batches():
+        for _ in range(3):
+            yield pa.record_batch([pa.array(range(packing.BATCH)), pa.array(["ab " * 33 + "c"] * packing.BATCH)], ["doc_id", "text"])
+
+    counts = words.lean(lambda x: (pa.record_batch([pa.array([b.num_rows])], ["n"]) for b in x))(batches())
+    assert sum(b.column(0)[0].as_py() for b in counts) == 3 * packing.BATCH
+    assert len(seen) == 4 and seen[-1] < 1000 < size <= min(seen[:-1])
+
+
 def test_language_evidence(docs, spark):
     english, german = "the and of with this that there", "der und die nicht auf eine schon"
     draw = random.Random(9)
